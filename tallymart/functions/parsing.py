@@ -21,7 +21,8 @@ def guarded(col: Column, pattern: str, type_name: str) -> Column:
 
 
 def to_int(col: Column) -> Column:
-    return guarded(col, S.INTEGER_PATTERN, "int")
+    """Optional blanks and sign around digits, which is all ``try_cast`` takes for an INT."""
+    return col.try_cast("int")
 
 
 def to_count(col: Column) -> Column:

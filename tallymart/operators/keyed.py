@@ -13,9 +13,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
     The rank filter lets Spark keep one row per key on each map task before the
     shuffle, so a key that holds a large share of all rows sends one row per task.
+    The hash leads the sort: comparing it decides nearly all pairs, where long or
+    alike keys would be compared in full.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    window = Window.partitionBy("_key_hash", *keys).orderBy(*order)
+    return (
+        df.withColumn("_key_hash", F.xxhash64(*keys))
+        .withColumn("_rank", F.row_number().over(window))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank", "_key_hash")
+    )
 
 
 def without_match(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:

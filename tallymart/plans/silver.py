@@ -13,7 +13,8 @@ from tallymart.functions.clock import as_timestamp
 from tallymart.functions.rules import first_failing
 from tallymart.operators.keyed import keep_first, without_match
 
-BRONZE_KEY = ["_batch_id", "_id"]
+# The number first: sorts compare it before the longer text.
+BRONZE_KEY = ["_id", "_batch_id"]
 DUPLICATE_RULE = "duplicate_transaction_id"
 FUTURE_RULE = "future_transaction"
 
@@ -28,6 +29,24 @@ def _newest_first() -> list[Column]:
     ]
 
 
+def with_typed_row(bronze: DataFrame, *columns: Column) -> DataFrame:
+    """Add the parsed columns as one struct ``typed``.
+
+    Exploding a one-element array parses every row once. As a plain projection Spark
+    would copy each parse into every filter and rule that reads its result.
+    """
+    return bronze.select("*", F.explode(F.array(F.struct(*columns))).alias("typed"))
+
+
+def _number_rules(name: str, pattern: str) -> list[tuple[str, Column]]:
+    """Text of the wrong form, then numbers that do not fit; only failed parses are re-read."""
+    parsed = F.col(f"typed.{name}").isNotNull()
+    return [
+        (f"malformed_{name}", parsed | P.matches(F.col(name), pattern)),
+        (f"{name}_out_of_range", parsed),
+    ]
+
+
 # --- transactions -----------------------------------------------------------
 
 
@@ -37,35 +56,33 @@ def classify_transactions(bronze: DataFrame, as_of=None) -> DataFrame:
     The future rule comes last: it is the only one a row can outgrow.
     """
     raw = {c: F.col(c) for c in S.FEED_COLUMNS["raw_transactions"]}
-    quantity, price = P.to_count(raw["quantity"]), P.to_price(raw["unit_price"])
-    amount = (quantity * price).try_cast("decimal(10,2)")
-    ts = P.to_timestamp(raw["transaction_ts"])
-    typed = F.struct(
+    typed = {c: F.col(f"typed.{c}") for c in S.FEED_COLUMNS["raw_transactions"]}
+    parsed = with_typed_row(
+        bronze,
         raw["transaction_id"].alias("transaction_id"),
         P.to_int(raw["store_id"]).alias("store_id"),
         P.to_int(raw["product_id"]).alias("product_id"),
-        quantity.alias("quantity"),
-        price.alias("unit_price"),
-        amount.alias("total_amount"),
-        ts.alias("transaction_ts"),
+        P.to_count(raw["quantity"]).alias("quantity"),
+        P.to_price(raw["unit_price"]).alias("unit_price"),
+        P.to_timestamp(raw["transaction_ts"]).alias("transaction_ts"),
         raw["payment_method"].alias("payment_method"),
         P.to_int(raw["cashier_id"]).alias("cashier_id"),
     )
+    amount = (typed["quantity"] * typed["unit_price"]).try_cast("decimal(10,2)")
     rules = [
         ("missing_transaction_id", raw["transaction_id"].isNotNull()),
         ("malformed_transaction_id", P.matches(raw["transaction_id"], S.UUID_PATTERN)),
-        ("malformed_quantity", P.matches(raw["quantity"], S.DIGITS_PATTERN)),
-        ("quantity_out_of_range", F.col("typed.quantity").isNotNull()),
-        ("quantity_not_positive", F.col("typed.quantity") > 0),
-        ("malformed_unit_price", P.matches(raw["unit_price"], S.PRICE_PATTERN)),
-        ("unit_price_out_of_range", F.col("typed.unit_price") >= 0),
-        ("bad_store_id", F.col("typed.store_id").isNotNull()),
-        ("bad_product_id", F.col("typed.product_id").isNotNull()),
-        ("total_amount_out_of_range", F.col("typed.total_amount").isNotNull()),
-        ("bad_transaction_ts", F.col("typed.transaction_ts").isNotNull()),
-        (FUTURE_RULE, F.col("typed.transaction_ts") <= as_timestamp(as_of)),
+        *_number_rules("quantity", S.DIGITS_PATTERN),
+        ("quantity_not_positive", typed["quantity"] > 0),
+        *_number_rules("unit_price", S.PRICE_PATTERN),
+        ("unit_price_negative", typed["unit_price"] >= 0),
+        ("bad_store_id", typed["store_id"].isNotNull()),
+        ("bad_product_id", typed["product_id"].isNotNull()),
+        ("total_amount_out_of_range", amount.isNotNull()),
+        ("bad_transaction_ts", typed["transaction_ts"].isNotNull()),
+        (FUTURE_RULE, typed["transaction_ts"] <= as_timestamp(as_of)),
     ]
-    return bronze.withColumn("typed", typed).withColumn("reject_rule", first_failing(rules))
+    return parsed.withColumns({"total_amount": amount, "reject_rule": first_failing(rules)})
 
 
 def silver_transactions(
@@ -75,7 +92,7 @@ def silver_transactions(
     valid = (
         classify_transactions(bronze, as_of)
         .filter(F.col("reject_rule").isNull())
-        .select("typed.*", "_ingested_at", "_batch_id", "_id")
+        .select("typed.*", "total_amount", "_ingested_at", "_batch_id", "_id")
     )
     return keep_first(valid, ["transaction_id"], order or _oldest_first()).select(
         "transaction_id", "store_id", "product_id", "quantity", "unit_price", "total_amount",
@@ -138,27 +155,24 @@ def quarantine_by_reason(quarantine: DataFrame) -> DataFrame:
 
 def classify_inventory(bronze: DataFrame) -> DataFrame:
     raw = {c: F.col(c) for c in S.FEED_COLUMNS["raw_inventory"]}
-    stock, reorder = P.to_count(raw["stock_level"]), P.to_count(raw["reorder_point"])
-    typed = F.struct(
+    parsed = with_typed_row(
+        bronze,
         P.to_int(raw["store_id"]).alias("store_id"),
         P.to_int(raw["product_id"]).alias("product_id"),
-        stock.alias("stock_level"),
-        reorder.alias("reorder_point"),
-        (stock < reorder).alias("is_below_reorder"),
+        P.to_count(raw["stock_level"]).alias("stock_level"),
+        P.to_count(raw["reorder_point"]).alias("reorder_point"),
         P.to_date(raw["last_restocked"]).alias("last_restocked"),
         P.to_int(raw["supplier_id"]).alias("supplier_id"),
     )
     rules = [
         ("missing_store_id", raw["store_id"].isNotNull()),
         ("missing_product_id", raw["product_id"].isNotNull()),
-        ("malformed_stock_level", P.matches(raw["stock_level"], S.DIGITS_PATTERN)),
-        ("malformed_reorder_point", P.matches(raw["reorder_point"], S.DIGITS_PATTERN)),
-        ("stock_level_out_of_range", F.col("typed.stock_level").isNotNull()),
-        ("reorder_point_out_of_range", F.col("typed.reorder_point").isNotNull()),
+        *_number_rules("stock_level", S.DIGITS_PATTERN),
+        *_number_rules("reorder_point", S.DIGITS_PATTERN),
         ("bad_store_id", F.col("typed.store_id").isNotNull()),
         ("bad_product_id", F.col("typed.product_id").isNotNull()),
     ]
-    return bronze.withColumn("typed", typed).withColumn("reject_rule", first_failing(rules))
+    return parsed.withColumn("reject_rule", first_failing(rules))
 
 
 def silver_inventory(
@@ -171,7 +185,8 @@ def silver_inventory(
         .select("typed.*", "_ingested_at", "_batch_id", "_id")
     )
     return keep_first(valid, ["store_id", "product_id"], order or _newest_first()).select(
-        "store_id", "product_id", "stock_level", "reorder_point", "is_below_reorder",
+        "store_id", "product_id", "stock_level", "reorder_point",
+        (F.col("stock_level") < F.col("reorder_point")).alias("is_below_reorder"),
         "last_restocked", "supplier_id", as_timestamp(as_of).alias("_transformed_at"),
     )
 
@@ -180,7 +195,8 @@ def silver_inventory(
 
 
 def classify_stores(bronze: DataFrame) -> DataFrame:
-    typed = F.struct(
+    parsed = with_typed_row(
+        bronze,
         P.to_int(F.col("store_id")).alias("store_id"),
         F.col("store_name"), F.col("city"), F.col("region"), F.col("store_type"),
         P.to_date(F.col("opened_date")).alias("opened_date"),
@@ -190,7 +206,7 @@ def classify_stores(bronze: DataFrame) -> DataFrame:
         ("missing_store_name", F.col("store_name").isNotNull()),
         ("bad_store_id", F.col("typed.store_id").isNotNull()),
     ]
-    return bronze.withColumn("typed", typed).withColumn("reject_rule", first_failing(rules))
+    return parsed.withColumn("reject_rule", first_failing(rules))
 
 
 def silver_stores(

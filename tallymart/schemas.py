@@ -31,7 +31,6 @@ NA_TOKENS = [
 UUID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
 DIGITS_PATTERN = r"^[0-9]+\z"
 PRICE_PATTERN = r"^[0-9]+(\.[0-9]+)?\z"
-INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*\z"
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 TIMESTAMP_PATTERN = (
     r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
