@@ -11,7 +11,7 @@ from tallymart import schemas as S
 from tallymart.functions import parsing as P
 from tallymart.functions.clock import as_timestamp
 from tallymart.functions.rules import first_failing
-from tallymart.operators.keyed import keep_first, without_match
+from tallymart.operators.keyed import insert_if_absent, keep_first, without_match
 
 # The number first: sorts compare it before the longer text.
 BRONZE_KEY = ["_id", "_batch_id"]
@@ -131,7 +131,7 @@ def current_quarantine(quarantine: DataFrame, silver: DataFrame) -> DataFrame:
     Only rows held back for their date can do so; the others are not matched at all.
     """
     waiting = F.col("reject_rule") == FUTURE_RULE
-    still_waiting = without_match(quarantine.filter(waiting), silver_keys(silver), BRONZE_KEY)
+    still_waiting = insert_if_absent(silver_keys(silver), quarantine.filter(waiting), BRONZE_KEY)
     return quarantine.filter(~waiting).unionByName(still_waiting)
 
 

@@ -111,4 +111,4 @@ GOLD_SCHEMAS = {
     ),
 }
 
-COMMIT_SCHEMA = _struct(version="string", committed_at="timestamp", table_name="string")
+COMMIT_SCHEMA = _struct(value="string", committed_at="timestamp", kind="string")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Day boundaries and timestamp text are read in UTC. AQE picks broadcast or
 # sort-merge joins from measured sizes and splits skewed join partitions.
@@ -44,8 +45,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tallymart/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so later steps start from files."""
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared folder; returns the written rows and their number.
+
+    Later steps start from files, so a lost executor repeats reads and not the work
+    behind them. The rows are counted while they are written.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]

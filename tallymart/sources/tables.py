@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +18,8 @@ from tallymart.functions.clock import as_timestamp
 class Table:
     schema: T.StructType
     partition_by: tuple[str, ...] = field(default=())
+    # Rows alike in these columns share files; a hot value is split by size.
+    gather_by: tuple[str, ...] = field(default=())
     whole: bool = False  # rewritten as a whole: new folder, then one commit row
 
 
@@ -26,21 +29,27 @@ TABLES = {
     "bronze/raw_stores": Table(S.bronze_schema("raw_stores"), ("_batch_id",)),
     "bronze/run_events": Table(S.RUN_EVENT_SCHEMA),
     "quarantine/raw_transactions": Table(
-        S.quarantine_schema("raw_transactions"), ("_batch_id", "reject_rule")
+        S.quarantine_schema("raw_transactions"), ("_batch_id",), gather_by=("reject_rule",)
     ),
     "quarantine/raw_inventory": Table(
-        S.quarantine_schema("raw_inventory"), ("_batch_id", "reject_rule")
+        S.quarantine_schema("raw_inventory"), ("_batch_id",), gather_by=("reject_rule",)
     ),
     "quarantine/raw_stores": Table(
-        S.quarantine_schema("raw_stores"), ("_batch_id", "reject_rule")
+        S.quarantine_schema("raw_stores"), ("_batch_id",), gather_by=("reject_rule",)
     ),
     "quarantine/rejected_records": Table(S.REJECTED_RECORD_SCHEMA, ("_batch_id", "source_table")),
     "silver/stores": Table(S.SILVER_SCHEMAS["stores"], whole=True),
     "silver/inventory": Table(S.SILVER_SCHEMAS["inventory"], whole=True),
-    "silver/transactions": Table(S.SILVER_SCHEMAS["transactions"], ("txn_month",)),
-    "gold/daily_store_sales": Table(S.GOLD_SCHEMAS["daily_store_sales"], ("sales_month",)),
-    "gold/inventory_health": Table(S.GOLD_SCHEMAS["inventory_health"], ("snapshot_date",)),
-    "meta/commits": Table(S.COMMIT_SCHEMA, ("table_name",)),
+    "silver/transactions": Table(
+        S.SILVER_SCHEMAS["transactions"], ("txn_month",), gather_by=("txn_month",)
+    ),
+    "gold/daily_store_sales": Table(
+        S.GOLD_SCHEMAS["daily_store_sales"], ("sales_month",), gather_by=("sales_month",)
+    ),
+    "gold/inventory_health": Table(
+        S.GOLD_SCHEMAS["inventory_health"], ("snapshot_date",), gather_by=("snapshot_date",)
+    ),
+    "meta/commits": Table(S.COMMIT_SCHEMA, ("kind",)),
 }
 
 
@@ -60,7 +69,12 @@ class LayerStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.empty(schema)
+
+    def empty(self, schema: T.StructType) -> DataFrame:
+        """No rows, in a form Spark knows to be empty when it plans joins."""
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return self.spark.range(0).select(*nulls)
 
     def read(self, name: str) -> DataFrame:
         """The table's current rows; empty when it was never written."""
@@ -69,21 +83,32 @@ class LayerStore:
             return self._read_path(self.path(name), table.schema)
         version = self.current_version(name)
         if version is None:
-            return self.spark.createDataFrame([], table.schema)
+            return self.empty(table.schema)
         return self.read_version(name, version)
 
     def read_version(self, name: str, version: str) -> DataFrame:
         return self._read_path(f"{self.path(name)}/version={version}", TABLES[name].schema)
 
+    def mark(self, kind: str, value: str, at=None) -> None:
+        """Append one row to the commit log."""
+        row = self.spark.range(1).select(
+            F.lit(value).alias("value"),
+            as_timestamp(at).alias("committed_at"),
+            F.lit(kind).alias("kind"),
+        )
+        row.write.mode("append").partitionBy("kind").parquet(self.path("meta/commits"))
+
+    def marks(self, kind: str) -> DataFrame:
+        return self.read("meta/commits").filter(F.col("kind") == kind)
+
     def current_version(self, name: str) -> str | None:
         latest = (
-            self.read("meta/commits")
-            .filter(F.col("table_name") == name.replace("/", "."))
-            .orderBy(F.desc("committed_at"), F.desc("version"))
+            self.marks(name.replace("/", "."))
+            .orderBy(F.desc("committed_at"), F.desc("value"))
             .limit(1)
             .collect()
         )
-        return latest[0]["version"] if latest else None
+        return latest[0]["value"] if latest else None
 
     def write_version(self, df: DataFrame, name: str, version: str) -> DataFrame:
         """Write a whole new version that readers do not see before ``commit_version``."""
@@ -91,13 +116,8 @@ class LayerStore:
         df.select(*columns).write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
         return self.read_version(name, version)
 
-    def commit_version(self, name: str, version: str, committed_at=None) -> None:
-        row = self.spark.range(1).select(
-            F.lit(version).alias("version"),
-            as_timestamp(committed_at).alias("committed_at"),
-            F.lit(name.replace("/", ".")).alias("table_name"),
-        )
-        row.write.mode("append").partitionBy("table_name").parquet(self.path("meta/commits"))
+    def commit_version(self, name: str, version: str) -> None:
+        self.mark(name.replace("/", "."), version)
 
     def append(self, df: DataFrame, name: str) -> None:
         self._partitioned(df, name).mode("append").parquet(self.path(name))
@@ -107,25 +127,25 @@ class LayerStore:
         writer = self._partitioned(df, name).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
 
-    def _partitioned(self, df: DataFrame, name: str):
+    def replace_all(self, df: DataFrame, name: str) -> None:
+        writer = self._partitioned(df, name).mode("overwrite")
+        writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
+
+    def _partitioned(self, df: DataFrame, name: str) -> DataFrameWriter:
         table = TABLES[name]
         df = df.select(*table.schema.names)
-        # A batch is one partition value already; other layouts are rebalanced so that
-        # each value gets few files and a hot one is split by size.
-        spread = [c for c in table.partition_by if c not in ("_batch_id", "table_name")]
-        if spread:
-            df = df.hint("rebalance", *spread)
+        if table.gather_by:
+            df = df.hint("rebalance", *table.gather_by)
         return df.write.partitionBy(*table.partition_by)
 
-    def reset(self, prefixes: tuple[str, ...] = ("bronze", "quarantine", "silver", "gold")) -> None:
+    def reset(self, layers: tuple[str, ...] = ("bronze", "quarantine", "silver", "gold")) -> None:
         """Empty every table of the given layers."""
         for name, table in TABLES.items():
-            if name.split("/")[0] not in prefixes:
+            if name.split("/")[0] not in layers:
                 continue
-            empty = self.spark.createDataFrame([], table.schema)
             if table.whole:
-                self.write_version(empty, name, "empty")
-                self.commit_version(name, "empty")
+                version = f"empty-{uuid.uuid4().hex}"
+                self.write_version(self.empty(table.schema), name, version)
+                self.commit_version(name, version)
             else:
-                writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
-                writer.partitionBy(*table.partition_by).parquet(self.path(name))
+                self.replace_all(self.empty(table.schema), name)

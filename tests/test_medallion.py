@@ -1,0 +1,215 @@
+"""From CSV files to gold, over several batches, against plain-Python expectations."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.plans import medallion, quality, run_log, silver
+from tallymart.sources.csv_feeds import FeedContractError
+from tallymart.sources.tables import LayerStore
+
+STORES = """store_id,store_name,city,region,store_type,opened_date
+1,North,Oslo,EU,flagship,2019-05-01
+2,South,Rome,EU,outlet,2020-01-31
+3,NA,Bern,EU,outlet,2020-01-31
+"""
+INVENTORY = """store_id,product_id,stock_level,reorder_point,last_restocked,supplier_id
+1,10,5,10,2024-01-01,1
+1,20,100,50,2024-01-05,2
+2,10,abc,15,2024-01-10,3
+,30,20,25,2024-01-15,4
+2,40,3,4,2024-01-15,4
+"""
+TX_HEADER = (
+    "transaction_id,store_id,product_id,quantity,unit_price,transaction_ts,payment_method,cashier_id\n"
+)
+
+
+def tx(i: int, **over) -> str:
+    row = {
+        "transaction_id": f"{i:08x}-0000-0000-0000-000000000000", "store_id": "1",
+        "product_id": "10", "quantity": "2", "unit_price": "1.50",
+        "transaction_ts": "2024-01-15 10:00:00", "payment_method": "card", "cashier_id": "1",
+    }
+    row.update(over)
+    return ",".join(row.values()) + "\n"
+
+
+def feeds(tmp_path, name: str, transactions: str, stores=STORES, inventory=INVENTORY) -> dict:
+    folder = tmp_path / name
+    folder.mkdir()
+    out = {}
+    for feed, text in (
+        ("raw_stores", stores), ("raw_inventory", inventory), ("raw_transactions", transactions),
+    ):
+        (folder / f"{feed}.csv").write_text(text)
+        out[feed] = str(folder / f"{feed}.csv")
+    return out
+
+
+CLEAN = TX_HEADER + "".join(tx(i, store_id=str(1 + i % 2)) for i in range(40))
+
+
+def sales(store: LayerStore):
+    rows = store.read("gold/daily_store_sales").collect()
+    return {
+        (str(r.report_date), r.store_id): (
+            r.store_name, str(r.total_revenue), r.transaction_count, str(r.avg_basket_size),
+        )
+        for r in rows
+    }
+
+
+def test_one_batch_end_to_end(spark, tmp_path):
+    text = CLEAN + tx(100, quantity="-1") + tx(0, unit_price="9.99")
+    result = medallion.run(
+        spark, str(tmp_path / "lake"), feeds(tmp_path, "b1", text), "2024-02-01 00:00:00"
+    )
+    assert (result.records_loaded, result.records_inserted, result.records_quarantined) == (
+        50, 40, 2,
+    )
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    assert sales(store) == {
+        ("2024-01-15", 1): ("North", "60.00", 20, "3.00"),
+        ("2024-01-15", 2): ("South", "60.00", 20, "3.00"),
+    }
+    held = store.read("quarantine/raw_transactions").collect()
+    assert {r.reject_rule for r in held} == {"malformed_quantity", silver.DUPLICATE_RULE}
+    assert {r._quarantine_reason for r in held} == {"Failed silver transformation checks"}
+    health = {r.store_id: r for r in store.read("gold/inventory_health").collect()}
+    assert str(health[1].snapshot_date) == "2024-02-01"
+    assert (health[1].products_below_reorder, str(health[1].reorder_rate)) == (1, "50.00")
+    assert (health[2].products_below_reorder, str(health[2].reorder_rate)) == (1, "100.00")
+    rejected = {r.reject_rule for r in store.read("quarantine/raw_inventory").collect()}
+    assert rejected == {"missing_store_id", "malformed_stock_level"}
+    assert [r.reject_rule for r in store.read("quarantine/raw_stores").collect()] == [
+        "missing_store_name"
+    ]
+    bronze = store.read("bronze/raw_transactions")
+    assert bronze.select("_id", "_batch_id").distinct().count() == bronze.count() == 42
+    assert bronze.filter("_source_file like '%b1/raw_transactions.csv'").count() == 42
+    run = medallion.runs(store).collect()[0]
+    assert (run.status, run.records_loaded, run.records_quarantined) == ("success", 50, 2)
+    assert run.finished_at >= run.started_at
+    report = {r.check_name: (str(r.result), r.passed) for r in result.report}
+    assert report["quarantine_rate_under_10pct"] == ("4.76", True)
+    assert report["all_stores_have_sales"] == ("0.00", True)
+
+
+def test_batches_merge_retry_and_late_store(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    store = LayerStore(spark, root)
+    unknown = tx(200, store_id="9", transaction_ts="2023-11-03 08:00:00")
+    ahead = tx(201, transaction_ts="2024-03-05 09:00:00")
+    medallion.run(
+        spark, root, feeds(tmp_path, "b1", CLEAN + unknown + ahead), "2024-02-01 00:00:00",
+        batch_id="b1",
+    )
+    assert ("2023-11-03", 9) not in sales(store)
+    stores = STORES.replace("1,North", "1,Renamed") + "9,Late,Lund,EU,outlet,2024-01-01\n"
+    inventory = INVENTORY.replace("1,10,5,10,2024-01-01,1", "1,10,50,10,2024-02-01,7")
+    second = TX_HEADER + tx(0, unit_price="7.00") + "".join(tx(i) for i in range(300, 320))
+    result = medallion.run(
+        spark, root, feeds(tmp_path, "b2", second, stores, inventory), "2024-04-01 00:00:00",
+        batch_id="b2",
+    )
+    # 20 new ids and the row whose date has passed; id 0 is already known.
+    assert (result.records_inserted, result.records_quarantined) == (21, 1)
+    got = sales(store)
+    assert got[("2024-01-15", 1)] == ("North", "120.00", 40, "3.00")  # name of the row is kept
+    assert got[("2023-11-03", 9)] == ("Late", "3.00", 1, "3.00")  # its store came later
+    assert got[("2024-03-05", 1)] == ("Renamed", "3.00", 1, "3.00")
+    names = {r.store_id: r.store_name for r in store.read("silver/stores").collect()}
+    assert names == {1: "Renamed", 2: "South", 9: "Late"}
+    kept = store.read("silver/inventory").filter("store_id = 1 and product_id = 10").first()
+    assert (kept.stock_level, kept.is_below_reorder, kept.supplier_id) == (50, False, 1)
+    days = {str(r.snapshot_date) for r in store.read("gold/inventory_health").collect()}
+    assert days == {"2024-02-01", "2024-04-01"}
+    # Every bronze row is in silver or in quarantine, never in both.
+    transactions = store.read("silver/transactions")
+    held = silver.current_quarantine(store.read("quarantine/raw_transactions"), transactions)
+    bronze = store.read("bronze/raw_transactions")
+    assert held.count() == 1
+    assert transactions.count() + held.count() == bronze.count()
+    assert silver.silver_keys(transactions).intersect(held.select("_batch_id", "_id")).count() == 0
+
+
+def test_rerun_of_a_batch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    store = LayerStore(spark, root)
+    paths = feeds(tmp_path, "b1", CLEAN + tx(0))
+    for _ in range(2):
+        medallion.run(spark, root, paths, "2024-02-01 00:00:00", batch_id="b1")
+    assert store.read("bronze/raw_transactions").count() == 41
+    assert store.read("silver/transactions").count() == 40
+    assert store.read("quarantine/raw_transactions").count() == 1
+    assert sales(store)[("2024-01-15", 1)][2] == 20
+
+
+def test_same_file_as_new_batch_is_quarantined_and_fails_the_rate(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    store = LayerStore(spark, root)
+    paths = feeds(tmp_path, "b1", CLEAN)
+    medallion.run(spark, root, paths, "2024-02-01 00:00:00", batch_id="b1")
+    before = sales(store)
+    with pytest.raises(quality.QualityError, match="quarantine_rate_under_10pct: result 50.00"):
+        medallion.run(spark, root, paths, "2024-02-02 00:00:00", batch_id="b2", run_id="second")
+    assert sales(store) == before
+    state = medallion.runs(store).filter("run_id = 'second'").first()
+    assert state.status == "failed" and "quarantine_rate" in state.error_message
+    status = run_log.last_run_status(medallion.runs(store)).first()
+    assert status.pipeline_status == "failed"
+
+
+def test_checks_before_publishing(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    store = LayerStore(spark, root)
+    dirty = TX_HEADER + tx(1) + tx(2, quantity="0") + tx(3, unit_price="x")
+    with pytest.raises(quality.QualityError):
+        medallion.run(
+            spark, root, feeds(tmp_path, "b1", dirty), "2024-02-01 00:00:00", batch_id="b1",
+            publish_first=False,
+        )
+    for name in ("silver/transactions", "silver/stores", "gold/daily_store_sales"):
+        assert store.read(name).count() == 0
+    assert store.read("bronze/raw_transactions").count() == 3
+    # The held batch is taken up again with the next one and now passes the rate.
+    result = medallion.run(
+        spark, root, feeds(tmp_path, "b2", TX_HEADER + "".join(tx(i) for i in range(10, 60))),
+        "2024-02-02 00:00:00", batch_id="b2", publish_first=False,
+    )
+    assert result.records_inserted == 51
+    assert store.read("quarantine/raw_transactions").count() == 2
+    assert sales(store)[("2024-01-15", 1)][2] == 51
+    assert medallion.pending_batches(store, "next") == ["next"]
+
+
+def test_replay_after_reset_gives_the_same_tables(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    store = LayerStore(spark, root)
+    medallion.run(
+        spark, root, feeds(tmp_path, "b1", CLEAN + tx(0, unit_price="2.00")),
+        "2024-02-01 00:00:00", batch_id="b1",
+    )
+    before = sales(store)
+    store.reset(("silver", "gold", "quarantine"))
+    assert sales(store) == {} and store.read("silver/stores").count() == 0
+    result = medallion.run(spark, root, {}, "2024-02-01 00:00:00", batch_id="none", replay=True)
+    assert (result.records_inserted, result.records_quarantined) == (40, 1)
+    assert sales(store) == before
+
+
+def test_unknown_column_rejects_the_batch(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    bad = feeds(tmp_path, "b1", CLEAN, stores="store_id,surprise\n1,x\n2,y\n")
+    with pytest.raises(FeedContractError, match="surprise"):
+        medallion.run(spark, root, bad, "2024-02-01 00:00:00", batch_id="b1", run_id="r")
+    store = LayerStore(spark, root)
+    rejects = store.read("quarantine/rejected_records").orderBy("record").collect()
+    assert [r.record for r in rejects] == [
+        '{"store_id":"1","surprise":"x"}', '{"store_id":"2","surprise":"y"}',
+    ]
+    assert all("surprise" in r._quarantine_reason for r in rejects)
+    assert store.read("bronze/raw_stores").count() == 0
+    assert medallion.runs(store).filter(F.col("status") == "failed").count() == 1
