@@ -1,0 +1,244 @@
+"""Merges, exact rounding, checks, reports and the run log on small frames."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart import schemas as S
+from tallymart.functions.clock import iso_text
+from tallymart.functions.exact import from_cents, mean_of_cents, percentage, to_cents
+from tallymart.operators.keyed import insert_if_absent, keep_first, merge_upsert
+from tallymart.plans import gold, quality, run_log, serving
+
+
+def rows(df) -> set:
+    return {tuple(r) for r in df.collect()}
+
+
+# --- keyed operators --------------------------------------------------------
+
+
+def test_merge_upsert_updates_only_the_named_columns(spark):
+    current = spark.createDataFrame([(1, "a", 10), (2, "b", None)], "k int, name string, v int")
+    incoming = spark.createDataFrame([(2, "x", 5), (3, None, 7)], "k int, name string, v int")
+    merged = merge_upsert(current, incoming, ["k"], ["v"])
+    assert rows(merged) == {(1, "a", 10), (2, "b", 5), (3, None, 7)}
+    again = merge_upsert(merged, incoming, ["k"], ["v"])
+    assert rows(again) == rows(merged)
+
+
+def test_merge_upsert_takes_over_nulls(spark):
+    current = spark.createDataFrame([(1, 10)], "k int, v int")
+    incoming = spark.createDataFrame([(1, None)], "k int, v int")
+    assert rows(merge_upsert(current, incoming, ["k"], ["v"])) == {(1, None)}
+
+
+def test_insert_if_absent(spark):
+    current = spark.createDataFrame([("a", 1)], "k string, v int")
+    incoming = spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int")
+    assert rows(insert_if_absent(current, incoming, ["k"])) == {("b", 3)}
+
+
+def test_keep_first_against_brute_force(spark):
+    rng = random.Random(7)
+    data = [(rng.randint(0, 20), rng.randint(0, 5), i) for i in range(500)]
+    want = {}
+    for k, a, i in sorted(data, key=lambda r: (r[0], -r[1], r[2])):
+        want.setdefault(k, (k, a, i))
+    df = spark.createDataFrame(data, "k int, a int, i int").repartition(5)
+    got = keep_first(df, ["k"], [F.col("a").desc(), F.col("i").asc()])
+    assert rows(got) == set(want.values())
+
+
+# --- exact rounding ---------------------------------------------------------
+
+
+def test_means_and_percentages_round_half_up(spark):
+    rng = random.Random(3)
+    cases = [(9999, 19999), (1, 2), (0, 5), (995, 1000), (12345, 7)]
+    cases += [(rng.randint(0, 10**9), rng.randint(1, 10**5)) for _ in range(200)]
+    cent = Decimal("0.01")
+    df = spark.createDataFrame(cases, "s bigint, n bigint")
+    for r in df.select("s", "n", mean_of_cents(F.col("s"), F.col("n")).alias("m")).collect():
+        exact = (Decimal(r.s) / 100 / Decimal(r.n)).quantize(cent, ROUND_HALF_UP)
+        assert r.m == exact, r
+    parts = spark.createDataFrame([(n % (m + 1), m) for n, m in cases], "p bigint, t bigint")
+    for r in parts.select("p", "t", percentage(F.col("p"), F.col("t")).alias("x")).collect():
+        assert r.x == (Decimal(r.p) * 100 / Decimal(r.t)).quantize(cent, ROUND_HALF_UP), r
+
+
+def test_rounding_edge_values(spark):
+    one = spark.range(1)
+    zero = F.lit(0).cast("bigint")
+    assert one.select(percentage(zero, zero)).first()[0] is None
+    amount = F.lit("12345678.91").cast("decimal(10,2)")
+    assert one.select(to_cents(amount)).first()[0] == 1234567891
+    assert one.select(from_cents(F.lit(5).cast("bigint"), 20)).first()[0] == Decimal("0.05")
+
+
+# --- checks -----------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    ("result", "expected", "maximum", "minimum", "passed"),
+    [
+        ("5.00", None, 10, None, True), ("15.00", None, 10, None, False),
+        ("10.00", None, 10, None, True), ("10.01", None, 10, None, False),
+        (None, None, 10, None, True), ("0", 0, None, None, True), ("5", 0, None, None, False),
+        (None, 0, None, None, False), ("100", None, None, 1, True), ("0", None, None, 1, False),
+        (None, None, None, 1, False), ("5", None, 10, 1, True), ("0", None, 10, 1, False),
+    ],
+)
+def test_check_evaluator(spark, result, expected, maximum, minimum, passed):
+    def dec(v):
+        return None if v is None else Decimal(str(v))
+
+    schema = ", ".join(
+        f"{c} decimal(20,2)" for c in ("result", "expected_value", "max_value", "min_value")
+    )
+    df = spark.createDataFrame([tuple(map(dec, (result, expected, maximum, minimum)))], schema)
+    assert quality.evaluate(df).first().passed is passed
+
+
+def test_report_on_empty_tables(spark):
+    def empty(schema):
+        return spark.createDataFrame([], schema)
+
+    report = quality.quality_report(
+        empty(S.bronze_schema("raw_transactions")), empty(S.quarantine_schema("raw_transactions")),
+        empty(S.SILVER_SCHEMAS["transactions"]), empty(S.SILVER_SCHEMAS["stores"]),
+        empty(S.GOLD_SCHEMAS["daily_store_sales"]), "2024-01-01 00:00:00",
+    ).collect()
+    got = {r.check_name: (r.severity, r.result, r.passed) for r in report}
+    assert got == {
+        "no_negative_quantities": ("error", 0, True),
+        "no_future_transactions": ("error", 0, True),
+        "quarantine_rate_under_10pct": ("error", None, True),
+        "silver_transactions_not_empty": ("error", 0, False),
+        "gold_daily_sales_not_empty": ("warning", 0, False),
+        "all_stores_have_sales": ("warning", 0, True),
+    }
+    with pytest.raises(quality.QualityError, match="silver_transactions_not_empty"):
+        quality.require_passed(report)
+    assert len(quality.failed(report)) == 1  # the warning does not count
+
+
+# --- gold and reports -------------------------------------------------------
+
+GOLD = [
+    ("2024-01-10", 1, "North", "100.00", 4, "25.00"),
+    ("2024-01-10", 2, "South", "100.00", 3, "33.33"),
+    ("2024-01-03", 1, "North", "500.00", 9, "55.56"),
+    ("2024-01-02", 0, "Zero", "900.00", 1, "900.00"),
+]
+
+
+@pytest.fixture(scope="module")
+def gold_sales(spark):
+    df = spark.createDataFrame(
+        GOLD, "d string, store_id int, store_name string, r string, transaction_count bigint, a string"
+    )
+    return df.select(
+        F.col("d").cast("date").alias("report_date"), "store_id", "store_name",
+        F.col("r").cast("decimal(20,2)").alias("total_revenue"), "transaction_count",
+        F.col("a").cast("decimal(10,2)").alias("avg_basket_size"),
+    ).withColumn("sales_month", F.trunc("report_date", "MM"))
+
+
+def test_daily_sales_filters(gold_sales):
+    def keys(**kw):
+        return [(str(r.report_date), r.store_id) for r in serving.daily_sales(gold_sales, **kw).collect()]
+
+    everything = [("2024-01-10", 1), ("2024-01-10", 2), ("2024-01-03", 1), ("2024-01-02", 0)]
+    assert keys() == everything
+    assert keys(store_id=0) == [("2024-01-02", 0)]  # a store like any other
+    assert keys(start_date="2024-01-03", end_date=dt.date(2024, 1, 10)) == everything[:3]
+    assert keys(store_id=1, end_date="2024-01-09") == [("2024-01-03", 1)]
+    assert "sales_month" not in serving.daily_sales(gold_sales).columns
+
+
+def test_sales_summary(gold_sales):
+    week = serving.sales_summary(gold_sales, "7d", "2024-01-10").first()
+    # Eight calendar days: the 3rd is in, the 2nd is not; equal to counting store-days.
+    assert (week.transaction_count, week.total_revenue) == (3, Decimal("700.00"))
+    assert week.avg_basket_size == Decimal("37.96") and week.top_store == "North"
+    assert serving.sales_summary(gold_sales, "1y", "2024-01-10").first() == week
+    month = serving.sales_summary(gold_sales, "30d", "2024-01-10").first()
+    assert month.top_store == "Zero"
+    tie = serving.sales_summary(gold_sales, "7d", "2024-01-12").first()
+    assert tie.top_store == "South"  # equal best days: greatest name
+    none = serving.sales_summary(gold_sales, "7d", "2025-01-01").first()
+    assert tuple(none) == (0, None, None, None)
+
+
+def test_daily_sales_drop_unknown_stores(spark):
+    tx = spark.createDataFrame(
+        [(1, "2024-01-01 23:59:59", "0.01"), (1, "2024-01-01 00:00:00", "0.02"),
+         (1, "2024-01-02 00:00:00", "5.00"), (7, "2024-01-01 00:00:00", "9.00")],
+        "store_id int, ts string, a string",
+    ).select("store_id", F.col("ts").cast("timestamp").alias("transaction_ts"),
+             F.col("a").cast("decimal(10,2)").alias("total_amount"))
+    stores = spark.createDataFrame([(1, "North")], "store_id int, store_name string")
+    out = gold.daily_store_sales(tx, stores, "2024-02-01 00:00:00")
+    got = {
+        (str(r.report_date), r.store_id, str(r.total_revenue), r.transaction_count, str(r.avg_basket_size))
+        for r in out.collect()
+    }
+    assert got == {
+        ("2024-01-01", 1, "0.03", 2, "0.02"), ("2024-01-02", 1, "5.00", 1, "5.00"),
+    }
+
+
+def test_snapshot_is_the_latest_day(spark):
+    health = spark.createDataFrame(
+        [(1, "2024-01-01", "90.00"), (1, "2024-01-02", "10.00"), (2, "2024-01-02", "20.00")],
+        "store_id int, d string, r string",
+    ).select("store_id", F.col("d").cast("date").alias("snapshot_date"),
+             F.col("r").cast("decimal(5,2)").alias("reorder_rate"))
+    assert [r.store_id for r in serving.health_snapshot(health).collect()] == [2, 1]
+
+
+# --- run log ----------------------------------------------------------------
+
+
+def events(spark, data):
+    df = spark.createDataFrame(data, "run_id string, seq bigint, t string, status string")
+    return df.select(
+        "run_id", F.lit("daily").alias("flow_name"), "seq",
+        F.col("t").cast("timestamp").alias("ts"), "status",
+        F.lit(1).cast("bigint").alias("records_loaded"),
+        F.lit(0).cast("bigint").alias("records_quarantined"),
+        F.lit(None).cast("string").alias("error_message"),
+    )
+
+
+def test_run_log(spark):
+    log = events(spark, [
+        ("a", 0, "2024-01-01 00:00:00", "running"), ("a", 1, "2024-01-01 00:05:00.25", "success"),
+        ("b", 0, "2024-01-02 00:00:00", "running"), ("b", 1, "2024-01-02 00:00:00", "failed"),
+        ("c", 0, "2024-01-01 12:00:00", "running"),
+    ])
+    runs = run_log.fold_runs(log)
+    state = {r.run_id: (r.status, r.finished_at is None) for r in runs.collect()}
+    assert state == {"a": ("success", False), "b": ("failed", False), "c": ("running", True)}
+    assert [r.run_id for r in run_log.recent_runs(runs).collect()] == ["b", "c", "a"]
+    assert [r.run_id for r in run_log.recent_runs(runs, 2).collect()] == ["b", "c"]
+    last = run_log.last_run_status(runs).first()
+    assert tuple(last) == ("failed", "2024-01-02T00:00:00+00:00")
+    running = run_log.last_run_status(runs.filter("run_id = 'c'")).first()
+    assert tuple(running) == ("running", None)
+    never = run_log.last_run_status(runs.filter("run_id = 'x'")).first()
+    assert tuple(never) == ("never_run", None)
+
+
+def test_iso_text_shows_a_fraction_only_when_there_is_one(spark):
+    def text(value):
+        return spark.range(1).select(iso_text(F.lit(value).cast("timestamp"))).first()[0]
+
+    assert text("2024-01-15 10:00:00") == "2024-01-15T10:00:00+00:00"
+    assert text("2024-01-15 10:00:00.25") == "2024-01-15T10:00:00.250000+00:00"
