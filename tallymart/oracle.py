@@ -302,6 +302,16 @@ _REASON = "'Failed silver transformation checks' AS _quarantine_reason"
 
 
 def oracle() -> dict[str, str]:
+    sql = _oracle()
+    sql["csv_ingest_transactions"] = sql["bronze_transactions"]
+    sql["csv_ingest_inventory"] = sql["bronze_inventory"]
+    sql["csv_ingest_stores"] = sql["bronze_stores"]
+    # Two refreshes through files end where the two-batch upsert ends.
+    sql["medallion_daily_sales"] = sql["merge_upsert_daily_sales"]
+    return sql
+
+
+def _oracle() -> dict[str, str]:
     return {
         "bronze_transactions": _with(["raw_tx"], f"SELECT {_RAW_TX_COLUMNS} FROM raw_tx"),
         "bronze_inventory": _with(["raw_inv"], f"SELECT {_RAW_INV_COLUMNS} FROM raw_inv"),

@@ -226,7 +226,7 @@ def run(
         for feed in (f for f in FEEDS if f in feeds):
             loaded += ingest_feed(store, feed, feeds[feed], batch_id, as_of)
         batches = None if replay else pending_batches(store, batch_id)
-        inserted, held, report = _refresh(store, run_id, batches, as_of, publish_first)
+        inserted, held, report = refresh(store, run_id, batches, as_of, publish_first)
         quality.require_passed(report)
     except Exception as error:
         log_event(store, run_id, flow_name, 1, "failed", None, loaded, held, str(error))
@@ -235,8 +235,12 @@ def run(
     return RunResult(run_id, loaded, inserted, held, report)
 
 
-def _refresh(
-    store: LayerStore, run_id: str, batches: list[str] | None, as_of, publish_first: bool
+def refresh(
+    store: LayerStore,
+    run_id: str,
+    batches: list[str] | None,
+    as_of,
+    publish_first: bool = True,
 ) -> tuple[int, int, list]:
     """Silver, gold and checks for the given bronze batches (all without any).
 

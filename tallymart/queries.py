@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from tallymart import schemas as S
 from tallymart.functions.exact import percentage
 from tallymart.operators.keyed import insert_if_absent, merge_upsert
-from tallymart.plans import gold, quality, run_log, serving, silver
+from tallymart.plans import gold, medallion, quality, run_log, serving, silver
+from tallymart.session import scratch_path
 from tallymart.sources import testdata as feeds
+from tallymart.sources.tables import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -302,6 +304,54 @@ def last_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_log.last_run_status(run_states(spark, sf_dir))
 
 
+# --- through files: CSV in, tables out --------------------------------------
+
+
+def _csv(feed: DataFrame, name: str) -> str:
+    """Write a derived feed as CSV files with ``NA`` for missing values."""
+    path = scratch_path(feed.sparkSession, name)
+    payload = feed.select(*S.FEED_COLUMNS[name])
+    payload.write.option("header", True).option("escape", '"').option("nullValue", "NA").csv(path)
+    return path
+
+
+def _ordered_transactions(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+    """Equal ids stand in one file in the order that the derived feed defines."""
+    raw = feeds.raw_transactions(spark, sf_dir, batch)
+    order = [
+        F.col("transaction_ts").try_cast("timestamp"), F.col("store_id").try_cast("int"),
+        F.col("product_id").try_cast("int"), F.col("quantity").try_cast("int"),
+        F.col("unit_price").try_cast("decimal(10,2)"),
+    ]
+    return raw.repartition("transaction_id").sortWithinPartitions("transaction_id", *order)
+
+
+def _csv_ingest(name: str, feed: Callable[[SparkSession, str], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = LayerStore(spark, scratch_path(spark, "lake"))
+        path = _csv(feed(spark, sf_dir), name)
+        medallion.ingest_feed(store, name, path, "batch", feeds.AS_OF)
+        return store.read(f"bronze/{name}").select(*S.FEED_COLUMNS[name])
+
+    return query
+
+
+def medallion_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of all three feeds from CSV files to the gold table."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    for batch in (1, 2):
+        name = f"batch-{batch}"
+        inputs = {
+            "raw_stores": feeds.raw_stores(spark, sf_dir, batch),
+            "raw_inventory": feeds.raw_inventory(spark, sf_dir, batch),
+            "raw_transactions": _ordered_transactions(spark, sf_dir, batch),
+        }
+        for feed, df in inputs.items():
+            medallion.ingest_feed(store, feed, _csv(df, feed), name, feeds.AS_OF)
+        medallion.refresh(store, name, [name], feeds.AS_OF)
+    return store.read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
+
+
 # --- registry ---------------------------------------------------------------
 
 _QUERIES: dict[str, Query] = {
@@ -339,6 +389,10 @@ _QUERIES: dict[str, Query] = {
     "run_states": run_states,
     "recent_runs": recent_runs,
     "last_run_status": last_run_status,
+    "csv_ingest_transactions": _csv_ingest("raw_transactions", feeds.raw_transactions),
+    "csv_ingest_inventory": _csv_ingest("raw_inventory", feeds.raw_inventory),
+    "csv_ingest_stores": _csv_ingest("raw_stores", feeds.raw_stores),
+    "medallion_daily_sales": medallion_daily_sales,
 }
 
 
