@@ -12,7 +12,7 @@ from tallymart import schemas as S
 from tallymart.functions.exact import percentage
 from tallymart.operators.keyed import insert_if_absent, merge_upsert
 from tallymart.plans import gold, medallion, quality, run_log, serving, silver
-from tallymart.session import scratch_path
+from tallymart.session import scratch_path, stage
 from tallymart.sources import testdata as feeds
 from tallymart.sources.tables import LayerStore
 
@@ -79,15 +79,19 @@ def _daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _merged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = _transactions(spark, sf_dir, 1)
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """A table that several parts of one query read is written once in the shared folder."""
+    return stage(df, name)[0]
+
+
+def _merged_transactions(spark: SparkSession, sf_dir: str, current: DataFrame) -> DataFrame:
     new = insert_if_absent(current, _transactions(spark, sf_dir, 2), ["transaction_id"])
     return current.unionByName(new)
 
 
 def _merged_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots of the first batch; the later one is refreshed by the second batch."""
-    first = _inventory(spark, sf_dir, 1)
+    first = _staged(_inventory(spark, sf_dir, 1), "inventory")
     earlier = gold.inventory_health(first, "1998-12-31", feeds.AS_OF)
     later = gold.inventory_health(first, feeds.AS_OF_DATE, feeds.AS_OF)
     incoming = gold.inventory_health(_inventory(spark, sf_dir, 2), feeds.AS_OF_DATE, feeds.AS_OF)
@@ -192,7 +196,8 @@ def gold_inventory_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_transactions(spark, sf_dir).drop(
+    current = _staged(_transactions(spark, sf_dir, 1), "transactions")
+    return _merged_transactions(spark, sf_dir, current).drop(
         "_bronze_batch_id", "_bronze_id", "txn_month", *AUDIT_COLUMNS
     )
 
@@ -218,11 +223,10 @@ def merge_upsert_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_upsert_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = gold.daily_store_sales(
-        _transactions(spark, sf_dir, 1), _stores(spark, sf_dir, 1), feeds.AS_OF
-    )
+    first = _staged(_transactions(spark, sf_dir, 1), "transactions")
+    current = gold.daily_store_sales(first, _stores(spark, sf_dir, 1), feeds.AS_OF)
     incoming = gold.daily_store_sales(
-        _merged_transactions(spark, sf_dir), _stores(spark, sf_dir, 2), feeds.AS_OF
+        _merged_transactions(spark, sf_dir, first), _stores(spark, sf_dir, 2), feeds.AS_OF
     )
     merged = merge_upsert(current, incoming, gold.DAILY_SALES_KEY, gold.DAILY_SALES_UPDATES)
     return merged.drop("sales_month", *AUDIT_COLUMNS)
@@ -262,19 +266,23 @@ def inventory_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory_health_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.health_snapshot(_merged_health(spark, sf_dir)).drop(*AUDIT_COLUMNS)
+    health = _staged(_merged_health(spark, sf_dir), "health")
+    return serving.health_snapshot(health).drop(*AUDIT_COLUMNS)
 
 
 # --- quality and runs -------------------------------------------------------
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = feeds.raw_transactions(spark, sf_dir)
+    transactions = _staged(_transactions(spark, sf_dir), "transactions")
+    stores = _stores(spark, sf_dir)
     return quality.quality_report(
-        feeds.raw_transactions(spark, sf_dir),
-        _quarantine(spark, sf_dir),
-        _transactions(spark, sf_dir),
-        _stores(spark, sf_dir),
-        _daily_sales(spark, sf_dir),
+        raw,
+        silver.quarantine_transactions(raw, transactions, feeds.AS_OF),
+        transactions,
+        stores,
+        gold.daily_store_sales(transactions, stores, feeds.AS_OF),
         feeds.AS_OF,
     )
 
@@ -316,14 +324,19 @@ def _csv(feed: DataFrame, name: str) -> str:
 
 
 def _ordered_transactions(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
-    """Equal ids stand in one file in the order that the derived feed defines."""
+    """Equal ids stand in one file in the order that the derived feed defines.
+
+    Rows without an id are dealt out by product; the derived ids repeat a few times only.
+    """
     raw = feeds.raw_transactions(spark, sf_dir, batch)
     order = [
         F.col("transaction_ts").try_cast("timestamp"), F.col("store_id").try_cast("int"),
         F.col("product_id").try_cast("int"), F.col("quantity").try_cast("int"),
         F.col("unit_price").try_cast("decimal(10,2)"),
     ]
-    return raw.repartition("transaction_id").sortWithinPartitions("transaction_id", *order)
+    return raw.repartition(
+        F.coalesce("transaction_id", "product_id")
+    ).sortWithinPartitions("transaction_id", *order)
 
 
 def _csv_ingest(name: str, feed: Callable[[SparkSession, str], DataFrame]) -> Query:

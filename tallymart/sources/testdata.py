@@ -19,9 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when the scan has fewer splits than there are cores.
+
+    A small file is one split and would keep all later row work on one core. A table
+    with enough splits is left as scanned, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _lineitem(spark: SparkSession, sf_dir: str, batch: int | None) -> DataFrame:
     """All rows, or the ones shipped before (batch 1) or after (batch 2) the split."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity",
+        "l_extendedprice", "l_shipdate",
+        F.col("_metadata.row_index").alias("_id"),
+        F.col("_metadata.file_path").alias("_source_file"),
+    )
+    lines = _spread(lines)
     split = F.lit(BATCH_SPLIT).cast("timestamp_ntz")
     if batch == 1:
         return lines.filter(F.col("l_shipdate") < split)
@@ -32,9 +48,9 @@ def _lineitem(spark: SparkSession, sf_dir: str, batch: int | None) -> DataFrame:
 
 def _provenance(ingested_at) -> list:
     return [
-        F.col("_metadata.row_index").alias("_id"),
+        F.col("_id"),
         ingested_at.cast("timestamp").alias("_ingested_at"),
-        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_source_file"),
         F.lit(False).alias("_is_quarantined"),
         F.lit(None).cast("string").alias("_quarantine_reason"),
     ]
@@ -70,7 +86,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str, batch: int | None = None)
         .alias("transaction_ts"),
         method.alias("payment_method"),
         (F.col("l_orderkey") % 50 + 1).cast("string").alias("cashier_id"),
-        F.col("_metadata.file_path").alias("_batch_id"),
+        F.col("_source_file").alias("_batch_id"),
     )
 
 
@@ -87,7 +103,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str, batch: int | None = None) ->
         .alias("reorder_point"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("last_restocked"),
         (part % 20 + 1).cast("string").alias("supplier_id"),
-        F.col("_metadata.file_path").alias("_batch_id"),
+        F.col("_source_file").alias("_batch_id"),
     )
 
 
