@@ -30,15 +30,21 @@ def without_match(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> Data
     return df.join(others.select(*keys), list(keys), "left_anti")
 
 
+def known_keys(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``incoming`` that ``current`` has already.
+
+    Few incoming keys are broadcast and the large table is only scanned; many make both
+    sides shuffle by key. Only key columns take part.
+    """
+    return current.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
+
+
 def insert_if_absent(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``incoming`` (unique keys) whose key ``current`` does not have yet.
 
-    ``current`` is first cut down to the incoming keys. When those are few, Spark
-    broadcasts them and the large table is only scanned; otherwise both sides are
-    shuffled once by key and the second join reuses that partitioning.
+    ``incoming`` is read twice, so it should be a stored frame rather than a long plan.
     """
-    known = current.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
-    return without_match(incoming, known, keys)
+    return without_match(incoming, known_keys(current, incoming, keys), keys)
 
 
 def merge_upsert(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallymart import schemas as S
 from tallymart.functions.clock import as_date, as_timestamp
-from tallymart.operators.keyed import insert_if_absent, merge_upsert, without_match
+from tallymart.operators.keyed import known_keys, merge_upsert, without_match
 from tallymart.plans import gold, quality, run_log, silver
 from tallymart.session import stage
 from tallymart.sources import csv_feeds
@@ -257,10 +257,14 @@ def refresh(
 
     # Transactions: insert the absent ones, quarantine what reached no silver row.
     existing = store.read("silver/transactions")
-    candidates = silver.silver_transactions(candidate_transactions(store, batches), as_of)
-    inserted, inserted_rows = stage(
-        insert_if_absent(existing, candidates, ["transaction_id"]), "inserted-transactions"
+    candidates, candidate_rows = stage(
+        silver.silver_transactions(candidate_transactions(store, batches), as_of), "candidates"
     )
+    known, known_rows = stage(
+        known_keys(existing, candidates, ["transaction_id"]), "known-transactions"
+    )
+    inserted = without_match(candidates, known, ["transaction_id"])
+    inserted_rows = candidate_rows - known_rows
     transactions = existing.unionByName(inserted)
     reached = transactions
     if batches is not None:

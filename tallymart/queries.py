@@ -85,8 +85,8 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def _merged_transactions(spark: SparkSession, sf_dir: str, current: DataFrame) -> DataFrame:
-    new = insert_if_absent(current, _transactions(spark, sf_dir, 2), ["transaction_id"])
-    return current.unionByName(new)
+    incoming = _staged(_transactions(spark, sf_dir, 2), "transactions")
+    return current.unionByName(insert_if_absent(current, incoming, ["transaction_id"]))
 
 
 def _merged_health(spark: SparkSession, sf_dir: str) -> DataFrame:

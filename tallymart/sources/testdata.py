@@ -26,7 +26,7 @@ def _spread(df: DataFrame) -> DataFrame:
     with enough splits is left as scanned, so nothing is shuffled at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, "_id") if df.rdd.getNumPartitions() < cores else df
 
 
 def _lineitem(spark: SparkSession, sf_dir: str, batch: int | None) -> DataFrame:
