@@ -8,6 +8,7 @@ up again by the next run.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -127,30 +128,32 @@ def candidate_transactions(store: LayerStore, batches: list[str] | None) -> Data
 
 def touched_months(
     existing: DataFrame, changed: DataFrame, old_stores: DataFrame, new_stores: DataFrame
-) -> DataFrame:
+) -> list[dt.date]:
     """Months whose daily sales can have changed: those of the changed transactions, and
-    those of existing transactions whose store is only known since this run."""
+    those of existing transactions whose store is only known since this run.
+
+    A list, as there are only so many calendar months: as literals they prune the month
+    folders of silver and gold before any file is opened.
+    """
     months = changed.select("txn_month").distinct()
     added = without_match(new_stores.select("store_id"), old_stores, ["store_id"])
-    if added.isEmpty():  # spares a scan of all transactions
-        return months
-    late = existing.select("store_id", "txn_month").join(added, "store_id", "left_semi")
-    return months.unionByName(late.select("txn_month")).distinct()
+    if not added.isEmpty():  # else no scan of all transactions
+        late = existing.select("store_id", "txn_month").join(added, "store_id", "left_semi")
+        months = months.unionByName(late.select("txn_month")).distinct()
+    return sorted(r["txn_month"] for r in months.collect())
 
 
 def merged_daily_sales(
     current: DataFrame,
     transactions: DataFrame,
     stores: DataFrame,
-    months: DataFrame | None,
+    months: list[dt.date] | None,
     as_of=None,
 ) -> DataFrame:
     """Daily sales of the given months (all without any) after the upsert."""
     if months is not None:
-        transactions = transactions.join(months, "txn_month", "left_semi")
-        current = current.join(
-            months.withColumnRenamed("txn_month", "sales_month"), "sales_month", "left_semi"
-        )
+        transactions = transactions.filter(F.col("txn_month").isin(months))
+        current = current.filter(F.col("sales_month").isin(months))
     incoming = gold.daily_store_sales(transactions, stores, as_of)
     return merge_upsert(current, incoming, gold.DAILY_SALES_KEY, gold.DAILY_SALES_UPDATES)
 
@@ -278,9 +281,7 @@ def refresh(
     months = None
     if batches is not None:
         changed = reached.select("txn_month").unionByName(inserted.select("txn_month"))
-        months, _ = stage(
-            touched_months(existing, changed, old_stores, stores), "touched-months"
-        )
+        months = touched_months(existing, changed, old_stores, stores)
     old_sales = store.read("gold/daily_store_sales")
     sales, _ = stage(
         merged_daily_sales(old_sales, transactions, stores, months, as_of), "daily-sales"
@@ -317,10 +318,7 @@ def refresh(
         if batches is not None:
             others = store.read("quarantine/raw_transactions")
             held = others.filter(~F.col("_batch_id").isin(batches)).unionByName(lost)
-            untouched = without_match(
-                old_sales, months.withColumnRenamed("txn_month", "sales_month"), ["sales_month"]
-            )
-            all_sales = untouched.unionByName(sales)
+            all_sales = old_sales.filter(~F.col("sales_month").isin(months)).unionByName(sales)
     report = quality.quality_report(
         store.read("bronze/raw_transactions"),
         silver.current_quarantine(held, transactions),
