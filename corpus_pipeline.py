@@ -1,12 +1,110 @@
-"""The cleaning pipeline over ``documents``: every stage reads what the one before it wrote."""
+"""The cleaning pipeline over ``documents``: every stage reads what the one before it wrote.
+
+Decisions are found on narrow tables and reach the texts by a join on the document's key:
+the decided keys are broadcast as long as they are few, else both sides are shuffled. The
+key is doc_id, or for a document without one a number from its text, so that equal texts
+without an id are decided alike. Columns other than the tables' own are carried along.
+
+==========  ===================================================================
+toxicity    documents scored toxic go (model learned from ``labels``)
+near_dedup  one document of each group of near-duplicates stays (five-word
+            shingles, similarity 0.8); of rows that share a doc_id one stays
+decontam    documents of which a twentieth or more is benchmark text go
+mixture     documents stay as often as their source's target asks: 0 to 2 times
+sharding    ``(doc_id, size, text_crc32, shard, slot)`` of every row
+==========  ===================================================================
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallymart.llm import decontaminate, mixture, near_dedup, sharding, toxicity
+from tallymart.session import stage
 
-STAGES: list = []
+BROADCAST_KEYS = 2_000_000
+SHARDS = 8
+
+# SQL can't fit or apply the classifier; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key column, and its name."""
+    name = "_key"
+    while name in docs.columns:
+        name = f"_{name}"
+    low = (1 << 61) - 1
+    made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(low) + (low + 1)
+    return docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), made)), name
+
+
+def _narrow(keyed: DataFrame, key: str, *columns: str) -> DataFrame:
+    return keyed.select(F.col(key).alias("doc_id"), "text", *columns)
+
+
+def _small(table: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(table) if n <= BROADCAST_KEYS else table
+
+
+def _without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    gone, n = stage(gone.select(F.col("doc_id").alias(key)).distinct(), "gone")
+    return keyed.join(_small(gone, n), key, "left_anti")
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs.withColumn("toxicity", F.lit(None)), model)
+    return scored.filter(F.col("toxicity") < toxicity.THRESHOLD).select(docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    keyed, key = _keyed(docs)
+    found = near_dedup.near_duplicates(_narrow(keyed, key), width=5, percent=80)
+    kept = _without(keyed, key, found.filter("NOT kept"))
+    again = keyed.groupBy(key).count().filter("count > 1").select(key)
+    again, n = stage(again, "again")
+    if not n:
+        return kept.select(docs.columns)
+    again = _small(again, n)
+    once = kept.join(again, key, "left_anti")
+    first = kept.join(again, key, "left_semi").dropDuplicates([key])
+    return once.union(first).select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    keyed, key = _keyed(docs)
+    index = decontaminate.positional_index(_narrow(keyed, key))
+    found = decontaminate.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(keyed, key, found.filter(decontaminate.is_contaminated())).select(docs.columns)
+
+
+def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    keyed, key = _keyed(docs)
+    mixed = mixture.mix(_narrow(keyed, key, "source")).filter("copies > 0")
+    # Rows that share a key were merged before; should any be left, each gets the most copies.
+    copies, n = stage(mixed.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").cast("int").alias("copies")), "copies")
+    copies = _small(copies.select(key, F.col("copies").alias(f"{key}_copies")), n)
+    rows = keyed.join(copies, key)
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), f"{key}_copies"))).select(docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.assign(docs, SHARDS).select("doc_id", "size", "text_crc32", "shard", "slot")
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixture", mixture_stage),
+    ("sharding", sharding_stage),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in STAGES[:-1]:
+        docs, _ = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

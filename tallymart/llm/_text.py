@@ -25,6 +25,10 @@ SPACE_SEPARATED[[32, 9, 10, 11, 12, 13]] = False
 ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[48:58] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
 
+# Words and marks apart: letters, digits and what is beyond ASCII; all else but white space.
+TOKENS = np.where(ALPHANUMERIC, 1, 2).astype(np.uint8)
+TOKENS[~SPACE_SEPARATED] = 0
+
 _RANDOM = np.random.default_rng(20_240_501)
 _BYTE_KEYS = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -64,6 +68,7 @@ class Words(NamedTuple):
     start: np.ndarray
     end: np.ndarray
     key: np.ndarray
+    prefixes: tuple[np.ndarray, ...]
 
 
 def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[Texts]:
@@ -84,27 +89,29 @@ def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[Texts]:
         row = stop
 
 
-def words(texts: Texts, allowed: np.ndarray) -> Words:
-    """All maximal runs of allowed bytes, in order."""
-    inside = allowed[texts.data]
+def words(texts: Texts, classes: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:
+    """All maximal runs of bytes of one class, in order; class 0 (or False) is in none.
+
+    ``prefixes`` adds keys of each word's first bytes, one array for each length.
+    """
+    inside = classes[texts.data]
     n = len(inside)
     if not n:
         none = np.empty(0, np.int64)
-        return Words(none, none, none, none.view(np.uint64))
+        return Words(none, none, none, none.view(np.uint64), tuple(none.view(np.uint64) for _ in prefixes))
     bounds = texts.offsets[(texts.offsets > 0) & (texts.offsets < n)]
-    before = np.empty(n, bool)
-    before[0] = False
-    before[1:] = inside[:-1]
-    before[bounds] = False
-    start = np.flatnonzero(inside & ~before)
-    after = np.empty(n, bool)
-    after[-1] = False
-    after[:-1] = inside[1:]
-    after[bounds - 1] = False
-    end = np.flatnonzero(inside & ~after) + 1
+    change = np.ones(n, bool)
+    change[1:] = inside[1:] != inside[:-1]
+    change[bounds] = True
+    start = np.flatnonzero(change & (inside != 0))
+    last = np.ones(n, bool)
+    last[:-1] = change[1:]
+    end = np.flatnonzero(last & (inside != 0)) + 1
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(_BYTE_KEYS[texts.data] * _power_table(_BASE, n)[:n], out=sums[1:])
-    key = mix((sums[end] - sums[start]) * _power_table(_INVERSE, n + 1)[start])
+    back = _power_table(_INVERSE, n + 1)[start]
+    key = mix((sums[end] - sums[start]) * back)
     doc = np.searchsorted(texts.offsets[1:], start, side="right")
-    return Words(doc, start, end, key)
+    parts = tuple(mix((sums[np.minimum(end, start + k)] - sums[start]) * back + np.uint64(k)) for k in prefixes)
+    return Words(doc, start, end, key, parts)
