@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallymart import schemas as S
+from tallymart.functions.clock import zoned
 
 
 def na_to_null(col: Column) -> Column:
@@ -40,4 +41,5 @@ def to_date(col: Column) -> Column:
 
 
 def to_timestamp(col: Column) -> Column:
-    return guarded(col, S.TIMESTAMP_PATTERN, "timestamp")
+    """UTC unless the text names a zone."""
+    return F.when(col.rlike(S.TIMESTAMP_PATTERN), zoned(col).try_cast("timestamp"))

@@ -52,20 +52,28 @@ def merge_upsert(
     incoming: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str],
+    newer_by: str | None = None,
 ) -> DataFrame:
     """Full content after an upsert; keys are unique on both sides.
 
     On a key both sides have, ``update_cols`` come from ``incoming`` and every other
-    column keeps its current value.
+    column keeps its current value. With ``newer_by`` an incoming row that is older in
+    that column changes nothing; a missing value is older than any.
     """
     values = [c for c in current.columns if c not in keys]
     old = current.select(*keys, F.struct(*values).alias("_old"))
     new = incoming.select(*keys, F.struct(*values).alias("_new"))
     joined = old.join(new, list(keys), "full_outer")
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    fresh = has_new
+    if newer_by:
+        seen = F.col(f"_old.{newer_by}")
+        fresh = has_new & (seen.isNull() | F.coalesce(F.col(f"_new.{newer_by}") >= seen, F.lit(False)))
     picked = []
     for name in values:
-        take_new = has_new if name in update_cols else has_new & ~has_old
+        take_new = has_new & ~has_old
+        if name in update_cols:
+            take_new = take_new | fresh
         picked.append(
             F.when(take_new, F.col(f"_new.{name}")).otherwise(F.col(f"_old.{name}")).alias(name)
         )

@@ -26,7 +26,12 @@ def _with(needs: list[str], body: str) -> str:
 
 
 def _cents(expr: str) -> str:
-    return f"CAST(CAST({expr} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE)"
+    return f"CAST(CAST({expr} AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(20,2))"
+
+
+def _text(expr: str) -> str:
+    """Money as text, so that the scale is compared as well."""
+    return f"CAST({expr} AS VARCHAR)"
 
 
 def _ratio(num: str, den: str) -> str:
@@ -37,18 +42,21 @@ _TS = "'%Y-%m-%d %H:%M:%S'"
 
 _view("raw_tx", [], f"""
 SELECT l_shipdate AS src_ts,
-       CASE WHEN k % 97 = 0 THEN NULL ELSE
+       CASE WHEN k % 103 = 5 THEN concat('ghi12345-', CAST(l_orderkey AS VARCHAR))
+            WHEN k % 97 = 0 THEN NULL ELSE
          concat('00000000-0000-0000-', lpad(CAST(l_linenumber AS VARCHAR), 4, '0'), '-',
                 lpad(CAST(l_orderkey AS VARCHAR), 12, '0')) END AS transaction_id,
-       CAST(l_suppkey AS VARCHAR) AS store_id,
-       CAST(l_partkey AS VARCHAR) AS product_id,
+       CASE WHEN k % 127 = 9 THEN 'S1' ELSE CAST(l_suppkey AS VARCHAR) END AS store_id,
+       CASE WHEN k % 131 = 10 THEN 'P' ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
        CASE WHEN k % 89 = 1 THEN '-1' WHEN k % 101 = 4 THEN 'abc'
+            WHEN k % 107 = 6 THEN '99999999999' WHEN k % 109 = 7 THEN '0'
+            WHEN k % 137 = 11 THEN '2000000000'
             ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
-       CASE WHEN k % 83 = 2 THEN '-9.99' ELSE
+       CASE WHEN k % 83 = 2 THEN '-9.99' WHEN k % 113 = 8 THEN '123456789012.00' ELSE
          CAST(CAST(CAST(CAST(round(l_extendedprice * 100 / l_quantity) AS BIGINT)
               AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS VARCHAR)
          END AS unit_price,
-       CASE WHEN k % 79 = 3 THEN '2099-01-01 00:00:00'
+       CASE WHEN k % 79 = 3 THEN '2099-01-01 00:00:00' WHEN k % 139 = 12 THEN 'not a time'
             ELSE strftime(l_shipdate, {_TS}) END AS transaction_ts,
        CASE l_linenumber % 4 WHEN 0 THEN 'card' WHEN 1 THEN 'cash'
             WHEN 2 THEN 'contactless' ELSE 'mobile' END AS payment_method,
@@ -68,6 +76,11 @@ SELECT *, CASE
   WHEN TRY_CAST(quantity AS INTEGER) IS NULL THEN 'quantity_out_of_range'
   WHEN TRY_CAST(quantity AS INTEGER) <= 0 THEN 'quantity_not_positive'
   WHEN NOT regexp_full_match(unit_price, '[0-9]+(\\.[0-9]+)?') THEN 'malformed_unit_price'
+  WHEN TRY_CAST(unit_price AS DECIMAL(10,2)) IS NULL THEN 'unit_price_out_of_range'
+  WHEN TRY_CAST(store_id AS INTEGER) IS NULL THEN 'bad_store_id'
+  WHEN TRY_CAST(product_id AS INTEGER) IS NULL THEN 'bad_product_id'
+  WHEN CAST(quantity AS HUGEINT) * CAST(CAST(unit_price AS DECIMAL(10,2)) * 100 AS HUGEINT)
+       > 9999999999 THEN 'total_amount_out_of_range'
   WHEN TRY_CAST(transaction_ts AS TIMESTAMP) IS NULL THEN 'bad_transaction_ts'
   WHEN TRY_CAST(transaction_ts AS TIMESTAMP) > TIMESTAMP '2002-01-01 00:00:00'
     THEN 'future_transaction'
@@ -77,7 +90,7 @@ FROM raw_tx WHERE {where}
     _view(f"ranked{suffix}", [f"ruled{suffix}"], f"""
 SELECT *, row_number() OVER (
     PARTITION BY rule IS NULL, transaction_id
-    ORDER BY CAST(transaction_ts AS TIMESTAMP), TRY_CAST(store_id AS INTEGER),
+    ORDER BY TRY_CAST(transaction_ts AS TIMESTAMP), TRY_CAST(store_id AS INTEGER),
              TRY_CAST(product_id AS INTEGER), TRY_CAST(quantity AS INTEGER),
              TRY_CAST(unit_price AS DECIMAL(10,2))) AS rn
 FROM ruled{suffix}
@@ -242,7 +255,7 @@ WHERE rn = 1
 """)
 
 _TX_OUT = f"""transaction_id, store_id, product_id, quantity,
-       CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_amount AS DOUBLE) AS total_amount,
+       {_text('unit_price')} AS unit_price, {_text('total_amount')} AS total_amount,
        strftime(transaction_ts, '%Y-%m-%d %H:%M:%S.%f') AS transaction_ts,
        payment_method, cashier_id"""
 _INV_OUT = """store_id, product_id, stock_level, reorder_point, is_below_reorder,
@@ -250,49 +263,59 @@ _INV_OUT = """store_id, product_id, stock_level, reorder_point, is_below_reorder
 _STORE_OUT = """store_id, store_name, city, region, store_type,
        strftime(opened_date, '%Y-%m-%d') AS opened_date"""
 _SALES_OUT = f"""strftime(report_date, '%Y-%m-%d') AS report_date, store_id, store_name,
-       {_cents('revenue_cents')} AS total_revenue, transaction_count,
-       {_cents('basket_cents')} AS avg_basket_size"""
+       {_text(_cents('revenue_cents'))} AS total_revenue, transaction_count,
+       {_text(_cents('basket_cents'))} AS avg_basket_size"""
+_HEALTH_OUT = """snapshot_date, store_id, products_below_reorder, total_products,
+       CAST(reorder_rate AS VARCHAR) AS reorder_rate"""
 
 
 def _summary(days: int, today: str = "2001-11-04") -> str:
-    basket = _ratio("sum_basket", "n")
+    """Totals of a period's store-days, beside the store of its best one."""
     return _with(["gold_sales"], f"""
-SELECT n AS transaction_count, {_cents('sum_revenue')} AS total_revenue,
-       {_cents(basket)} AS avg_basket_size, top_store
-FROM (SELECT count(*) AS n, CAST(sum(revenue_cents) AS BIGINT) AS sum_revenue,
-             CAST(sum(basket_cents) AS BIGINT) AS sum_basket,
-             max(store_name) FILTER (WHERE revenue_cents = (
-               SELECT max(revenue_cents) FROM gold_sales
-               WHERE report_date >= DATE '{today}' - {days})) AS top_store
-      FROM gold_sales WHERE report_date >= DATE '{today}' - {days})
+, period AS (
+SELECT * FROM gold_sales WHERE date_diff('day', report_date, DATE '{today}') <= {days}
+), best AS (
+SELECT store_name FROM period ORDER BY revenue_cents DESC, store_name DESC LIMIT 1
+), totals AS (
+SELECT count(*) AS days, CAST(sum(revenue_cents) AS BIGINT) AS revenue,
+       CAST(sum(basket_cents) AS BIGINT) AS baskets FROM period
+)
+SELECT days AS transaction_count, {_text(_cents('revenue'))} AS total_revenue,
+       {_text(_cents(_ratio('baskets', 'days')))} AS avg_basket_size,
+       store_name AS top_store
+FROM totals LEFT JOIN best ON true
 """)
 
 
-_CHECK_VALUES = f"""
-SELECT 'no_negative_quantities' AS check_name, 'error' AS severity,
-       CAST(count(*) FILTER (WHERE quantity <= 0) AS DOUBLE) AS result FROM silver_tx
-UNION ALL
-SELECT 'no_future_transactions', 'error', CAST(count(*) FILTER (
-       WHERE transaction_ts > TIMESTAMP '2002-01-01 00:00:00') AS DOUBLE) FROM silver_tx
-UNION ALL
-SELECT 'quarantine_rate_under_10pct', 'error', {_cents(_ratio('held * 10000', 'total'))}
-FROM (SELECT (SELECT count(*) FROM quarantine) AS held, (SELECT count(*) FROM raw_tx) AS total)
-UNION ALL
-SELECT 'silver_transactions_not_empty', 'error', CAST(count(*) AS DOUBLE) FROM silver_tx
-UNION ALL
-SELECT 'gold_daily_sales_not_empty', 'warning', CAST(count(*) AS DOUBLE) FROM gold_sales
-UNION ALL
-SELECT 'all_stores_have_sales', 'warning', CAST(count(*) AS DOUBLE)
-FROM silver_stores s LEFT JOIN (SELECT DISTINCT store_id FROM silver_tx) t
-  ON s.store_id = t.store_id
-WHERE t.store_id IS NULL
+def _idle(since: str = "1900-01-01") -> str:
+    """Stores outside the set of those with a sale."""
+    return f"""
+SELECT store_id, store_name FROM silver_stores
+WHERE store_id IN (
+  SELECT store_id FROM silver_stores
+  EXCEPT
+  SELECT store_id FROM silver_tx WHERE transaction_ts >= TIMESTAMP '{since} 00:00:00')
 """
 
-_IDLE = """
-SELECT s.store_id, s.store_name FROM silver_stores s
-LEFT JOIN (SELECT DISTINCT store_id FROM silver_tx WHERE {where}) t ON s.store_id = t.store_id
-WHERE t.store_id IS NULL
-"""
+
+def _check(name: str, severity: str, value: str, source: str) -> str:
+    return f"SELECT '{name}' AS check_name, '{severity}' AS severity, CAST({value} AS DECIMAL(20,2)) AS result FROM {source}"
+
+
+_CHECK_VALUES = "\nUNION ALL\n".join([
+    _check("no_negative_quantities", "error", "coalesce(sum(CAST(quantity <= 0 AS INTEGER)), 0)", "silver_tx"),
+    _check(
+        "no_future_transactions", "error",
+        "coalesce(sum(CAST(transaction_ts > TIMESTAMP '2002-01-01 00:00:00' AS INTEGER)), 0)", "silver_tx",
+    ),
+    _check(
+        "quarantine_rate_under_10pct", "error", _cents(_ratio("held * 10000", "total")),
+        "(SELECT count(*) AS held FROM quarantine), (SELECT count(*) AS total FROM raw_tx)",
+    ),
+    _check("silver_transactions_not_empty", "error", "count(*)", "silver_tx"),
+    _check("gold_daily_sales_not_empty", "warning", "count(*)", "gold_sales"),
+    _check("all_stores_have_sales", "warning", "count(*)", f"({_idle()})"),
+])
 
 _RAW_TX_COLUMNS = """transaction_id, store_id, product_id, quantity, unit_price,
        transaction_ts, payment_method, cashier_id"""
@@ -301,13 +324,64 @@ _RAW_STORE_COLUMNS = "store_id, store_name, city, region, store_type, opened_dat
 _REASON = "'Failed silver transformation checks' AS _quarantine_reason"
 
 
+_SPLIT = "TIMESTAMP '1999-01-01 00:00:00'"
+# Rows of every step of two runs; a run's gold rows are those of the months it touched.
+_RUN = f"""
+, late AS (
+SELECT store_id FROM silver_stores_r2 EXCEPT SELECT store_id FROM silver_stores
+), months AS (
+SELECT DISTINCT date_trunc('month', transaction_ts) AS month
+FROM (SELECT * FROM silver_tx_merged EXCEPT SELECT * FROM silver_tx_b1)
+UNION
+SELECT date_trunc('month', transaction_ts) FROM silver_tx_b1 SEMI JOIN late USING (store_id)
+), days AS (
+SELECT report_date, store_id FROM gold_sales_b1 UNION SELECT report_date, store_id FROM gold_sales_all
+), steps AS (
+SELECT 1 AS run, 'raw_stores' AS step, count(*) AS rows FROM supplier
+UNION ALL SELECT 2, 'raw_stores', count(*) FROM supplier
+UNION ALL SELECT 1, 'raw_inventory', count(*) FROM ruled_inv WHERE ingested_at < {_SPLIT}
+UNION ALL SELECT 2, 'raw_inventory', count(*) FROM ruled_inv WHERE ingested_at >= {_SPLIT}
+UNION ALL SELECT 1, 'raw_transactions', count(*) FROM ruled_b1
+UNION ALL SELECT 2, 'raw_transactions', count(*) FROM ruled_b2
+UNION ALL SELECT 1, 'silver_stores', count(*) FROM silver_stores
+UNION ALL SELECT 2, 'silver_stores', count(*) FROM silver_stores_r2
+UNION ALL SELECT 1, 'silver_inventory', count(*) FROM silver_inv_b1
+UNION ALL SELECT 2, 'silver_inventory', count(*) FROM silver_inv_b2
+UNION ALL SELECT 1, 'silver_transactions', count(*) FROM silver_tx_b1
+UNION ALL SELECT 2, 'silver_transactions',
+                 (SELECT count(*) FROM silver_tx_merged) - (SELECT count(*) FROM silver_tx_b1)
+UNION ALL SELECT 1, 'gold_daily_sales', count(*) FROM gold_sales_b1
+UNION ALL SELECT 2, 'gold_daily_sales', count(*) FROM days
+                 WHERE date_trunc('month', report_date) IN (SELECT month FROM months)
+UNION ALL SELECT 1, 'gold_inventory_health', count(DISTINCT store_id) FROM silver_inv_b1
+UNION ALL SELECT 2, 'gold_inventory_health', count(*)
+                 FROM (SELECT store_id FROM silver_inv_b1 UNION SELECT store_id FROM silver_inv_b2)
+), every AS (
+SELECT * FROM steps
+UNION ALL
+SELECT a.run, 'quarantined', a.rows - b.rows FROM steps a JOIN steps b USING (run)
+WHERE a.step = 'raw_transactions' AND b.step = 'silver_transactions'
+), totals AS (
+SELECT run, CAST(sum(rows) FILTER (WHERE step LIKE 'raw_%') AS BIGINT) AS loaded,
+       CAST(sum(rows) FILTER (WHERE step = 'quarantined') AS BIGINT) AS held
+FROM every GROUP BY run
+)
+SELECT 'run-' || run AS run_id, step, CAST(rows AS BIGINT) AS rows, 'daily' AS flow_name,
+       'failed' AS status, loaded AS records_loaded, held AS records_quarantined,
+       true AS rate_failed
+FROM every JOIN totals USING (run)
+"""
+
+
 def oracle() -> dict[str, str]:
     sql = _oracle()
     sql["csv_ingest_transactions"] = sql["bronze_transactions"]
     sql["csv_ingest_inventory"] = sql["bronze_inventory"]
     sql["csv_ingest_stores"] = sql["bronze_stores"]
-    # Two refreshes through files end where the two-batch upsert ends.
+    # Two refreshes through files end where the two-batch upsert ends, and so do three if
+    # the third is the second again.
     sql["medallion_daily_sales"] = sql["merge_upsert_daily_sales"]
+    sql["medallion_rerun"] = sql["merge_upsert_daily_sales"]
     return sql
 
 
@@ -326,8 +400,8 @@ SELECT {_RAW_TX_COLUMNS}, (rule IS NOT NULL OR rn > 1) AS _is_quarantined,
          AS _quarantine_reason
 FROM ranked"""),
         "quarantine_rates": _with(["ranked"], f"""
-SELECT {_cents(_ratio('held * 10000', 'total'))} AS rate_all,
-       {_cents(_ratio('broken * 10000', 'total'))} AS rate_without_duplicates
+SELECT {_text(_cents(_ratio('held * 10000', 'total')))} AS rate_all,
+       {_text(_cents(_ratio('broken * 10000', 'total')))} AS rate_without_duplicates
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE rule IS NOT NULL OR rn > 1) AS held,
              count(*) FILTER (WHERE rule IS NOT NULL) AS broken FROM ranked)"""),
         "rejected_inventory": _with(["ruled_inv"], f"""
@@ -341,7 +415,8 @@ FROM raw_stores WHERE store_name IS NULL"""),
         "silver_stores": _with(["silver_stores"], f"SELECT {_STORE_OUT} FROM silver_stores"),
         "gold_daily_sales": _with(["gold_sales"], f"SELECT {_SALES_OUT} FROM gold_sales"),
         "gold_inventory_health": _with(
-            ["health"], "SELECT '2001-11-04' AS snapshot_date, * FROM health"
+            ["health"],
+            f"SELECT {_HEALTH_OUT} FROM (SELECT '2001-11-04' AS snapshot_date, * FROM health)",
         ),
         "merge_insert_if_absent": _with(
             ["silver_tx_merged"], f"SELECT {_TX_OUT} FROM silver_tx_merged"
@@ -361,6 +436,23 @@ SELECT {_INV_OUT} FROM (
          CASE WHEN a.hit THEN a.supplier_id ELSE b.supplier_id END AS supplier_id
   FROM (SELECT *, true AS hit FROM silver_inv_b1) a
   FULL OUTER JOIN (SELECT *, true AS hit FROM silver_inv_b2) b USING (store_id, product_id))"""),
+        "merge_upsert_inventory_backfill": _with(["silver_inv_b1", "silver_inv_b2"], f"""
+SELECT {_INV_OUT} FROM silver_inv_b2
+UNION ALL
+SELECT {_INV_OUT} FROM silver_inv_b1 ANTI JOIN silver_inv_b2 USING (store_id, product_id)"""),
+        "csv_ingest_multiline": _with(["raw_stores"], """
+SELECT store_id, store_name || chr(10) || city AS store_name, city, region, store_type, opened_date
+FROM raw_stores"""),
+        "medallion_rerun_quarantine": _with(["ruled", "silver_tx_merged"], """
+SELECT rule AS reject_rule, count(*) AS rows FROM ruled WHERE rule IS NOT NULL GROUP BY 1
+UNION ALL
+SELECT 'duplicate_transaction_id',
+       count(*) - (SELECT count(*) FROM silver_tx_merged) FROM ruled WHERE rule IS NULL"""),
+        "medallion_run": _with(
+            ["ruled_b1", "ruled_b2", "silver_tx_b1", "silver_tx_merged", "silver_inv_b1", "silver_inv_b2",
+             "silver_stores", "silver_stores_r2", "gold_sales_b1", "gold_sales_all", "ruled_inv"],
+            _RUN,
+        ),
         "merge_upsert_daily_sales": _with(["gold_sales_b1", "gold_sales_all"], f"""
 SELECT {_SALES_OUT} FROM (
   SELECT report_date, store_id,
@@ -371,7 +463,9 @@ SELECT {_SALES_OUT} FROM (
          CASE WHEN b.hit THEN b.basket_cents ELSE a.basket_cents END AS basket_cents
   FROM (SELECT *, true AS hit FROM gold_sales_b1) a
   FULL OUTER JOIN (SELECT *, true AS hit FROM gold_sales_all) b USING (report_date, store_id))"""),
-        "merge_upsert_inventory_health": _with(["health_merged"], "SELECT * FROM health_merged"),
+        "merge_upsert_inventory_health": _with(
+            ["health_merged"], f"SELECT {_HEALTH_OUT} FROM health_merged"
+        ),
         "daily_sales_latest": _with(["gold_sales"], f"""
 SELECT {_SALES_OUT} FROM gold_sales g ORDER BY g.report_date DESC, g.store_id LIMIT 100"""),
         "daily_sales_filtered": _with(["gold_sales"], f"""
@@ -384,24 +478,28 @@ ORDER BY g.report_date DESC, g.store_id LIMIT 100"""),
         "sales_summary_unknown_period": _summary(7),
         "sales_summary_empty": _summary(7, "2003-01-01"),
         "inventory_alerts": _with(["silver_inv", "silver_stores"], """
-SELECT i.store_id, s.store_name, i.product_id, i.stock_level, i.reorder_point,
-       i.reorder_point - i.stock_level AS units_needed
-FROM silver_inv i JOIN silver_stores s ON i.store_id = s.store_id
-WHERE i.is_below_reorder ORDER BY 1, 3"""),
-        "inventory_health_snapshot": _with(["health_merged"], """
-SELECT * FROM health_merged
-WHERE snapshot_date = (SELECT max(snapshot_date) FROM health_merged)
-ORDER BY reorder_rate DESC, store_id"""),
+, missing AS (
+SELECT *, reorder_point - stock_level AS units_needed FROM silver_inv
+)
+SELECT m.store_id, (SELECT store_name FROM silver_stores n WHERE n.store_id = m.store_id)
+         AS store_name,
+       product_id, stock_level, reorder_point, units_needed
+FROM missing m
+WHERE units_needed > 0 AND m.store_id IN (SELECT store_id FROM silver_stores)"""),
+        "inventory_health_snapshot": _with(["health_merged"], f"""
+SELECT {_HEALTH_OUT} FROM (
+  SELECT *, dense_rank() OVER (ORDER BY snapshot_date DESC) AS age FROM health_merged) h
+WHERE age = 1 ORDER BY h.reorder_rate DESC, store_id"""),
         "quality_report": _with(["silver_tx", "quarantine", "gold_sales", "silver_stores"], f"""
-SELECT check_name, severity, result, CASE
+SELECT check_name, severity, CAST(result AS VARCHAR) AS result, CASE
     WHEN check_name = 'quarantine_rate_under_10pct' THEN coalesce(result, 0) <= 10
     WHEN check_name LIKE '%_not_empty' THEN coalesce(result >= 1, false)
     ELSE coalesce(result = 0, false) END AS passed
 FROM ({_CHECK_VALUES})"""),
-        "stores_without_sales": _with(["silver_tx", "silver_stores"], _IDLE.format(where="true")),
+        "stores_without_sales": _with(["silver_tx", "silver_stores"], _idle()),
         "stores_without_recent_sales": _with(
             ["silver_tx", "silver_stores"],
-            _IDLE.format(where="transaction_ts >= TIMESTAMP '2001-10-25 00:00:00'"),
+            _idle("2001-10-25"),
         ),
         "run_states": _with(["run_states"], "SELECT * FROM run_states"),
         "recent_runs": _with(["run_states"], """

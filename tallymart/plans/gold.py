@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.clock import as_date, as_timestamp
+from tallymart.functions.clock import as_date, as_timestamp, utc_date
 from tallymart.functions.exact import from_cents, mean_of_cents, percentage, to_cents
 
 # Columns an upsert refreshes; the store name of an existing row is kept.
@@ -22,7 +22,7 @@ def daily_store_sales(transactions: DataFrame, stores: DataFrame, as_of=None) ->
     and day, whatever share of the sales a store holds.
     """
     per_store_day = transactions.groupBy(
-        F.to_date("transaction_ts").alias("report_date"), "store_id"
+        utc_date(F.col("transaction_ts")).alias("report_date"), "store_id"
     ).agg(
         F.sum(to_cents(F.col("total_amount"))).alias("_cents"),
         F.count(F.lit(1)).alias("transaction_count"),

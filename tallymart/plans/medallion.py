@@ -1,33 +1,36 @@
 """The whole run: feeds to bronze, silver, gold, checks, with a run record.
 
-Every step can be run again. A batch's bronze and quarantine rows replace themselves,
-silver takes only transactions it does not have, and upserts repeat to the same rows.
-A batch counts as published only after its last write, so one that broke off is taken
-up again by the next run.
+Every step can be run again. A feed of a batch is loaded once; a run of the same batch uses
+the bronze rows that are there, so their ids hold whatever the file splits or the cluster.
+Silver takes only transactions it does not have, and upserts repeat to the same rows. A
+batch counts as published only after its last write, so one that broke off is taken up again
+by the next run. ``reload`` takes a corrected file: the batch's rows leave bronze, silver,
+quarantine and gold before it is loaded anew.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart import schemas as S
-from tallymart.functions.clock import as_date, as_timestamp
+from tallymart.functions.clock import as_date, as_timestamp, utc_text
 from tallymart.operators.keyed import known_keys, merge_upsert, without_match
 from tallymart.plans import gold, quality, run_log, silver
-from tallymart.session import stage
+from tallymart.session import discard, observed, stage
 from tallymart.sources import csv_feeds
 from tallymart.sources.tables import LayerStore
 
 FEEDS = ("raw_stores", "raw_inventory", "raw_transactions")
-STORE_UPDATES = ["store_name", "city", "region", "store_type", "opened_date", "_transformed_at"]
+STORE_UPDATES = ["store_name", "city", "region", "store_type", "opened_date", "_transformed_at", "_ingested_at"]
 INVENTORY_UPDATES = [
     "stock_level", "reorder_point", "is_below_reorder", "last_restocked", "_transformed_at",
+    "_ingested_at",
 ]
 
 
@@ -38,6 +41,7 @@ class RunResult:
     records_inserted: int
     records_quarantined: int
     report: list
+    steps: dict[str, int]
 
 
 # --- bronze -----------------------------------------------------------------
@@ -50,53 +54,116 @@ def ingest_feed(
     batch_id: str,
     as_of=None,
     multi_line: bool = False,
+    reload: bool = False,
 ) -> int:
-    """Load CSV files of one feed as one bronze batch; returns the rows loaded.
+    """Load CSV files of one feed as one bronze batch; returns the batch's rows.
 
-    Columns outside the contract reject the batch as a whole: its records go to
-    ``quarantine/rejected_records`` and the call raises. Records with more fields than
-    the header are set aside there one by one.
+    A feed that the batch has loaded already is left as it is unless ``reload``. Columns
+    outside the contract reject the batch as a whole, and so do texts with line breaks when
+    ``multi_line`` is not set: the records go to ``quarantine/rejected_records`` and the call
+    raises. Records with more fields than the header are set aside there one by one.
     """
+    table, rejects = f"bronze/{feed}", "quarantine/rejected_records"
+    batch = {"_batch_id": batch_id}
+    rejected = {**batch, "source_table": feed}
+    done = f"batches.{feed}"
+    if not reload and not store.marks(done).filter(F.col("value") == batch_id).isEmpty():
+        return store.read(table).filter(F.col("_batch_id") == batch_id).count()
     raw = csv_feeds.read_csv(store.spark, paths, multi_line)
-    rejects = "quarantine/rejected_records"
+
+    def reject(rows: DataFrame, reason: str) -> None:
+        store.clear_partition(rejects, rejected)
+        rows = csv_feeds.rejected_records(rows, feed, batch_id, reason, as_of)
+        store.replace_partitions(rows, rejects)
+
     try:
-        bronze = csv_feeds.to_bronze(raw, feed, batch_id, as_of)
+        csv_feeds.to_bronze(raw, feed, batch_id, as_of)
     except csv_feeds.FeedContractError as error:
-        store.replace_partitions(
-            csv_feeds.rejected_records(raw, feed, batch_id, str(error), as_of), rejects
-        )
+        reject(raw, str(error))
         raise
     extra = csv_feeds.has_extra_fields(raw)
+    open_ = F.lit(False) if multi_line else csv_feeds.has_open_quote(raw)
     seen = Observation()
     counted = raw.observe(
-        seen, F.count_if(~extra).alias("loaded"), F.count_if(extra).alias("malformed")
+        seen,
+        F.count_if(~extra).alias("loaded"),
+        F.count_if(extra).alias("malformed"),
+        F.count_if(open_).alias("broken"),
     )
     bronze = csv_feeds.to_bronze(counted.filter(~extra), feed, batch_id, as_of)
-    store.replace_partitions(bronze, f"bronze/{feed}")
+    store.replace_partitions(bronze, table)
+    if seen.get["broken"]:
+        store.clear_partition(table, batch)
+        reason = f"{feed}: line breaks inside quotes; load with multi_line=True"
+        reject(raw.filter(open_), reason)
+        raise csv_feeds.FeedContractError(reason)
+    if not seen.get["loaded"]:
+        store.clear_partition(table, batch)
     if seen.get["malformed"]:
-        reason = "more fields than the header names"
-        store.replace_partitions(
-            csv_feeds.rejected_records(raw.filter(extra), feed, batch_id, reason, as_of), rejects
-        )
+        reject(raw.filter(extra), "more fields than the header names")
+    else:
+        store.clear_partition(rejects, rejected)
+    store.mark(done, batch_id)
     return seen.get["loaded"]
 
 
+def withdraw_batch(store: LayerStore, batch_id: str) -> tuple[list[dt.date], list[str]]:
+    """Take a batch's transactions out of silver, before it is loaded anew.
+
+    Returns the months they were in and the batches that hold other rows of their ids, which
+    were duplicates until now. Only the months concerned are rewritten.
+    """
+    existing = store.read("silver/transactions")
+    own = F.col("_bronze_batch_id") == batch_id
+    gone, n = stage(existing.filter(own).select("transaction_id", "txn_month"), "withdrawn")
+    if not n:
+        return [], []
+    months = sorted(r["txn_month"] for r in gone.select("txn_month").distinct().collect())
+    again = (
+        store.read("quarantine/raw_transactions")
+        .filter((F.col("reject_rule") == silver.DUPLICATE_RULE) & (F.col("_batch_id") != batch_id))
+        .join(gone.select("transaction_id"), "transaction_id", "left_semi")
+    )
+    batches = sorted(r["_batch_id"] for r in again.select("_batch_id").distinct().collect())
+    kept, _ = stage(existing.filter(F.col("txn_month").isin(months) & ~own), "kept-transactions")
+    store.replace_partitions(kept, "silver/transactions", [{"txn_month": m} for m in months])
+    return months, batches
+
+
 # --- silver -----------------------------------------------------------------
 
 
-def refresh_stores(store: LayerStore, bronze: DataFrame, version: str, as_of=None) -> DataFrame:
-    """Merge named stores into a new version of silver stores (not yet committed)."""
-    incoming = silver.silver_stores(bronze, as_of)
-    merged = merge_upsert(store.read("silver/stores"), incoming, ["store_id"], STORE_UPDATES)
-    return store.write_version(merged, "silver/stores", version)
+def _fresh(run_id: str) -> str:
+    """A version name no other attempt has."""
+    return f"{run_id}-{uuid.uuid4().hex[:12]}"
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def refresh_inventory(store: LayerStore, bronze: DataFrame, version: str, as_of=None) -> DataFrame:
-    incoming = silver.silver_inventory(bronze, as_of)
+def refresh_stores(
+    store: LayerStore, bronze: DataFrame, version: str, as_of=None
+) -> tuple[DataFrame, int]:
+    """Merge named stores into a new version of silver stores (not yet committed); returns it
+    and the rows upserted. Rows loaded earlier than what silver has change nothing."""
+    incoming, seen = _counted(silver.silver_stores(bronze, as_of))
     merged = merge_upsert(
-        store.read("silver/inventory"), incoming, ["store_id", "product_id"], INVENTORY_UPDATES
+        store.read("silver/stores"), incoming, ["store_id"], STORE_UPDATES, "_ingested_at"
     )
-    return store.write_version(merged, "silver/inventory", version)
+    return store.write_version(merged, "silver/stores", version), observed(seen, int)
+
+
+def refresh_inventory(
+    store: LayerStore, bronze: DataFrame, version: str, as_of=None
+) -> tuple[DataFrame, int]:
+    incoming, seen = _counted(silver.silver_inventory(bronze, as_of))
+    merged = merge_upsert(
+        store.read("silver/inventory"), incoming, ["store_id", "product_id"], INVENTORY_UPDATES,
+        "_ingested_at",
+    )
+    return store.write_version(merged, "silver/inventory", version), observed(seen, int)
 
 
 def pending_batches(store: LayerStore, batch_id: str) -> list[str]:
@@ -149,12 +216,20 @@ def merged_daily_sales(
     stores: DataFrame,
     months: list[dt.date] | None,
     as_of=None,
+    recounted: list[dt.date] | None = None,
 ) -> DataFrame:
-    """Daily sales of the given months (all without any) after the upsert."""
+    """Daily sales of the given months (all without any) after the upsert.
+
+    In ``recounted`` months transactions were withdrawn: store-days without any are dropped.
+    """
     if months is not None:
         transactions = transactions.filter(F.col("txn_month").isin(months))
         current = current.filter(F.col("sales_month").isin(months))
     incoming = gold.daily_store_sales(transactions, stores, as_of)
+    if recounted:
+        fell = F.col("sales_month").isin(recounted)
+        still = current.filter(fell).join(incoming.select(*gold.DAILY_SALES_KEY), gold.DAILY_SALES_KEY, "left_semi")
+        current = current.filter(~fell).unionByName(still.select(*current.columns))
     return merge_upsert(current, incoming, gold.DAILY_SALES_KEY, gold.DAILY_SALES_UPDATES)
 
 
@@ -192,6 +267,13 @@ def log_event(
     event.write.mode("append").parquet(store.path("bronze/run_events"))
 
 
+def log_steps(store: LayerStore, run_id: str, steps: dict[str, int]) -> None:
+    """How many rows each step loaded, upserted, inserted or quarantined."""
+    rows = [F.struct(F.lit(k).alias("step"), F.lit(n).cast("bigint").alias("rows")) for k, n in steps.items()]
+    table = store.spark.range(1).select(F.lit(run_id).alias("run_id"), F.inline(F.array(*rows)))
+    table.write.mode("append").parquet(store.path("bronze/run_steps"))
+
+
 def runs(store: LayerStore) -> DataFrame:
     return run_log.fold_runs(store.read("bronze/run_events"))
 
@@ -209,33 +291,47 @@ def run(
     batch_id: str | None = None,
     publish_first: bool = True,
     replay: bool = False,
+    reload: bool = False,
+    multi_line: bool = False,
 ) -> RunResult:
     """Load the feeds (``raw_stores``, ``raw_inventory``, ``raw_transactions`` to CSV
     paths), refresh silver and gold, check, and record the run.
 
     With ``publish_first`` the tables are refreshed before the checks, so a failed check
     only marks the run. Without it, candidates are staged in the shared folder and
-    published only after all error checks passed.
+    published only after all error checks passed. ``reload`` replaces the batch's feeds.
     """
+    unknown = sorted(set(feeds) - set(FEEDS))
+    if unknown:
+        raise ValueError(f"unknown feeds {unknown}; known are {list(FEEDS)}")
     store = LayerStore(spark, root)
     run_id = run_id or str(uuid.uuid4())
     batch_id = batch_id or run_id
     if as_of is None:  # one clock reading for the whole run
-        as_of = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+        as_of = utc_text(F.current_timestamp())
+        as_of = spark.range(1).select(as_of).first()[0]
     loaded = held = 0
     log_event(store, run_id, flow_name, 0, run_log.RUNNING)
     try:
         store.mark("batches.loaded", batch_id)
+        months, others = [], []
+        if reload and "raw_transactions" in feeds:
+            months, others = withdraw_batch(store, batch_id)
+        steps = {}
         for feed in (f for f in FEEDS if f in feeds):
-            loaded += ingest_feed(store, feed, feeds[feed], batch_id, as_of)
-        batches = None if replay else pending_batches(store, batch_id)
-        inserted, held, report = refresh(store, run_id, batches, as_of, publish_first)
+            steps[feed] = ingest_feed(store, feed, feeds[feed], batch_id, as_of, multi_line, reload)
+            loaded += steps[feed]
+        batches = None if replay else sorted({*pending_batches(store, batch_id), *others})
+        done, report = refresh(store, run_id, batches, as_of, publish_first, months)
+        steps |= done
+        held = steps["quarantined"]
+        log_steps(store, run_id, steps)
         quality.require_passed(report)
     except Exception as error:
         log_event(store, run_id, flow_name, 1, "failed", None, loaded, held, str(error))
         raise
     log_event(store, run_id, flow_name, 1, "success", None, loaded, held)
-    return RunResult(run_id, loaded, inserted, held, report)
+    return RunResult(run_id, loaded, steps["silver_transactions"], held, report, steps)
 
 
 def refresh(
@@ -244,35 +340,53 @@ def refresh(
     batches: list[str] | None,
     as_of,
     publish_first: bool = True,
-) -> tuple[int, int, list]:
+    withdrawn: list[dt.date] | None = None,
+) -> tuple[dict[str, int], list]:
     """Silver, gold and checks for the given bronze batches (all without any).
 
-    Returns the transactions inserted and quarantined, and the check report.
+    Returns the rows each step inserted, upserted or quarantined, and the check report.
+    ``withdrawn`` are months that lost transactions before.
     """
+    steps: dict[str, int] = {}
+    staged: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        df, n = stage(df, name)
+        staged.append(df)
+        return df, n
 
     def bronze(feed: str) -> DataFrame:
         rows = store.read(f"bronze/{feed}")
         return rows if batches is None else rows.filter(F.col("_batch_id").isin(batches))
 
+    version = _fresh(run_id)
     old_stores = store.read("silver/stores")
-    stores = refresh_stores(store, bronze("raw_stores"), run_id, as_of)
-    inventory = refresh_inventory(store, bronze("raw_inventory"), run_id, as_of)
+    stores, steps["silver_stores"] = refresh_stores(store, bronze("raw_stores"), version, as_of)
+    inventory, steps["silver_inventory"] = refresh_inventory(
+        store, bronze("raw_inventory"), version, as_of
+    )
 
     # Transactions: insert the absent ones, quarantine what reached no silver row.
     existing = store.read("silver/transactions")
-    candidates, candidate_rows = stage(
+    candidates, _ = kept(
         silver.silver_transactions(candidate_transactions(store, batches), as_of), "candidates"
     )
-    known, known_rows = stage(
-        known_keys(existing, candidates, ["transaction_id"]), "known-transactions"
+    known = known_keys(existing, candidates, ["transaction_id"])
+    inserted, steps["silver_transactions"] = kept(
+        without_match(candidates, known, ["transaction_id"]), "inserted"
     )
-    inserted = without_match(candidates, known, ["transaction_id"])
-    inserted_rows = candidate_rows - known_rows
     transactions = existing.unionByName(inserted)
-    reached = transactions
+    before = existing
     if batches is not None:
-        reached = reached.filter(F.col("_bronze_batch_id").isin(batches))
-    lost, lost_rows = stage(
+        # Rows of these batches from a run that broke off lie in the candidates' months: the
+        # months' folders are pruned before any file is opened.
+        spans = candidates.select("txn_month").distinct().collect()
+        before = existing.filter(
+            F.col("txn_month").isin([r["txn_month"] for r in spans]) & F.col("_bronze_batch_id").isin(batches)
+        )
+    columns = ["_bronze_batch_id", "_bronze_id", "txn_month"]
+    reached, _ = kept(before.select(*columns).unionByName(inserted.select(*columns)), "reached")
+    lost, steps["quarantined"] = kept(
         silver.quarantine_transactions(bronze("raw_transactions"), reached, as_of),
         "quarantined-transactions",
     )
@@ -280,30 +394,36 @@ def refresh(
     # Gold: only the months that can have changed.
     months = None
     if batches is not None:
-        changed = reached.select("txn_month").unionByName(inserted.select("txn_month"))
-        months = touched_months(existing, changed, old_stores, stores)
+        months = touched_months(existing, reached, old_stores, stores)
+        months = sorted({*months, *(withdrawn or ())})
     old_sales = store.read("gold/daily_store_sales")
-    sales, _ = stage(
-        merged_daily_sales(old_sales, transactions, stores, months, as_of), "daily-sales"
+    sales, steps["gold_daily_sales"] = kept(
+        merged_daily_sales(old_sales, transactions, stores, months, as_of, withdrawn), "daily-sales"
     )
-    health, _ = stage(
+    health, steps["gold_inventory_health"] = kept(
         merged_inventory_health(store.read("gold/inventory_health"), inventory, as_of),
         "inventory-health",
     )
-
-    def publish() -> None:
-        # A replay covers every batch, so its quarantine takes the place of the old one.
-        replace = store.replace_all if batches is None else store.replace_partitions
+    rejected = {
+        feed: kept(silver.rejected_rows(classify(bronze(feed)), feed), f"rejected-{feed}")[0]
         for feed, classify in (
             ("raw_stores", silver.classify_stores), ("raw_inventory", silver.classify_inventory),
-        ):
-            replace(silver.rejected_rows(classify(bronze(feed)), feed), f"quarantine/{feed}")
-        replace(lost, "quarantine/raw_transactions")
+        )
+    }
+    rejected["raw_transactions"] = lost
+
+    def publish() -> None:
+        for feed, rows in rejected.items():
+            # A replay covers every batch, so its quarantine takes the place of the old one.
+            if batches is None:
+                store.replace_all(rows, f"quarantine/{feed}")
+            else:
+                store.replace_partitions(rows, f"quarantine/{feed}", [{"_batch_id": b} for b in batches])
         store.append(inserted, "silver/transactions")
-        store.replace_partitions(sales, "gold/daily_store_sales")
+        store.replace_partitions(sales, "gold/daily_store_sales", [{"sales_month": m} for m in withdrawn or ()])
         store.replace_partitions(health, "gold/inventory_health")
-        store.commit_version("silver/stores", run_id)
-        store.commit_version("silver/inventory", run_id)
+        store.commit_version("silver/stores", version)
+        store.commit_version("silver/inventory", version)
         for batch_id in pending_batches(store, run_id) if batches is None else batches:
             store.mark("batches.published", batch_id)
 
@@ -326,4 +446,5 @@ def refresh(
     ).collect()
     if not publish_first and not quality.failed(report):
         publish()
-    return inserted_rows, lost_rows, report
+    discard(store.spark, staged)
+    return steps, report

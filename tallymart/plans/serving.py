@@ -21,8 +21,10 @@ def daily_sales(
     store_id: int | None = None,
     start_date: dt.date | str | None = None,
     end_date: dt.date | str | None = None,
+    limit: int | None = DAILY_SALES_LIMIT,
 ) -> DataFrame:
-    """The newest store-days, at most 100, within the optional bounds (both inclusive)."""
+    """The newest store-days within the optional bounds (both inclusive), at most ``limit``;
+    all with ``None``."""
     by_month = "sales_month" in gold.columns
     rows = gold
     if store_id is not None:
@@ -35,9 +37,8 @@ def daily_sales(
         rows = rows.filter(F.col("report_date") <= as_date(end_date))
         if by_month:
             rows = rows.filter(F.col("sales_month") <= F.trunc(as_date(end_date), "MM"))
-    return rows.drop("sales_month").orderBy(F.desc("report_date"), "store_id").limit(
-        DAILY_SALES_LIMIT
-    )
+    rows = rows.drop("sales_month").orderBy(F.desc("report_date"), "store_id")
+    return rows if limit is None else rows.limit(limit)
 
 
 def sales_summary(gold: DataFrame, period: str = "7d", today=None) -> DataFrame:

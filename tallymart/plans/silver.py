@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymart import schemas as S
 from tallymart.functions import parsing as P
-from tallymart.functions.clock import as_timestamp
+from tallymart.functions.clock import as_timestamp, utc_date
 from tallymart.functions.rules import first_failing
 from tallymart.operators.keyed import insert_if_absent, keep_first, without_match
 
@@ -75,7 +75,6 @@ def classify_transactions(bronze: DataFrame, as_of=None) -> DataFrame:
         *_number_rules("quantity", S.DIGITS_PATTERN),
         ("quantity_not_positive", typed["quantity"] > 0),
         *_number_rules("unit_price", S.PRICE_PATTERN),
-        ("unit_price_negative", typed["unit_price"] >= 0),
         ("bad_store_id", typed["store_id"].isNotNull()),
         ("bad_product_id", typed["product_id"].isNotNull()),
         ("total_amount_out_of_range", amount.isNotNull()),
@@ -100,7 +99,7 @@ def silver_transactions(
         F.col("_batch_id").alias("_bronze_batch_id"),
         F.col("_id").alias("_bronze_id"),
         as_timestamp(as_of).alias("_transformed_at"),
-        F.trunc("transaction_ts", "MM").alias("txn_month"),
+        F.trunc(utc_date(F.col("transaction_ts")), "MM").alias("txn_month"),
     )
 
 
@@ -117,14 +116,49 @@ def quarantine_transactions(bronze: DataFrame, silver: DataFrame, as_of=None) ->
     The match is on the bronze key, which is unique, so no key is hot however often a
     transaction repeats.
     """
-    lost = without_match(classify_transactions(bronze, as_of), silver_keys(silver), BRONZE_KEY)
-    return lost.select(
+    classified = classify_transactions(bronze, as_of)
+    # Rows that break a rule can't be in silver; only the valid ones are matched.
+    broken = classified.filter(F.col("reject_rule").isNotNull())
+    valid = classified.filter(F.col("reject_rule").isNull())
+    repeated = without_match(valid, silver_keys(silver), BRONZE_KEY)
+    return broken.unionByName(repeated).select(
         "_id", "_ingested_at", "_source_file", *S.FEED_COLUMNS["raw_transactions"],
         F.lit(S.QUARANTINE_REASON).alias("_quarantine_reason"), "_batch_id",
         F.coalesce(F.col("reject_rule"), F.lit(DUPLICATE_RULE)).alias("reject_rule"),
     )
 
 
+def loss_by_rule(bronze: DataFrame, as_of=None) -> DataFrame:
+    """``(reject_rule, rows)`` for bronze rows of one load, without a join: the rows of each
+    rule, and as duplicates the valid rows beyond one for each id.
+
+    An id's rows are cut to one count per task before they are shuffled, so a hot id costs
+    a row per task.
+    """
+    per_id = (
+        classify_transactions(bronze, as_of)
+        .withColumn("_valid_id", F.when(F.col("reject_rule").isNull(), F.col("transaction_id")))
+        .groupBy("reject_rule", "_valid_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    lost = F.when(F.col("reject_rule").isNull(), F.col("rows") - 1).otherwise(F.col("rows"))
+    rule = F.coalesce(F.col("reject_rule"), F.lit(DUPLICATE_RULE))
+    return per_id.groupBy(rule.alias("reject_rule")).agg(F.sum(lost).alias("rows"), F.sum("rows").alias("seen"))
+
+
+def flagged_transactions(bronze: DataFrame, silver: DataFrame, as_of=None) -> DataFrame:
+    """Bronze with its quarantine flag and reason, from one match of keys: what broke a rule
+    or has no silver row is flagged."""
+    keys = silver_keys(silver).withColumn("_in_silver", F.lit(True))
+    classified = classify_transactions(bronze, as_of).drop("_is_quarantined", "_quarantine_reason", "typed")
+    joined = classified.join(keys, BRONZE_KEY, "left")
+    held = F.col("reject_rule").isNotNull() | F.col("_in_silver").isNull()
+    return joined.select(
+        *BRONZE_KEY, *S.FEED_COLUMNS["raw_transactions"], held.alias("_is_quarantined"),
+        F.when(held, F.lit(S.QUARANTINE_REASON)).alias("_quarantine_reason"),
+    )
+
+
 def current_quarantine(quarantine: DataFrame, silver: DataFrame) -> DataFrame:
     """Quarantined rows minus those that have entered silver since.
 
@@ -188,6 +222,7 @@ def silver_inventory(
         "store_id", "product_id", "stock_level", "reorder_point",
         (F.col("stock_level") < F.col("reorder_point")).alias("is_below_reorder"),
         "last_restocked", "supplier_id", as_timestamp(as_of).alias("_transformed_at"),
+        "_ingested_at",
     )
 
 
@@ -220,7 +255,7 @@ def silver_stores(
     )
     return keep_first(valid, ["store_id"], order or _newest_first()).select(
         "store_id", "store_name", "city", "region", "store_type", "opened_date",
-        as_timestamp(as_of).alias("_transformed_at"),
+        as_timestamp(as_of).alias("_transformed_at"), "_ingested_at",
     )
 
 

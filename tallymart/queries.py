@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart import schemas as S
+from tallymart.functions.clock import utc_date, utc_micros, utc_text
 from tallymart.functions.exact import percentage
 from tallymart.operators.keyed import insert_if_absent, merge_upsert
 from tallymart.plans import gold, medallion, quality, run_log, serving, silver
@@ -18,11 +19,11 @@ from tallymart.sources.tables import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-AUDIT_COLUMNS = ["_transformed_at", "_refreshed_at"]
+AUDIT_COLUMNS = ["_transformed_at", "_refreshed_at", "_ingested_at"]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Columns in types both engines print alike: money as DOUBLE, days and times as text.
+    """Columns in types both engines print alike: money, days and times as text.
 
     Only the registered results pass through here; the jobs keep DECIMAL, DATE, TIMESTAMP.
     """
@@ -30,11 +31,11 @@ def comparable(df: DataFrame) -> DataFrame:
     for field in df.schema:
         col = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            col = col.cast("double")
+            col = col.cast("string")
         elif isinstance(field.dataType, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            col = col.cast("string")
+        elif isinstance(field.dataType, T.TimestampType):
+            col = F.concat(utc_text(col), F.lit("."), utc_micros(col))
         shown.append(col.alias(field.name))
     return df.select(*shown)
 
@@ -122,26 +123,25 @@ def quarantine_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.quarantine_by_reason(_quarantine(spark, sf_dir))
+    lost = silver.loss_by_rule(feeds.raw_transactions(spark, sf_dir), feeds.AS_OF)
+    return lost.filter("rows > 0").select("reject_rule", "rows")
 
 
 def flagged_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = feeds.raw_transactions(spark, sf_dir)
-    return silver.flagged_bronze(raw, _quarantine(spark, sf_dir)).select(
+    return silver.flagged_transactions(raw, _transactions(spark, sf_dir), feeds.AS_OF).select(
         *S.FEED_COLUMNS["raw_transactions"], "_is_quarantined", "_quarantine_reason"
     )
 
 
 def quarantine_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of quarantined rows with and without repeated ids."""
-    flagged = silver.flagged_bronze(
-        feeds.raw_transactions(spark, sf_dir),
-        _quarantine(spark, sf_dir).withColumn("_quarantine_reason", F.col("reject_rule")),
-    )
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if("_is_quarantined").alias("held"),
-        F.count_if(F.col("_quarantine_reason") != silver.DUPLICATE_RULE).alias("broken"),
+    lost = silver.loss_by_rule(feeds.raw_transactions(spark, sf_dir), feeds.AS_OF)
+    broken = F.when(F.col("reject_rule") != silver.DUPLICATE_RULE, F.col("rows"))
+    counts = lost.agg(
+        F.sum("seen").alias("total"),
+        F.sum("rows").alias("held"),
+        F.coalesce(F.sum(broken), F.lit(0)).alias("broken"),
     )
     return counts.select(
         percentage(F.col("held"), F.col("total")).alias("rate_all"),
@@ -222,14 +222,29 @@ def merge_upsert_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.drop(*AUDIT_COLUMNS)
 
 
+def merge_upsert_inventory_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older batch comes last: it fills in what is missing and changes nothing else."""
+    merged = merge_upsert(
+        _inventory(spark, sf_dir, 2),
+        _inventory(spark, sf_dir, 1),
+        ["store_id", "product_id"],
+        medallion.INVENTORY_UPDATES,
+        "_ingested_at",
+    )
+    return merged.drop(*AUDIT_COLUMNS)
+
+
 def merge_upsert_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the months that the second batch, or a store known since, can have changed."""
     first = _staged(_transactions(spark, sf_dir, 1), "transactions")
-    current = gold.daily_store_sales(first, _stores(spark, sf_dir, 1), feeds.AS_OF)
-    incoming = gold.daily_store_sales(
-        _merged_transactions(spark, sf_dir, first), _stores(spark, sf_dir, 2), feeds.AS_OF
-    )
-    merged = merge_upsert(current, incoming, gold.DAILY_SALES_KEY, gold.DAILY_SALES_UPDATES)
-    return merged.drop("sales_month", *AUDIT_COLUMNS)
+    old_stores, stores = _stores(spark, sf_dir, 1), _stores(spark, sf_dir, 2)
+    current = _staged(gold.daily_store_sales(first, old_stores, feeds.AS_OF), "daily-sales")
+    incoming = _staged(_transactions(spark, sf_dir, 2), "transactions")
+    inserted = _staged(insert_if_absent(first, incoming, ["transaction_id"]), "inserted")
+    months = medallion.touched_months(first, inserted, old_stores, stores)
+    merged = medallion.merged_daily_sales(current, first.unionByName(inserted), stores, months, feeds.AS_OF)
+    rest = current.filter(~F.col("sales_month").isin(months))
+    return rest.unionByName(merged).drop("sales_month", *AUDIT_COLUMNS)
 
 
 def merge_upsert_inventory_health(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +309,7 @@ def stores_without_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stores_without_recent_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = _transactions(spark, sf_dir).filter(F.to_date("transaction_ts") >= "2001-10-25")
+    recent = _transactions(spark, sf_dir).filter(utc_date(F.col("transaction_ts")) >= "2001-10-25")
     return quality.stores_without_sales(_stores(spark, sf_dir), recent).select(
         "store_id", "store_name"
     )
@@ -330,7 +345,7 @@ def _ordered_transactions(spark: SparkSession, sf_dir: str, batch: int) -> DataF
     """
     raw = feeds.raw_transactions(spark, sf_dir, batch)
     order = [
-        F.col("transaction_ts").try_cast("timestamp"), F.col("store_id").try_cast("int"),
+        F.col("transaction_ts").try_cast("timestamp_ntz"), F.col("store_id").try_cast("int"),
         F.col("product_id").try_cast("int"), F.col("quantity").try_cast("int"),
         F.col("unit_price").try_cast("decimal(10,2)"),
     ]
@@ -349,22 +364,74 @@ def _csv_ingest(name: str, feed: Callable[[SparkSession, str], DataFrame]) -> Qu
     return query
 
 
-def medallion_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches of all three feeds from CSV files to the gold table."""
+def csv_ingest_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store names with a line break in quotes."""
     store = LayerStore(spark, scratch_path(spark, "lake"))
-    for batch in (1, 2):
+    broken = F.concat("store_name", F.lit("\n"), F.col("city"))
+    path = _csv(feeds.raw_stores(spark, sf_dir).withColumn("store_name", broken), "raw_stores")
+    medallion.ingest_feed(store, "raw_stores", path, "batch", feeds.AS_OF, multi_line=True)
+    return store.read("bronze/raw_stores").select(*S.FEED_COLUMNS["raw_stores"])
+
+
+def _batch(spark: SparkSession, sf_dir: str, batch: int) -> dict[str, str]:
+    inputs = {
+        "raw_stores": feeds.raw_stores(spark, sf_dir, batch),
+        "raw_inventory": feeds.raw_inventory(spark, sf_dir, batch),
+        "raw_transactions": _ordered_transactions(spark, sf_dir, batch),
+    }
+    return {feed: _csv(df, feed) for feed, df in inputs.items()}
+
+
+def _lake(spark: SparkSession, sf_dir: str, batches: list[int]) -> LayerStore:
+    """Tables after the given batches, from CSV files; a number may come again."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    paths = {b: _batch(spark, sf_dir, b) for b in set(batches)}
+    for batch in batches:
         name = f"batch-{batch}"
-        inputs = {
-            "raw_stores": feeds.raw_stores(spark, sf_dir, batch),
-            "raw_inventory": feeds.raw_inventory(spark, sf_dir, batch),
-            "raw_transactions": _ordered_transactions(spark, sf_dir, batch),
-        }
-        for feed, df in inputs.items():
-            medallion.ingest_feed(store, feed, _csv(df, feed), name, feeds.AS_OF)
+        for feed, path in paths[batch].items():
+            medallion.ingest_feed(store, feed, path, name, feeds.AS_OF)
         medallion.refresh(store, name, [name], feeds.AS_OF)
+    return store
+
+
+def medallion_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of all three feeds from CSV files to the gold table."""
+    store = _lake(spark, sf_dir, [1, 2])
     return store.read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
 
 
+def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch is run again: nothing changes."""
+    store = _lake(spark, sf_dir, [1, 2, 2])
+    return store.read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
+
+
+def medallion_rerun_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _lake(spark, sf_dir, [1, 2, 2])
+    return silver.quarantine_by_reason(store.read("quarantine/raw_transactions"))
+
+
+def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two whole runs with their records and the rows of every step, read back.
+
+    The derived feed has more than a tenth of bad rows, so both runs end as failed after
+    publishing. Every record names the check.
+    """
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    for batch in (1, 2):
+        try:
+            medallion.run(
+                spark, store.root, _batch(spark, sf_dir, batch), feeds.AS_OF, run_id=f"run-{batch}"
+            )
+        except quality.QualityError:
+            continue
+    record = medallion.runs(store).select(
+        "run_id", "flow_name", "status", "records_loaded", "records_quarantined",
+        F.col("error_message").contains("quarantine_rate_under_10pct").alias("rate_failed"),
+    )
+    return store.read("bronze/run_steps").join(record, "run_id")
+
+
 # --- registry ---------------------------------------------------------------
 
 _QUERIES: dict[str, Query] = {
@@ -385,6 +452,7 @@ _QUERIES: dict[str, Query] = {
     "merge_insert_if_absent": merge_insert_if_absent,
     "merge_upsert_stores": merge_upsert_stores,
     "merge_upsert_inventory": merge_upsert_inventory,
+    "merge_upsert_inventory_backfill": merge_upsert_inventory_backfill,
     "merge_upsert_daily_sales": merge_upsert_daily_sales,
     "merge_upsert_inventory_health": merge_upsert_inventory_health,
     "daily_sales_latest": daily_sales_latest,
@@ -405,7 +473,11 @@ _QUERIES: dict[str, Query] = {
     "csv_ingest_transactions": _csv_ingest("raw_transactions", feeds.raw_transactions),
     "csv_ingest_inventory": _csv_ingest("raw_inventory", feeds.raw_inventory),
     "csv_ingest_stores": _csv_ingest("raw_stores", feeds.raw_stores),
+    "csv_ingest_multiline": csv_ingest_multiline,
     "medallion_daily_sales": medallion_daily_sales,
+    "medallion_rerun": medallion_rerun,
+    "medallion_rerun_quarantine": medallion_rerun_quarantine,
+    "medallion_run": medallion_run,
 }
 
 

@@ -79,10 +79,13 @@ RUN_EVENT_SCHEMA = _struct(
     records_loaded="long", records_quarantined="long", error_message="string",
 )
 
+RUN_STEP_SCHEMA = _struct(run_id="string", step="string", rows="long")
+
 SILVER_SCHEMAS = {
     "stores": _struct(
         store_id="integer", store_name="string", city="string", region="string",
         store_type="string", opened_date="date", _transformed_at="timestamp",
+        _ingested_at="timestamp",
     ),
     "transactions": _struct(
         transaction_id="string", store_id="integer", product_id="integer", quantity="integer",
@@ -93,7 +96,7 @@ SILVER_SCHEMAS = {
     "inventory": _struct(
         store_id="integer", product_id="integer", stock_level="integer", reorder_point="integer",
         is_below_reorder="boolean", last_restocked="date", supplier_id="integer",
-        _transformed_at="timestamp",
+        _transformed_at="timestamp", _ingested_at="timestamp",
     ),
 }
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tallymart/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, frames: Sequence[DataFrame]) -> None:
+    """Delete the folders of staged frames that nothing reads any more."""
+    base = f"{shared_folder(spark)}/tallymart/"
+    for file in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
+        if base.split("://")[-1].lstrip("/") in file:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def observed(seen: Observation, otherwise: Callable[[], int]) -> int:
+    """The observed ``rows``; Spark drops the counter of a branch that it finds to be empty
+    while it plans, and then ``otherwise`` tells."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return otherwise()
+
+
 def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """Write ``df`` to the shared folder; returns the written rows and their number.
 
@@ -58,4 +78,5 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     path = scratch_path(df.sparkSession, name)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    return rows, observed(seen, rows.count)

@@ -60,6 +60,13 @@ def has_extra_fields(raw: DataFrame) -> Column:
     )
 
 
+def has_open_quote(raw: DataFrame) -> Column:
+    """True for odd records with an odd number of quotes: a piece of a quoted text that has a
+    line break. Of the pieces of a record at least one is such a record."""
+    quotes = F.length(_RECORD) - F.length(F.replace(F.col(_RECORD), F.lit('"')))
+    return F.coalesce(quotes % 2 == 1, F.lit(False))
+
+
 def to_bronze(raw: DataFrame, feed: str, batch_id: str, as_of=None) -> DataFrame:
     """Contract columns (missing ones NULL), NA tokens as NULL, provenance and defaults.
 

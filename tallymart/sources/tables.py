@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -28,6 +29,7 @@ TABLES = {
     "bronze/raw_inventory": Table(S.bronze_schema("raw_inventory"), ("_batch_id",)),
     "bronze/raw_stores": Table(S.bronze_schema("raw_stores"), ("_batch_id",)),
     "bronze/run_events": Table(S.RUN_EVENT_SCHEMA),
+    "bronze/run_steps": Table(S.RUN_STEP_SCHEMA),
     "quarantine/raw_transactions": Table(
         S.quarantine_schema("raw_transactions"), ("_batch_id",), gather_by=("reject_rule",)
     ),
@@ -53,6 +55,14 @@ TABLES = {
 }
 
 
+# Characters that Spark writes as %XX in the names of partition folders.
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
+
+
+def _folder_name(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+
+
 class LayerStore:
     """Reads and writes the tables of one root folder that all executors can reach."""
 
@@ -63,6 +73,10 @@ class LayerStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _partition(self, name: str, values: dict[str, str]) -> str:
+        steps = [f"{c}={_folder_name(values[c])}" for c in TABLES[name].partition_by]
+        return "/".join([self.path(name), *steps])
+
     def _read_path(self, path: str, schema: T.StructType) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(path)
@@ -87,7 +101,9 @@ class LayerStore:
         return self.read_version(name, version)
 
     def read_version(self, name: str, version: str) -> DataFrame:
-        return self._read_path(f"{self.path(name)}/version={version}", TABLES[name].schema)
+        """A version that was written; a lost folder is an error, not an empty table."""
+        reader = self.spark.read.schema(TABLES[name].schema)
+        return reader.parquet(f"{self.path(name)}/version={version}")
 
     def mark(self, kind: str, value: str, at=None) -> None:
         """Append one row to the commit log."""
@@ -111,9 +127,12 @@ class LayerStore:
         return latest[0]["value"] if latest else None
 
     def write_version(self, df: DataFrame, name: str, version: str) -> DataFrame:
-        """Write a whole new version that readers do not see before ``commit_version``."""
+        """Write a whole new version that readers do not see before ``commit_version``.
+
+        Every attempt needs a name of its own, so a live version is never written over.
+        """
         columns = TABLES[name].schema.names
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
+        df.select(*columns).write.mode("errorifexists").parquet(f"{self.path(name)}/version={version}")
         return self.read_version(name, version)
 
     def commit_version(self, name: str, version: str) -> None:
@@ -122,10 +141,33 @@ class LayerStore:
     def append(self, df: DataFrame, name: str) -> None:
         self._partitioned(df, name).mode("append").parquet(self.path(name))
 
-    def replace_partitions(self, df: DataFrame, name: str) -> None:
-        """Replace the partitions that occur in ``df``; all others stay as they are."""
+    def replace_partitions(self, df: DataFrame, name: str, also: Sequence[dict[str, str]] = ()) -> None:
+        """Replace the partitions that occur in ``df`` and those named in ``also``, which are
+        left empty if no row comes for them; all others stay as they are.
+
+        With ``also`` the rows should be stored: their partition values are read first.
+        """
+        columns = list(TABLES[name].partition_by)
+        empty = []
+        if also:
+            found = {tuple(str(v) for v in r) for r in df.select(*columns).distinct().collect()}
+            empty = [v for v in also if tuple(str(v[c]) for c in columns) not in found]
         writer = self._partitioned(df, name).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        for values in empty:
+            self.clear_partition(name, values)
+
+    def clear_partition(self, name: str, values: dict[str, str]) -> None:
+        """Leave a partition without rows; nothing happens if it has none."""
+        table = TABLES[name]
+        rows = self.read(name)
+        for column, value in values.items():
+            rows = rows.filter(F.col(column) == F.lit(value))
+        if rows.isEmpty():
+            return
+        rest = [f for f in table.schema if f.name not in table.partition_by]
+        none = self.empty(T.StructType(rest))
+        none.write.mode("overwrite").parquet(self._partition(name, values))
 
     def replace_all(self, df: DataFrame, name: str) -> None:
         writer = self._partitioned(df, name).mode("overwrite")
@@ -139,7 +181,10 @@ class LayerStore:
         return df.write.partitionBy(*table.partition_by)
 
     def reset(self, layers: tuple[str, ...] = ("bronze", "quarantine", "silver", "gold")) -> None:
-        """Empty every table of the given layers."""
+        """Empty every table of the given layers, and with bronze what is known of its batches."""
+        if "bronze" in layers:
+            for kind in ("batches.loaded", "batches.published", *(f"batches.{f}" for f in S.FEED_COLUMNS)):
+                self.clear_partition("meta/commits", {"kind": kind})
         for name, table in TABLES.items():
             if name.split("/")[0] not in layers:
                 continue

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.functions.clock import utc_instant, zoned
+
 # Fixed clock of the derived data: the not-in-future rule and the report windows.
 AS_OF = "2002-01-01 00:00:00"
 AS_OF_DATE = "2001-11-04"
@@ -19,14 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when the scan has fewer splits than there are cores.
-
-    A small file is one split and would keep all later row work on one core. A table
-    with enough splits is left as scanned, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, "_id") if df.rdd.getNumPartitions() < cores else df
+def _local_text(column: str, length: int):
+    """The first characters of a timestamp without zone as text."""
+    return F.substring(F.col(column).cast("timestamp_ntz").cast("string"), 1, length)
 
 
 def _lineitem(spark: SparkSession, sf_dir: str, batch: int | None) -> DataFrame:
@@ -37,7 +34,6 @@ def _lineitem(spark: SparkSession, sf_dir: str, batch: int | None) -> DataFrame:
         F.col("_metadata.row_index").alias("_id"),
         F.col("_metadata.file_path").alias("_source_file"),
     )
-    lines = _spread(lines)
     split = F.lit(BATCH_SPLIT).cast("timestamp_ntz")
     if batch == 1:
         return lines.filter(F.col("l_shipdate") < split)
@@ -49,7 +45,7 @@ def _lineitem(spark: SparkSession, sf_dir: str, batch: int | None) -> DataFrame:
 def _provenance(ingested_at) -> list:
     return [
         F.col("_id"),
-        ingested_at.cast("timestamp").alias("_ingested_at"),
+        ingested_at.alias("_ingested_at"),
         F.col("_source_file"),
         F.lit(False).alias("_is_quarantined"),
         F.lit(None).cast("string").alias("_quarantine_reason"),
@@ -66,23 +62,30 @@ def raw_transactions(spark: SparkSession, sf_dir: str, batch: int | None = None)
         *[F.when(F.col("l_linenumber") % 4 == i, F.lit(m)) for i, m in methods.items()]
     )
     return _lineitem(spark, sf_dir, batch).select(
-        *_provenance(F.lit(AS_OF)),
-        F.when(
+        *_provenance(zoned(F.lit(AS_OF)).cast("timestamp")),
+        F.when(k % 103 == 5, F.concat(F.lit("ghi12345-"), order))
+        .when(
             k % 97 != 0,
             F.concat(
                 F.lit("00000000-0000-0000-"), F.lpad(line, 4, "0"),
                 F.lit("-"), F.lpad(order, 12, "0"),
             ),
         ).alias("transaction_id"),
-        F.col("l_suppkey").cast("string").alias("store_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
+        F.when(k % 127 == 9, F.lit("S1")).otherwise(F.col("l_suppkey").cast("string")).alias("store_id"),
+        F.when(k % 131 == 10, F.lit("P")).otherwise(F.col("l_partkey").cast("string")).alias("product_id"),
         F.when(k % 89 == 1, F.lit("-1"))
         .when(k % 101 == 4, F.lit("abc"))
+        .when(k % 107 == 6, F.lit("99999999999"))
+        .when(k % 109 == 7, F.lit("0"))
+        .when(k % 137 == 11, F.lit("2000000000"))
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
         .alias("quantity"),
-        F.when(k % 83 == 2, F.lit("-9.99")).otherwise(price.cast("string")).alias("unit_price"),
+        F.when(k % 83 == 2, F.lit("-9.99"))
+        .when(k % 113 == 8, F.lit("123456789012.00"))
+        .otherwise(price.cast("string")).alias("unit_price"),
         F.when(k % 79 == 3, F.lit("2099-01-01 00:00:00"))
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+        .when(k % 139 == 12, F.lit("not a time"))
+        .otherwise(_local_text("l_shipdate", 19))
         .alias("transaction_ts"),
         method.alias("payment_method"),
         (F.col("l_orderkey") % 50 + 1).cast("string").alias("cashier_id"),
@@ -94,14 +97,14 @@ def raw_inventory(spark: SparkSession, sf_dir: str, batch: int | None = None) ->
     order, part = F.col("l_orderkey"), F.col("l_partkey")
     stock = (part * 31 + F.col("l_quantity").cast("bigint") * 7) % 200
     return _lineitem(spark, sf_dir, batch).select(
-        *_provenance(F.col("l_shipdate")),
+        *_provenance(utc_instant(F.col("l_shipdate"))),
         F.when(order % 61 != 7, F.col("l_suppkey").cast("string")).alias("store_id"),
         part.cast("string").alias("product_id"),
         F.when(order % 53 == 5, F.lit("abc")).otherwise(stock.cast("string")).alias("stock_level"),
         F.when(order % 59 == 6, F.lit("-5"))
         .otherwise((part % 41 + 10).cast("string"))
         .alias("reorder_point"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("last_restocked"),
+        _local_text("l_shipdate", 10).alias("last_restocked"),
         (part % 20 + 1).cast("string").alias("supplier_id"),
         F.col("_source_file").alias("_batch_id"),
     )
@@ -148,11 +151,11 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "events").select(
         F.concat(
-            F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")
+            F.col("user_id").cast("string"), F.lit("-"), F.replace(_local_text("ts", 10), F.lit("-"))
         ).alias("run_id"),
         F.lit("daily").alias("flow_name"),
         F.col("event_id").alias("seq"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc_instant(F.col("ts")).alias("ts"),
         status.alias("status"),
         (F.col("event_id") % 1000).alias("records_loaded"),
         (F.col("event_id") % 10).alias("records_quarantined"),

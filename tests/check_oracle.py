@@ -45,7 +45,7 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
 
 if __name__ == "__main__":
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -40,6 +40,7 @@ def lake(spark, tmp_path_factory):
         F.col("id").cast("int").alias("store_id"), F.format_string("S%02d", "id").alias("store_name"),
         *[F.lit("x").alias(c) for c in ("city", "region", "store_type")],
         F.lit(None).cast("date").alias("opened_date"), as_timestamp(AS_OF).alias("_transformed_at"),
+        as_timestamp(AS_OF).alias("_ingested_at"),
     )
     store.write_version(stores, "silver/stores", "v1")
     store.commit_version("silver/stores", "v1")
@@ -143,3 +144,36 @@ def test_skewed_join_partition_is_split(spark, lake):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def scans(df) -> int:
+    return plan(df).count("FileScan parquet")
+
+
+def test_loss_counts_scan_once_and_flags_twice(spark, lake, tmp_path):
+    path = str(tmp_path / "bronze")
+    spark.range(100).select(
+        F.col("id").alias("_id"), as_timestamp(AS_OF).alias("_ingested_at"), F.lit("b").alias("_batch_id"),
+        F.lit("f").alias("_source_file"), F.lit(False).alias("_is_quarantined"), F.lit("").alias("_quarantine_reason"),
+        *[F.lit("1").alias(c) for c in S.FEED_COLUMNS["raw_transactions"]],
+    ).write.parquet(path)
+    bronze = spark.read.parquet(path)
+    counts = silver.loss_by_rule(bronze, AS_OF)
+    assert scans(counts) == 1 and "Join" not in plan(counts)
+    assert {(r.reject_rule, r.rows) for r in counts.collect()} == {("malformed_transaction_id", 100)}
+    flagged = silver.flagged_transactions(bronze, silver.silver_transactions(bronze, AS_OF), AS_OF)
+    assert scans(flagged) == 2 and plan(flagged).count("SortMergeJoin") + plan(flagged).count("BroadcastHashJoin") == 1
+
+
+def test_no_shuffle_between_scan_and_classification(spark):
+    from tallymart.sources import testdata
+
+    text = plan(silver.classify_transactions(testdata.raw_transactions(spark, "/root/testdata/sf0.001"), AS_OF))
+    assert "Exchange" not in text
+
+
+def test_report_limit_is_an_argument_and_orders_hold(lake):
+    rows = lake.read("gold/daily_store_sales")
+    assert serving.daily_sales(rows).count() == 100
+    every = [(r.report_date, -r.store_id) for r in serving.daily_sales(rows, limit=None).collect()]
+    assert len(every) == rows.count() and every == sorted(every, reverse=True)
