@@ -1,7 +1,100 @@
-"""SQL counterparts of the training-data queries, for DuckDB."""
+"""SQL counterparts of the training-data queries, for DuckDB, where SQL can express them.
+
+Not here: disclosing terms (op1), suffix ranks with their deletions (op3), the classifiers (op6,
+op10), hash-drawn samples (op7), the smallest feasible capacity (op9) and the pipeline.
+"""
 
 from __future__ import annotations
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR = rf"""
+WITH RECURSIVE words AS (
+SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingled AS (
+SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS shingle
+FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+), common AS (
+SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)
+), edges AS (
+SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+SELECT doc_id AS a, doc_id AS b FROM documents
+UNION
+SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a
+), least_of AS (
+SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least_of LEFT JOIN sizes USING (doc_id)
+"""
+
+_TOP = """
+WITH vectors AS (
+SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+FROM embeddings
+WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 20
+"""
+
+_HITS = rf"""
+WITH item_words AS (
+SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+SELECT DISTINCT item_id, least(len(w), 13) AS n, w[i : i + 12] AS phrase
+FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), doc_windows AS (
+SELECT doc_id, n, i, w[i : i + n - 1] AS phrase
+FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+      FROM doc_words CROSS JOIN (SELECT DISTINCT n FROM item_windows))
+), found AS (
+SELECT DISTINCT doc_id, item_id, i, d.n FROM doc_windows d JOIN item_windows t ON d.phrase = t.phrase
+), hit AS (
+SELECT doc_id, count(DISTINCT p) AS n_hit
+FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), named AS (
+SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+_CHAT = r"""
+WITH said AS (
+SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + 24) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return {
+        "op2_near_duplicates": _NEAR,
+        "op4_top_inner_products": _TOP,
+        "op5_decontamination": _HITS,
+        "op8_chat": _CHAT,
+    }
