@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm import _text
-from tallymart.llm.toxicity import _sigmoid, held_out
+from tallymart.llm.toxicity import _sigmoid, first_by_hash, held_out
 
 BUCKETS, WIDTH, NONZERO = 1 << 14, 32, 4
 BLOCKS, ROUND = 64, 64
@@ -207,7 +207,7 @@ def train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, epochs: int = 60, b
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> tuple[Model | None, float]:
     """The model, or None, and the share of good labels. Word vectors come from all ``docs``."""
     known = labels.filter(~held_out(folds, fold)).groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality IS NOT NULL")
-    sample = known.orderBy(F.xxhash64("doc_id", F.lit(13)), "doc_id").limit(SAMPLE)
+    sample = first_by_hash(known, SAMPLE, 13)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col("quality").cast("double").alias("quality"))
     vectors = word_vectors(docs)
     context = docs.sparkSession.sparkContext

@@ -38,6 +38,19 @@ def held_out(folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == fold, F.lit(True))
 
 
+def first_by_hash(rows: DataFrame, n: int, seed: int) -> DataFrame:
+    """The ``n`` rows that come first by a hash of doc_id.
+
+    Hashes above twice the share that is wanted are left out before rows are sorted, so each
+    task hands on its share and not ``n`` rows.
+    """
+    total = rows.count()
+    key = F.xxhash64("doc_id", F.lit(seed))
+    if total > 2 * n:
+        rows = rows.filter(key < int(-(2**63) + 2**64 * 2 * n / total))
+    return rows.orderBy(key, "doc_id").limit(n)
+
+
 def _features(w: _text.Words) -> np.ndarray:
     """32-bit features, one row per kind and one column per word."""
     return (np.stack([w.key, *w.prefixes]) >> np.uint64(32)).astype(np.uint32)
@@ -152,14 +165,13 @@ def train(p: list[np.ndarray], u: list[np.ndarray], prior: float, rounds: int =
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> Model | None:
     """Learn from the rows of ``labels(doc_id, toxic)`` and ``docs`` outside the held-out fold."""
-    order = F.xxhash64("doc_id", F.lit(11))
     known = labels.filter(~held_out(folds, fold)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter("toxic IS NOT NULL")
     n, prior = known.agg(F.count(F.lit(1)), F.avg(F.col("toxic").cast("double"))).first()
     if not n or not prior:
         return None
     prior = min(prior, 0.95)
-    sample = known.filter("toxic = 1").orderBy(order, "doc_id").limit(POSITIVES).select("doc_id", F.lit(True).alias("positive"))
-    rest = docs.select("doc_id").filter(~held_out(folds, fold)).orderBy(order, "doc_id").limit(UNLABELLED)
+    sample = first_by_hash(known.filter("toxic = 1"), POSITIVES, 11).select("doc_id", F.lit(True).alias("positive"))
+    rest = first_by_hash(docs.select("doc_id").filter(~held_out(folds, fold)), UNLABELLED, 11)
     sample = sample.union(rest.select("doc_id", F.lit(False)))
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("positive", "text")
     rows = rows.mapInArrow(_of_texts, "positive boolean, features binary").collect()

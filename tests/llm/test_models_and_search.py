@@ -163,3 +163,11 @@ def test_top_k_of_few(spark):
     assert topk.top_k(spark.createDataFrame([], schema), "vec_id % 20 = 0").count() == 0
     got = topk.top_k(spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, -1.0])], schema), "vec_id % 20 = 0").collect()
     assert list(map(tuple, got)) == [(0, 1, 1, 64 * 64 - 128 * 64)]
+
+
+def test_first_by_hash_is_the_same_with_and_without_the_cut(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"))
+    key = F.xxhash64("doc_id", F.lit(4))
+    want = [r.doc_id for r in rows.orderBy(key, "doc_id").limit(100).collect()]
+    assert [r.doc_id for r in toxicity.first_by_hash(rows, 100, 4).collect()] == want
+    assert toxicity.first_by_hash(rows, 9000, 4).count() == 5000
