@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallymart.session import stage
 
-HEAD, SAMPLE, QUERY_BLOCK, STEP = 4096, 8192, 2048, 2048
+HEAD, SAMPLE, QUERY_BLOCK, STEP = 1024, 8192, 1024, 2048
 FULL = 0.2  # share of open pairs from which scoring all of them at once is cheaper
 
 
@@ -61,7 +61,8 @@ def _matrix(blobs: list[bytes], width: int) -> np.ndarray:
 
 
 def _rotation(sample: np.ndarray) -> np.ndarray:
-    return np.linalg.svd(sample, full_matrices=True)[2].T if len(sample) else np.eye(sample.shape[1])
+    """All right singular vectors, the largest value first."""
+    return np.linalg.eigh(sample.T @ sample)[1][:, ::-1]
 
 
 class Best:
