@@ -142,10 +142,20 @@ def disclosing_terms(near: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataF
     joint = seen.groupBy("entity", "term").count().filter(F.col("count") >= MIN_JOINT)
     joint, _ = stage(joint.groupBy("term").agg(F.max("count").alias("joint")), "joint")
     n = joint.count()
-    wanted = joint.select("term")
-    words = docs.select("digest", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(TERM), F.lit(0)))).alias("term"))
-    held = words.join(F.broadcast(wanted) if n <= BROADCAST_TERMS else wanted, "term").distinct()
-    held, _ = stage(held, "held")
+    terms = F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(TERM), F.lit(0)))
+    words = docs.select("digest", F.explode(terms).alias("term"))
+
+    def of(wanted: DataFrame, n: int) -> DataFrame:
+        wanted = wanted.select("term")
+        return words.join(F.broadcast(wanted) if n <= BROADCAST_TERMS else wanted, "term")
+
+    # A term that is common for sure leaves too much unknown: it is dropped by an estimate of
+    # its texts, which needs one sketch for each task, before texts are listed by term. The
+    # estimate errs by a tenth, so twice the limit is safe.
+    about = of(joint, n).groupBy("term").agg(F.approx_count_distinct("digest", 0.1).alias("about"))
+    rare = joint.join(about, "term").filter(F.col("about") <= 2 * 2**GENERALISE_BITS * F.col("joint"))
+    rare, n = stage(rare, "rare")
+    held, _ = stage(of(rare, n).distinct(), "held")
     often = held.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     bits = -F.log2(F.least(F.col("joint") / F.col("n"), F.lit(1.0)))
     found = joint.join(often, "term").select("term", bits.alias("bits")).filter(F.col("bits") <= GENERALISE_BITS)
@@ -176,6 +186,8 @@ def spans(docs: DataFrame) -> DataFrame:
         lambda s: F.struct(s.start.alias("start"), kind.alias("kind"), s.end.alias("end"), s.value.alias("value")),
     )
     extra = texts.select("digest", placed.alias("more")).groupBy("digest").agg(F.flatten(F.collect_list("more")).alias("more"))
+    extra, n = stage(extra, "term-spans")
+    extra = F.broadcast(extra) if n <= BROADCAST_TERMS // 10 else extra
     clear = F.filter("more", lambda m: ~F.exists("base", lambda b: (m.start < b.end) & (b.start < m.end)))
     both = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", clear)))
     return found.select("doc_id", "digest", "base").join(extra, "digest", "left").select("doc_id", "digest", "base", both.alias("spans"))
