@@ -35,7 +35,7 @@ from tallymart.llm import _text
 from tallymart.session import stage
 
 MIN_WORDS = 50
-BROADCAST_DOCS = 500_000
+BROADCAST_DOCS = 100_000
 
 _LINES = np.ones(256, dtype=bool)
 _LINES[10] = False
