@@ -13,8 +13,8 @@
    so no link is lost.
 5. Union-find over verified links gives the components.
 
-Two links at the threshold miss each other in all bands with a probability below one in a
-million (36 bands of 7 slots); more similar texts less often still.
+Two texts at the threshold miss each other in all bands with a probability below ``MISS``
+(for 0.85 36 bands of 7 slots, for 0.8 42 of 6); more similar texts less often still.
 
 Nulls and empty texts are linked with nothing. Rows that share a doc_id count as one
 document. Rows without doc_id take part; if no member of a component has an id, its
@@ -34,13 +34,14 @@ from tallymart.llm import _text
 from tallymart.llm._graph import components, union_find
 from tallymart.session import stage
 
-SLOTS, BANDS, ROWS = 256, 36, 7
+SLOTS = 256
+MISS = 1e-5
 BLOCK = 72
 BROADCAST_ROWS = 1_000_000  # of 8 and 40 bytes
 NO_ID = 1 << 62
 
 _C = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
-_BAND_KEYS = np.random.default_rng(7).integers(1, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND_KEYS = np.random.default_rng(7).integers(1, 2**63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BIG = np.uint64(2**63)
 
 
@@ -103,6 +104,13 @@ def super_minhash(sets: np.ndarray, counts: np.ndarray, slots: int = SLOTS) -> n
     return best
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and slots per band: the widest bands that keep misses at the threshold below ``MISS``."""
+    fits = [r for r in range(1, SLOTS + 1) if (1 - (percent / 100) ** r) ** (SLOTS // r) < MISS]
+    rows = max(fits, default=1)
+    return SLOTS // rows, rows
+
+
 def _sums(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = np.zeros(len(x) + 1, np.uint64)
     np.cumsum(x, out=total[1:])
@@ -110,14 +118,14 @@ def _sums(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
-def _sketch(width: int):
+def _sketch(width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in _text.steps(batch.column(1)):
                 sets, counts = shingle_sets(texts, width)
-                values = super_minhash(sets, counts)[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
-                band = _text.mix((values * _BAND_KEYS).sum(axis=2) + np.arange(1, BANDS + 1, dtype=np.uint64) * _C[2])
-                offsets = np.arange(0, BANDS * texts.rows + 1, BANDS, dtype=np.int32)
+                values = super_minhash(sets, counts)[:, : bands * rows].reshape(-1, bands, rows)
+                band = _text.mix((values * _BAND_KEYS[:rows]).sum(axis=2) + np.arange(1, bands + 1, dtype=np.uint64) * _C[2])
+                offsets = np.arange(0, bands * texts.rows + 1, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, texts.rows),
@@ -199,7 +207,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch, _ = stage(
-        texts.mapInArrow(_sketch(width), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "sketch"
+        texts.mapInArrow(_sketch(width, *banding(percent)), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"), "sketch"
     )
     surrogate = F.lit(NO_ID) + F.col("d1").bitwiseAND(NO_ID - 1)
     classes = (
@@ -243,9 +251,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         linked = components(links)
         placed = large.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
         main = placed.filter("node = center").select("family", F.col("root").alias("main"))
-        placed = placed.join(main, "family").withColumn("apart", F.col("root") != F.col("main")).withColumn("block", block)
-        apart = placed.filter("apart").groupBy("family").agg(F.count(F.lit(1)).alias("n_apart"))
-        placed = placed.join(apart, "family").withColumn("seats", F.ceil(F.col("n_apart") / BLOCK).cast("int"))
+        n_apart = F.count(F.lit(1)).alias("n_apart")
+        apart, n = stage(
+            placed.select("family", "root").join(main, "family").filter("root <> main").groupBy("family", "main").agg(n_apart), "apart"
+        )
+        placed = placed.join(F.broadcast(apart) if n <= BROADCAST_ROWS else apart, "family")
+        placed = placed.withColumn("apart", F.col("root") != F.col("main")).withColumn("block", block)
+        placed = placed.withColumn("seats", F.ceil(F.col("n_apart") / BLOCK).cast("int"))
         seat = F.pmod(F.xxhash64("node", F.lit(1)), F.col("seats")).cast("int")
         left = placed.filter("apart").select(
             "family", seat.alias("seat"), F.explode(F.sequence(F.lit(0), spread.cast("int") - 1)).alias("block"), "node", F.lit(0).alias("side"), "elements"
