@@ -6,15 +6,17 @@ ASCII, so they can be told byte by byte in UTF-8 and no text has to be decoded.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-# Texts of one step are bounded by bytes, so temporary arrays stay small; a longer text is
-# a step of its own.
-STEP_BYTES = 1 << 20
+# Texts of one step are bounded by bytes and rows, so temporary arrays stay small; a longer
+# text is a step of its own.
+STEP_BYTES = 1 << 19
+STEP_ROWS = 4096
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -44,6 +46,15 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return _powers[base]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process is kept for the next task, which
+    may need little, and executors count what it holds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -73,20 +84,22 @@ class Words(NamedTuple):
 
 def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[Texts]:
     """Cut a text column into runs of whole texts of about ``limit`` bytes; null is empty."""
-    texts = column.cast(pa.large_string()).fill_null("")
+    texts = column.fill_null("") if column.null_count else column
     n = len(texts)
     if not n:
         return
-    _, bounds, data = texts.buffers()
-    offsets = np.frombuffer(bounds, np.int64, n + 1, texts.offset * 8)
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, bounds, data = texts.cast(pa.string() if width == np.int32 else pa.large_string()).buffers()
+    offsets = np.frombuffer(bounds, width, n + 1, texts.offset * np.dtype(width).itemsize)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     row = 0
     while row < n:
-        stop = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
-        stop = min(max(stop, row + 1), n)
-        part = offsets[row : stop + 1]
+        stop = int(np.searchsorted(offsets, int(offsets[row]) + limit, side="right")) - 1
+        stop = min(max(stop, row + 1), row + STEP_ROWS, n)
+        part = offsets[row : stop + 1].astype(np.int64)
         yield Texts(row, _LOWER[raw[part[0] : part[-1]]], part - part[0])
         row = stop
+    give_back()
 
 
 def words(texts: Texts, classes: np.ndarray, prefixes: tuple[int, ...] = ()) -> Words:

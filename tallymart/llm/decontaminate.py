@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from tallymart.llm import _text
 from tallymart.session import stage
 
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 1 << 20
 BLOCK_WINDOWS = 200_000
-CANDIDATES = 2_000_000  # checked at a time
+CANDIDATES = 200_000  # checked at a time
 
 SEGMENT = "doc_ids array<long>, n_words array<long>, terms binary, counts binary, positions binary"
 
@@ -165,7 +165,7 @@ def contamination(index: DataFrame, items: DataFrame, width: int = 13, slop: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 n_words = np.array(row["n_words"], np.int64)
                 doc = np.repeat(np.arange(len(n_words)), n_words)
                 terms = np.frombuffer(row["terms"], np.uint64)
@@ -203,6 +203,7 @@ def contamination(index: DataFrame, items: DataFrame, width: int = 13, slop: int
                     ],
                     ["doc_id", "n_words", "n_hit", "items", "n_near", "spans"],
                 )
+            _text.give_back()
 
     return index.mapInArrow(
         run,
