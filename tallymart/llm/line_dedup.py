@@ -17,9 +17,15 @@ is covered by its shortest long-enough windows, one from each of its lines forwa
 backwards; so intervals are looked up at these lengths only, and no group of suffixes is
 ever compared pair by pair.
 
+Lines of ``min_words`` words and more are no sound unit, as a passage may stand inside them.
+Their words are decided one by one: a word goes if a window of ``min_words`` words around it,
+inside the line, repeats an earlier window without overlapping it, wherever the lines end in
+the earlier one. Every window picks the least hash of the short word runs in it; windows
+whose pick occurs once in the corpus can't repeat and are never listed.
+
 Null texts are empty; they and texts without repeats come back unchanged. Rows equal in
-doc_id and text are one document and treated alike; a null doc_id sorts first. Lines are
-compared without regard to ASCII case. Other columns are not read.
+doc_id and text are one document and treated alike; a null doc_id sorts first. Lines
+and words are compared without regard to ASCII case. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +42,9 @@ from tallymart.session import stage
 
 MIN_WORDS = 50
 BROADCAST_DOCS = 100_000
+PICKS = 1 << 15  # of one step
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 _LINES = np.ones(256, dtype=bool)
 _LINES[10] = False
@@ -88,32 +97,146 @@ def _line_rows(least: int):
     return run
 
 
+def _spans(key: np.ndarray, n: int) -> np.ndarray:
+    """A key of the ``n`` words from each word on, whichever document they are in."""
+    m = len(key) - n + 1
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(len(key), _STEP)])
+    back = np.cumprod(np.r_[np.uint64(1), np.full(len(key), _BACK)])
+    sums = np.r_[np.uint64(0), np.cumsum(key * powers[:-1])]
+    return _text.mix((sums[n:] - sums[:-n]) * back[:m])
+
+
+def _word_windows(texts: _text.Texts, least: int):
+    """Windows of ``least`` words: document, first word in it, whether one line holds them, key,
+    and place and key of the pick."""
+    w = _text.words(texts, _text.SPACE_SEPARATED)
+    if len(w.key) < least:
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(bool), none.view(np.uint64), none, none.view(np.uint64)
+    short = (least + 1) // 2
+    small = _spans(w.key, short)
+    at = np.arange(len(w.key) - least + 1)
+    around = np.lib.stride_tricks.sliding_window_view(small, least - short + 1)
+    pick = np.concatenate([around[i : i + PICKS].argmin(axis=1) for i in range(0, len(at), PICKS)]) + at
+    at = at[w.doc[at] == w.doc[at + least - 1]]
+    counts = np.bincount(w.doc, minlength=texts.rows)
+    base = (np.cumsum(counts) - counts)[w.doc[at]]
+    line = np.searchsorted(_text.words(texts, _LINES).end, w.start, side="right")
+    inside = line[at] == line[at + least - 1]
+    return w.doc[at], at - base, inside, _spans(w.key, least)[at], pick[at] - base, small[pick[at]]
+
+
+def _pick_rows(least: int):
+    """The picks of every document, each place once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in _text.steps(batch.column(2)):
+                doc, _, _, _, place, key = _word_windows(texts, least)
+                own = np.ones(len(doc), bool)
+                own[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
+                ends = np.cumsum(np.bincount(doc[own], minlength=texts.rows))
+                picks = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(key[own].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(texts.first, texts.rows) for c in batch.columns[:2]), picks], ["id", "digest", "picks"]
+                )
+
+    return run
+
+
+def _window_rows(least: int):
+    """Windows whose pick is repeated, whether they may go, and whether an equal one of the
+    document ends before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in _text.steps(batch.column(2)):
+                doc, start, inside, key, _, pick = _word_windows(texts, least)
+                picks = batch.column(3).slice(texts.first, texts.rows)
+                ends = np.cumsum(np.bincount(doc, minlength=texts.rows))
+                for row, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
+                    at = a + np.flatnonzero(np.isin(pick[a:b].view(np.int64), np.array(picks[row].as_py(), np.int64)))
+                    if not len(at):
+                        continue
+                    _, first, same = np.unique(key[at], return_index=True, return_inverse=True)
+                    own = start[at] >= start[at][first][same] + least
+                    ids = batch.column(0)[texts.first + row].as_py()
+                    digest = batch.column(1)[texts.first + row].as_py()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(at), ids), pa.int64()),
+                            pa.array(np.full(len(at), int(digest[:15], 16)), pa.int64()),
+                            pa.array(key[at].view(np.int64)),
+                            pa.array(start[at], pa.int32()),
+                            pa.array(inside[at]),
+                            pa.array(own),
+                        ],
+                        ["id", "tag", "window", "start", "inside", "own"],
+                    )
+
+    return run
+
+
+def _word_runs(least: int):
+    """The windows' starts of a document as runs of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = []
+            for starts in batch.column(2).to_pylist():
+                x = np.unique(np.array(starts, np.int64))
+                cut = np.flatnonzero(np.diff(x) > least) + 1
+                first, last = x[np.r_[0, cut]], x[np.r_[cut, len(x)] - 1] + least
+                runs.append([{"first": a, "end": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+            kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(runs, kind)], ["id", "tag", "spans"])
+
+    return run
+
+
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts_column = batch.column(1).fill_null("")
         for texts in _text.steps(texts_column):
             doc, start, end, _, counts = _lines(texts)
+            w = _text.words(texts, _text.SPACE_SEPARATED)
+            line = np.searchsorted(end, w.start, side="right")
             n_lines = np.bincount(doc, minlength=texts.rows)
             base = np.cumsum(n_lines) - n_lines
+            n_words = np.bincount(w.doc, minlength=texts.rows)
+            word_base = np.cumsum(n_words) - n_words
             gone = np.zeros(len(doc), bool)
-            runs = batch.column(2).slice(texts.first, texts.rows).to_pylist()
+            runs, spans = (batch.column(i).slice(texts.first, texts.rows).to_pylist() for i in (2, 3))
             for row, windows in enumerate(runs):
                 for x in windows or ():
                     gone[base[row] + x["line"] : base[row] + x["line"] + x["length"]] = True
+            word_gone = gone[line]
+            for row, found in enumerate(spans):
+                for x in found or ():
+                    word_gone[word_base[row] + x["first"] : word_base[row] + x["end"]] = True
+            lost = np.bincount(line[word_gone], minlength=len(doc))
+            gone = lost == counts
             out = texts_column.slice(texts.first, texts.rows).to_pylist()
-            for row in np.unique(doc[gone]).tolist():
+            for row in np.unique(w.doc[word_gone]).tolist():
                 raw, parts, at = out[row].encode(), [], 0
-                for i in (np.flatnonzero(gone[base[row] : base[row] + n_lines[row]]) + base[row]).tolist():
-                    first = int(start[i] - texts.offsets[row])
-                    parts.append(raw[at:first])
-                    at = int(end[i] - texts.offsets[row]) + 1  # with its line break
+                offset = texts.offsets[row]
+                for i in (np.flatnonzero(lost[base[row] : base[row] + n_lines[row]]) + base[row]).tolist():
+                    if gone[i]:
+                        parts.append(raw[at : int(start[i] - offset)])
+                        at = int(end[i] - offset) + 1  # with its line break
+                        continue
+                    a, b = np.searchsorted(line, [i, i + 1])
+                    edge = np.diff(np.r_[False, word_gone[a:b], False].astype(np.int8))
+                    for x, y in zip((np.flatnonzero(edge == 1) + a).tolist(), (np.flatnonzero(edge == -1) + a).tolist(), strict=True):
+                        parts.append(raw[at : int(w.start[x] - offset)])  # up to the next word that stays
+                        at = int((w.start[y] if y < b else end[i]) - offset)
                 out[row] = b"".join([*parts, raw[at:]]).decode()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(texts.first, texts.rows),
                     pa.array(n_lines, pa.int64()),
                     pa.array(np.bincount(doc[gone], minlength=texts.rows), pa.int64()),
-                    pa.array(np.bincount(doc[gone], counts[gone], minlength=texts.rows).astype(np.int64)),
+                    pa.array(np.bincount(doc, lost, minlength=texts.rows).astype(np.int64)),
                     pa.array(out, pa.string()),
                 ],
                 ["doc_id", "n_lines", "n_deleted", "words_deleted", "text"],
@@ -180,6 +303,28 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
     return met.groupBy("id", "digest").agg(F.collect_set(F.struct("line", "length")).alias("runs"))
 
 
+def later_words(docs: DataFrame, min_words: int) -> DataFrame:
+    """``(id, tag, spans)``: runs of words ``(first, end)`` whose windows repeat earlier ones.
+
+    ``tag`` is the beginning of the digest as a number.
+    """
+    picks, _ = stage(
+        docs.select("id", "digest", "text").mapInArrow(_pick_rows(min_words), "id long, digest string, picks array<long>"), "picks"
+    )
+    flat = picks.select("id", "digest", F.explode("picks").alias("pick"))
+    often = flat.groupBy("pick").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("pick")
+    asked = flat.join(often, "pick", "left_semi").groupBy("id", "digest").agg(F.collect_set("pick").alias("picks"))
+    asked, n = stage(asked, "asked")
+    asked = F.broadcast(asked) if n <= BROADCAST_DOCS else asked
+    windows = docs.select("id", "digest", "text").join(asked, ["id", "digest"]).select("id", "digest", "text", "picks")
+    windows, _ = stage(windows.mapInArrow(_window_rows(min_words), "id long, tag long, window long, start int, inside boolean, own boolean"), "word_windows")
+    first = windows.groupBy("window").agg(F.min(F.struct("id", "tag")).alias("first"), F.count(F.lit(1)).alias("n"))
+    later = windows.filter("inside AND NOT own").join(first.filter("n > 1").drop("n"), "window").filter(F.struct("id", "tag") > F.col("first"))
+    met = windows.filter("inside AND own").select("id", "tag", "start").union(later.select("id", "tag", "start"))
+    met = met.groupBy("id", "tag").agg(F.collect_list("start").alias("starts"))
+    return met.mapInArrow(_word_runs(min_words), "id long, tag long, spans array<struct<first: long, end: long>>")
+
+
 def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, n_lines, n_deleted, words_deleted, text)`` of every row of ``docs(doc_id, text)``."""
     rows = docs.select(
@@ -190,5 +335,9 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     )
     runs, n = stage(later_copies(rows, min_words), "runs")
     runs = F.broadcast(runs) if n <= BROADCAST_DOCS else runs
-    out = rows.join(runs, ["id", "digest"], "left").select("doc_id", "text", "runs")
+    spans, n = stage(later_words(rows, min_words), "spans")
+    spans = F.broadcast(spans) if n <= BROADCAST_DOCS else spans
+    tag = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
+    out = rows.join(runs, ["id", "digest"], "left").withColumn("tag", tag).join(spans, ["id", "tag"], "left")
+    out = out.select("doc_id", "text", "runs", "spans")
     return out.mapInArrow(_rebuild, "doc_id long, n_lines long, n_deleted long, words_deleted long, text string")

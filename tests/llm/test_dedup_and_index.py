@@ -120,6 +120,55 @@ def test_repeated_line_runs_equal_brute_force(spark):
     assert line_dedup.drop_repeated_runs(documents(spark, [])).count() == 0
 
 
+def expected_words(rows, least):
+    """Words left of documents that are one long line each."""
+    split = {i: t.split(" ") for i, t in rows}
+    places = collections.defaultdict(list)
+    for i in sorted(split):
+        for a in range(len(split[i]) - least + 1):
+            places[tuple(split[i][a : a + least])].append((i, a))
+    gone = collections.defaultdict(set)
+    for found in places.values():
+        for i, a in found[1:]:
+            if i != found[0][0] or a >= found[0][1] + least:
+                gone[i] |= set(range(a, a + least))
+    return {i: [x for n, x in enumerate(v) if n not in gone[i]] for i, v in split.items()}
+
+
+def test_passages_inside_long_lines_equal_brute_force(spark):
+    own = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    just, less, long = own("p", 50), own("q", 49), own("r", 130)
+    bodies = [
+        f"{own('a', 60)} {just} {own('b', 7)}", f"{own('c', 9)} {just} {own('d', 80)}", f"{own('e', 50)} {less}", f"{own('f', 70)} {less} {own('g', 3)}",
+        f"{long} {own('h', 20)}", f"{own('i', 33)} {' '.join(long.split()[20:120])} x {own('j', 30)}", f"{own('k', 55)} {just} {just} {own('l', 5)}",
+        own("m", 50), own("n", 65), own("n", 65), " ".join(["same"] * 180),
+    ]
+    rows = list(enumerate(bodies))
+    left = expected_words(rows, 50)
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_runs(documents(spark, rows)).collect()}
+    for i, text in rows:
+        r = got[i]
+        assert r.text.split() == left[i], i
+        assert (r.n_lines, r.words_deleted) == (1, len(text.split()) - len(left[i])), i
+        assert r.n_deleted == (not left[i]), i
+        assert r.text == text if len(left[i]) == len(text.split()) else True
+    assert [got[i].words_deleted for i in (1, 3, 5, 9)] == [50, 0, 100, 65]
+
+
+def test_a_passage_inside_a_long_line_goes_wherever_the_earlier_one_has_its_line_ends(spark):
+    own = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    first, second = own("p", 30), own("Q", 40)
+    rows = [
+        (1, f"{own('a', 10)} {first}\n{second} {own('b', 8)}\nend"), (2, f"é\n\n{own('c', 9)}  {first} {second.lower()}\t{own('d', 9)}\n \nlast é"),
+        (3, f"start\n{own('e', 60)} {first} {second}\nlast"), (4, f"{own('f', 10)} {first}\n{second}"),
+    ]
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_runs(documents(spark, rows)).collect()}
+    assert got[1].text == rows[0][1]
+    assert got[2].text == f"é\n\n{own('c', 9)}  {own('d', 9)}\n \nlast é" and (got[2].n_deleted, got[2].words_deleted) == (0, 70)
+    assert got[3].text == f"start\n{own('e', 60)} \nlast" and got[3].words_deleted == 70
+    assert got[4].text == rows[3][1]  # short lines go as a whole, in runs of whole lines
+
+
 ITEMS = [(1, " ".join(f"q{i}" for i in range(20))), (2, "Alpha beta, gamma"), (3, None), (4, "..."), (5, " ".join(f"q{i}" for i in range(5, 18))), (2, "delta"), (None, "omega omega")]
 
 
