@@ -2,13 +2,16 @@
 
 Decisions are found on narrow tables and reach the texts by a join on the document's key:
 the decided keys are broadcast as long as they are few, else both sides are shuffled. The
-key is doc_id, or for a document without one a number from its text, so that equal texts
-without an id are decided alike. Columns other than the tables' own are carried along.
+key is doc_id if it names one text. For texts that share a doc_id it is a number from doc_id
+and text, so that each is decided by itself, and for a document without one a number from its
+text, so that equal texts without an id are decided alike. Columns other than the tables' own
+are carried along.
 
 ==========  ===================================================================
 toxicity    documents scored toxic go (model learned from ``labels``)
 near_dedup  one document of each group of near-duplicates stays (five-word
-            shingles, similarity 0.8); of rows that share a doc_id one stays
+            shingles, similarity 0.8), one whose doc_id is its own before others; of
+            rows left that share a doc_id one stays, told by a hash of its text
 decontam    documents of which a twentieth or more is benchmark text go
 mixture     documents stay as often as their source's target asks: 0 to 2 times
 sharding    ``(doc_id, size, text_crc32, shard, slot)`` of every row
@@ -30,14 +33,28 @@ SHARDS = 8
 ORACLE_SQL = None
 
 
-def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a key column, and its name."""
-    name = "_key"
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that is no column of ``docs``."""
     while name in docs.columns:
         name = f"_{name}"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key column, and its name."""
+    key, mark = _free(docs, "_key"), _free(docs, "_shared")
     low = (1 << 61) - 1
-    made = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(low) + (low + 1)
-    return docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), made)), name
+    text = F.coalesce("text", F.lit(""))
+    named = docs.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("digest"))
+    named = named.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+    shared, n = stage(named.filter("least <> most").select("doc_id", F.lit(True).alias(mark)), "shared")
+    of_text = F.xxhash64(text).bitwiseAND(low) + (low + 1)
+    own = F.coalesce(F.col("doc_id").cast("long"), of_text)
+    if not n:
+        return docs.withColumn(key, own), key
+    of_both = F.xxhash64(F.col("doc_id"), text).bitwiseAND(low) + (low + 1)
+    marked = docs.join(_small(shared, n), "doc_id", "left")
+    return marked.select(*docs.columns, F.when(F.col(mark), of_both).otherwise(own).alias(key)), key
 
 
 def _narrow(keyed: DataFrame, key: str, *columns: str) -> DataFrame:
@@ -63,14 +80,17 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     keyed, key = _keyed(docs)
     found = near_dedup.near_duplicates(_narrow(keyed, key), width=5, percent=80)
     kept = _without(keyed, key, found.filter("NOT kept"))
-    again = keyed.groupBy(key).count().filter("count > 1").select(key)
-    again, n = stage(again, "again")
+    row = F.coalesce(F.col("doc_id").cast("long"), F.col(key))
+    again, n = stage(keyed.groupBy(row.alias("doc_id")).count().filter("count > 1").select(F.col("doc_id").alias(_free(keyed, "_row"))), "again")
     if not n:
         return kept.select(docs.columns)
-    again = _small(again, n)
-    once = kept.join(again, key, "left_anti")
-    first = kept.join(again, key, "left_semi").dropDuplicates([key])
-    return once.union(first).select(docs.columns)
+    name = again.columns[0]
+    kept = kept.withColumn(name, row)
+    once = kept.join(_small(again, n), name, "left_anti")
+    rest = F.to_json(F.struct(*(c for c in docs.columns if c != "text"), F.lit(0)))
+    first = kept.join(_small(again, n), name, "left_semi").groupBy(name)
+    first = first.agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), rest)).alias(name + "_first"))
+    return once.select(docs.columns).union(first.select(f"{name}_first.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,7 +103,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed, key = _keyed(docs)
     mixed = mixture.mix(_narrow(keyed, key, "source")).filter("copies > 0")
-    # Rows that share a key were merged before; should any be left, each gets the most copies.
+    # Equal rows were merged before; should any be left, each gets the most copies.
     copies, n = stage(mixed.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").cast("int").alias("copies")), "copies")
     copies = _small(copies.select(key, F.col("copies").alias(f"{key}_copies")), n)
     rows = keyed.join(copies, key)

@@ -93,6 +93,30 @@ def test_rejected_documents_are_those_scored_toxic(spark, folder):
     assert kept.count() == toxicity.score(docs, model).filter(F.col("toxicity") < 0.3).count()
 
 
+def test_texts_that_share_an_id_are_decided_each_by_itself(spark, tmp_path):
+    rng = random.Random(31)
+    one, other, third = (prose(rng, 80) for _ in range(3))
+    passage = " ".join(f"bench{i}" for i in range(30))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near = [(3, one), (5, f"{one} added"), (5, other), (7, third), (7, third)]
+    kept = corpus_pipeline.near_dedup_stage(spark, documents(spark, near), str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, one), (5, other), (7, third)]
+    mixed = [(5, f"{passage} {one}"), (5, other), (6, third)]
+    kept = corpus_pipeline.decontamination_stage(spark, documents(spark, mixed), str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(5, other), (6, third)]
+
+
+def test_the_row_kept_of_a_shared_id_does_not_hang_on_the_order(spark, tmp_path):
+    rng = random.Random(32)
+    rows = [(7, prose(rng, 60)) for _ in range(12)]
+    seen = set()
+    for turn in range(4):
+        docs = documents(spark, rows[turn * 3 :] + rows[: turn * 3])
+        (kept,) = corpus_pipeline.near_dedup_stage(spark, docs, str(tmp_path)).collect()
+        seen.add(kept.text)
+    assert len(seen) == 1
+
+
 @pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test data here")
 @pytest.mark.parametrize("name", sorted(llm_oracle()))
 def test_query_equals_sql(spark, name):
