@@ -84,6 +84,8 @@ class Words(NamedTuple):
 
 def steps(column: pa.Array, limit: int = STEP_BYTES) -> Iterator[Texts]:
     """Cut a text column into runs of whole texts of about ``limit`` bytes; null is empty."""
+    if pa.types.is_null(column.type):
+        column = column.cast(pa.string())
     texts = column.fill_null("") if column.null_count else column
     n = len(texts)
     if not n:

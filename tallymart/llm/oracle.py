@@ -8,12 +8,15 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-_NEAR = rf"""
+
+def _near(width: int, columns: str) -> str:
+    """Links of word shingles at 85 %, and the smallest doc_id reached over them."""
+    return rf"""
 WITH RECURSIVE words AS (
 SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
 ), shingled AS (
-SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS shingle
-FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+SELECT DISTINCT doc_id, array_to_string(w[i : i + {width - 1}], ' ') AS shingle
+FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 1}, 1) + 1)) AS i FROM words WHERE len(w) > 0)
 ), sizes AS (
 SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
 ), common AS (
@@ -31,10 +34,11 @@ SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a
 ), least_of AS (
 SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a
 )
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+SELECT doc_id, coalesce(n, 0) AS n_shingles, {columns}
 FROM least_of LEFT JOIN sizes USING (doc_id)
 """
 
+
 _TOP = """
 WITH vectors AS (
 SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
@@ -93,8 +97,9 @@ FROM said GROUP BY conv_id
 
 def llm_oracle() -> dict[str, str]:
     return {
-        "op2_near_duplicates": _NEAR,
+        "op2_near_duplicates": _near(3, "component_id, doc_id = component_id AS kept"),
         "op4_top_inner_products": _TOP,
         "op5_decontamination": _HITS,
         "op8_chat": _CHAT,
+        "op13_jaccard_join": _near(4, "component_id"),
     }

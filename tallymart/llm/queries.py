@@ -13,6 +13,7 @@ from tallymart.llm import (
     line_dedup,
     mixture,
     near_dedup,
+    parity_join,
     pii,
     quality,
     sharding,
@@ -137,6 +138,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_join(_read(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_personal_data,
@@ -149,5 +154,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chat,
         op9_sharding,
         op10_toxicity,
+        op13_jaccard_join,
     )
     return {f.__name__: f for f in found}
