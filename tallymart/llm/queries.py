@@ -16,6 +16,7 @@ from tallymart.llm import (
     parity_join,
     pii,
     quality,
+    repair,
     sharding,
     topk,
     toxicity,
@@ -138,6 +139,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with drawn faults; rows that the draw drops still name their conversation."""
+    return repair.report(*repair.damaged(_read(spark, sf_dir, "conversations")))
+
+
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_join(_read(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -154,6 +160,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chat,
         op9_sharding,
         op10_toxicity,
+        op12_conversation_repair,
         op13_jaccard_join,
     )
     return {f.__name__: f for f in found}
