@@ -3,10 +3,10 @@
 1. Every whole text becomes its set of word shingles. Each element is XORed into sketches, so
    a sketch of A and one of B differ in no more places than A and B have different elements.
 2. Linked sets of sizes a and b differ in at most ``(100 - p) * (a + b) / (100 + p)`` elements.
-   Sizes are cut into bands so that linked sizes lie in one band or in two adjacent ones; tag t
-   stands for bands t - 1 and t, and a set takes part under both of its tags. Under a tag with
-   bound d the sketch has ``d + 1 + e`` words. At most d words differ, so a linked pair has at
-   least ``e + 1`` words in common (pigeonhole).
+   Sizes are cut into bands that overlap, so that linked sizes share a band; a set takes part
+   in every band that holds its size, one or two. In a band with bound d the sketch has
+   ``d + 1 + e`` words. At most d words differ, so a linked pair has at least ``e + 1`` words
+   in common (pigeonhole).
 3. Of these a set may leave out any e, if all sets leave out the first ones of one common
    order: the rarest common word is then left. Empty words come first in that order and are
    never written; see 6 for the rest.
@@ -42,6 +42,7 @@ from tallymart.llm._graph import components
 from tallymart.llm.near_dedup import BLOCK, _sums, _verify, shingle_sets
 from tallymart.session import stage
 
+SPREAD = 1.8  # last size of a band over its first, for thresholds above 75 %
 FEW = 24  # sets of one word that are paired within one row
 CHUNK = 512  # sets on each side of a block of a frequent word
 
@@ -54,12 +55,14 @@ def most_apart(a, b, percent: int):
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def size_bands(percent: int, largest: int = 1 << 40) -> np.ndarray:
-    """First size of each band; sizes that can be linked are at most one band apart."""
-    starts = [1, 2]
-    while starts[-1] <= largest:
-        starts.append(max(starts[-1] + 1, 100 * (starts[-1] - 1) // percent + 1))
-    return np.array(starts, np.int64)
+def size_bands(percent: int, largest: int = 1 << 40) -> tuple[np.ndarray, np.ndarray]:
+    """First and last size of each band. A band begins with the least size that can be linked
+    with the first one beyond the band before it; no size lies in more than two bands."""
+    first, last = [1], [1]
+    while last[-1] <= largest:
+        first.append(max(first[-1] + 1, -(-percent * (last[-1] + 1) // 100)))
+        last.append(max(first[-1], int(first[-1] * SPREAD)))
+    return np.array(first, np.int64), np.array(last, np.int64)
 
 
 def _xor_words(doc: np.ndarray, place: np.ndarray, value: np.ndarray, widths: np.ndarray) -> np.ndarray:
@@ -70,19 +73,20 @@ def _xor_words(doc: np.ndarray, place: np.ndarray, value: np.ndarray, widths: np
 
 
 def word_keys(sets: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the sketch words of every set under both tags, their number, and per parity of
-    the tag how many more words the set may leave out. A key's lowest bit is the tag's parity."""
-    bands = size_bands(percent)
-    band = np.searchsorted(bands, counts, side="right") - 1
+    """Keys of the sketch words of every set in its bands, their number, and per parity of the
+    band how many more words the set may leave out. A key's lowest bit is the band's parity."""
+    least, largest = size_bands(percent)
+    band = np.searchsorted(least, counts, side="right") - 1
     n = len(counts)
     doc = np.repeat(np.arange(n), counts)
     scattered, value = _text.mix(sets ^ _C[0]) >> np.uint64(32), _text.mix(sets ^ _C[1])
     keys, owners, spare = [], [], np.zeros((n, 2), np.int32)
     for step in (0, 1):
-        tag = band + step
-        apart = most_apart(bands[tag + 1] - 1, bands[tag + 1] - 1, percent)
-        left_out = np.where(apart > 0, 1 + apart // 4, 0)
-        width = np.where((apart > 0) & (counts > 0), apart + 1 + left_out, 0)
+        tag = np.maximum(band - step, 0)
+        apart = most_apart(largest[tag], largest[tag], percent)
+        holds = (counts > 0) & (band >= step) & (counts <= largest[tag]) & (apart > 0)
+        left_out = np.where(holds, 1 + apart // 6, 0)
+        width = np.where(holds, apart + 1 + left_out, 0)
         use = width[doc] > 0
         place = ((scattered[use] * width[doc[use]].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         words = _xor_words(doc[use], place, value[use], width)
@@ -92,7 +96,7 @@ def word_keys(sets: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nd
         rank = np.cumsum(empty)
         before = np.r_[0, rank][first]
         kept = ~empty | (rank - before[owner] > left_out[owner])
-        spare[np.arange(n), tag & 1] = left_out - np.minimum(left_out, np.bincount(owner[empty], minlength=n))
+        spare[np.arange(n)[holds], (tag & 1)[holds]] = (left_out - np.minimum(left_out, np.bincount(owner[empty], minlength=n)))[holds]
         at = (np.arange(len(words)) - first[owner]).astype(np.uint64)
         key = _text.mix(words ^ _text.mix(at * _C[2] + tag[owner].astype(np.uint64) * _C[3]))
         key = (key & ~np.uint64(1)) | (tag[owner] & 1).astype(np.uint64)
@@ -125,20 +129,27 @@ def may_link(n_a: np.ndarray, n_b: np.ndarray, different: np.ndarray, percent: i
 
 
 def _sketch(width: int, percent: int):
+    """Sketches of a task's texts; of sets that the task has had only the first one's words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for texts in _text.steps(batch.column(1)):
                 sets, counts = shingle_sets(texts, width)
-                keys, n_keys, spare = word_keys(sets, counts, percent)
+                node = _sums(_text.mix(sets), counts).view(np.int64)
+                new = np.array([x not in seen and not seen.add(x) for x in node.tolist()], bool)
+                own = np.where(new, counts, 0)
+                keys, n_keys, spare = word_keys(sets[np.repeat(new, counts)], own, percent)
+                bits = parity_bits(sets, counts)
                 offsets = np.r_[0, np.cumsum(n_keys)].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, texts.rows),
                         pa.array(counts, pa.int64()),
-                        pa.array(_sums(_text.mix(sets), counts).view(np.int64)),
-                        pa.array(parity_bits(sets, counts), pa.binary()),
-                        pa.array(spare[:, 0]),
-                        pa.array(spare[:, 1]),
+                        pa.array(node),
+                        pa.array([b if x else None for b, x in zip(bits, new, strict=True)], pa.binary()),
+                        pa.array(spare[:, 0], mask=~new),
+                        pa.array(spare[:, 1], mask=~new),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64))),
                     ],
                     ["doc_id", "n", "node", "bits", "spare0", "spare1", "keys"],
@@ -207,7 +218,7 @@ class _Join:
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         schema = "doc_id long, n long, node long, bits binary, spare0 int, spare1 int, keys array<long>"
         self.sketch, _ = stage(self.texts.mapInArrow(_sketch(width, percent), schema), "parity")
-        carried = [F.first(c).alias(c) for c in ("n", "bits", "spare0", "spare1")]
+        carried = [F.first(c, ignorenulls=True).alias(c) for c in ("n", "bits", "spare0", "spare1")]
         sets = self.sketch.filter("n > 0")
         self.classes, _ = stage(sets.groupBy("node").agg(F.min("doc_id").alias("rep"), *carried), "classes")
 
