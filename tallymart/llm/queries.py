@@ -15,6 +15,7 @@ from tallymart.llm import (
     near_dedup,
     parity_join,
     pii,
+    prefix_trie,
     quality,
     repair,
     sharding,
@@ -139,6 +140,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(_read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_family_heads(turns))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations with drawn faults; rows that the draw drops still name their conversation."""
     return repair.report(*repair.damaged(_read(spark, sf_dir, "conversations")))
@@ -160,6 +166,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chat,
         op9_sharding,
         op10_toxicity,
+        op11_conversation_trie,
         op12_conversation_repair,
         op13_jaccard_join,
     )
