@@ -1,11 +1,17 @@
 """The whole run: feeds to bronze, silver, gold, checks, with a run record.
 
-Every step can be run again. A feed of a batch is loaded once; a run of the same batch uses
-the bronze rows that are there, so their ids hold whatever the file splits or the cluster.
-Silver takes only transactions it does not have, and upserts repeat to the same rows. A
-batch counts as published only after its last write, so one that broke off is taken up again
-by the next run. ``reload`` takes a corrected file: the batch's rows leave bronze, silver,
-quarantine and gold before it is loaded anew.
+A feed of a batch is loaded once, in one commit; a run of the same batch uses the bronze rows
+that are there, so their ids hold whatever the file splits or the cluster. Silver, quarantine,
+gold and the mark that a batch is published change in one commit more. Whatever breaks off in
+between, readers see the tables before or after it, and the next run takes up what is not
+published. Of two runs at once that change the same tables, one fails and can be run again.
+
+``reload`` takes a corrected file. Its bronze rows replace the old ones in one commit with an
+intent, which names the old rows that are still in silver and gold. The next run, this one or a
+later one, carries out all intents: the tables become what they were if the corrected file had
+been loaded in the first place. The batch keeps the time of its first load. Two things stay as
+upserts leave them: the store name of a store-day that was known, unless its store was reloaded,
+and health snapshots of earlier days.
 """
 
 from __future__ import annotations
@@ -22,9 +28,9 @@ from tallymart import schemas as S
 from tallymart.functions.clock import as_date, as_timestamp, utc_text
 from tallymart.operators.keyed import known_keys, merge_upsert, without_match
 from tallymart.plans import gold, quality, run_log, silver
-from tallymart.session import discard, observed, stage
+from tallymart.session import discard, stage
 from tallymart.sources import csv_feeds
-from tallymart.sources.tables import LayerStore
+from tallymart.sources.tables import BUCKET, TABLES, LayerStore, bucket_of
 
 FEEDS = ("raw_stores", "raw_inventory", "raw_transactions")
 STORE_UPDATES = ["store_name", "city", "region", "store_type", "opened_date", "_transformed_at", "_ingested_at"]
@@ -67,14 +73,18 @@ def ingest_feed(
     batch = {"_batch_id": batch_id}
     rejected = {**batch, "source_table": feed}
     done = f"batches.{feed}"
-    if not reload and not store.marks(done).filter(F.col("value") == batch_id).isEmpty():
-        return store.read(table).filter(F.col("_batch_id") == batch_id).count()
+    if not reload and batch_id in store.marked(done):
+        return store.read(table, lambda p: p["_batch_id"] == batch_id).count()
+    old = store.segments_of(table, batch)
+    if reload:
+        for p, names in store.intents().get(batch_id, {}).get(feed, {}).items():
+            old[p] = [*names, *(n for n in old.get(p, []) if n not in names)]
+    loaded_at = _first_load(store, table, old) if old else as_of
     raw = csv_feeds.read_csv(store.spark, paths, multi_line)
 
     def reject(rows: DataFrame, reason: str) -> None:
-        store.clear_partition(rejects, rejected)
         rows = csv_feeds.rejected_records(rows, feed, batch_id, reason, as_of)
-        store.replace_partitions(rows, rejects)
+        store.replace_partitions(rows, rejects, [rejected])
 
     try:
         csv_feeds.to_bronze(raw, feed, batch_id, as_of)
@@ -90,44 +100,82 @@ def ingest_feed(
         F.count_if(extra).alias("malformed"),
         F.count_if(open_).alias("broken"),
     )
-    bronze = csv_feeds.to_bronze(counted.filter(~extra), feed, batch_id, as_of)
-    store.replace_partitions(bronze, table)
+    segment = store.write(csv_feeds.to_bronze(counted.filter(~extra), feed, batch_id, loaded_at), table)
     if seen.get["broken"]:
-        store.clear_partition(table, batch)
         reason = f"{feed}: line breaks inside quotes; load with multi_line=True"
         reject(raw.filter(open_), reason)
         raise csv_feeds.FeedContractError(reason)
-    if not seen.get["loaded"]:
-        store.clear_partition(table, batch)
-    if seen.get["malformed"]:
-        reject(raw.filter(extra), "more fields than the header names")
-    else:
-        store.clear_partition(rejects, rejected)
-    store.mark(done, batch_id)
+    with store.transaction() as tx:
+        if reload and old:
+            tx.intend(batch_id, {**store.intents().get(batch_id, {}), feed: old})
+        store.replace(segment, [batch])
+        if seen.get["malformed"]:
+            reject(raw.filter(extra), "more fields than the header names")
+        else:
+            store.clear_partition(rejects, rejected)
+        store.mark(done, batch_id)
+        tx.unmark("batches.published", batch_id)
     return seen.get["loaded"]
 
 
-def withdraw_batch(store: LayerStore, batch_id: str) -> tuple[list[dt.date], list[str]]:
-    """Take a batch's transactions out of silver, before it is loaded anew.
+def _first_load(store: LayerStore, table: str, segments: dict[str, list[str]]):
+    """When the rows were loaded first."""
+    at = store.read_segments(table, segments).agg(F.unix_micros(F.min("_ingested_at"))).first()[0]
+    return None if at is None else F.timestamp_micros(F.lit(at))
+
+
+# --- reloads ----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Withdrawn:
+    """What the intents take back: months and other batches to do again, and lost keys by table."""
+
+    months: list[dt.date]
+    batches: list[str]
+    stores: DataFrame | None
+    inventory: DataFrame | None
+
+
+def _old_rows(store: LayerStore, feed: str) -> DataFrame | None:
+    """Rows of the feed that reloads have replaced in bronze."""
+    parts = [i[feed] for i in store.intents().values() if feed in i]
+    return store.read_segments(f"bronze/{feed}", {p: s for part in parts for p, s in part.items()}) if parts else None
 
-    Returns the months they were in and the batches that hold other rows of their ids, which
-    were duplicates until now. Only the months concerned are rewritten.
+
+def withdraw(store: LayerStore) -> Withdrawn:
+    """Take the transactions of reloaded batches out of silver, in the open transaction.
+
+    Only the months that these batches are marked with are read, and rewritten if they hold
+    rows of them. Batches that hold other rows of their ids, duplicates until now, are to be
+    done again; rows of lost inventory and store keys are found when these are refreshed.
     """
-    existing = store.read("silver/transactions")
-    own = F.col("_bronze_batch_id") == batch_id
+    reloaded = sorted(b for b, i in store.intents().items() if "raw_transactions" in i)
+    stores, inventory = _old_rows(store, "raw_stores"), _old_rows(store, "raw_inventory")
+    if stores is not None:
+        stores = silver.classify_stores(stores).filter("reject_rule IS NULL").select("typed.store_id").distinct()
+    if inventory is not None:
+        inventory = silver.classify_inventory(inventory).filter("reject_rule IS NULL")
+        inventory = inventory.select("typed.store_id", "typed.product_id").distinct()
+    again = sorted(store.intents())
+    if not reloaded:
+        return Withdrawn([], again, stores, inventory)
+    known = {m for b in reloaded for m in store.marked("batches.months").get(b, {}).get("months", [])}
+    existing = store.read("silver/transactions", lambda p: p["txn_month"] in known)
+    own = F.col("_bronze_batch_id").isin(reloaded)
     gone, n = stage(existing.filter(own).select("transaction_id", "txn_month"), "withdrawn")
-    if not n:
-        return [], []
-    months = sorted(r["txn_month"] for r in gone.select("txn_month").distinct().collect())
-    again = (
-        store.read("quarantine/raw_transactions")
-        .filter((F.col("reject_rule") == silver.DUPLICATE_RULE) & (F.col("_batch_id") != batch_id))
-        .join(gone.select("transaction_id"), "transaction_id", "left_semi")
-    )
-    batches = sorted(r["_batch_id"] for r in again.select("_batch_id").distinct().collect())
-    kept, _ = stage(existing.filter(F.col("txn_month").isin(months) & ~own), "kept-transactions")
-    store.replace_partitions(kept, "silver/transactions", [{"txn_month": m} for m in months])
-    return months, batches
+    months = sorted(r["txn_month"] for r in gone.select("txn_month").distinct().collect()) if n else []
+    if months:
+        freed = (
+            store.read("quarantine/raw_transactions", lambda p: p["_batch_id"] not in reloaded)
+            .filter(F.col("reject_rule") == silver.DUPLICATE_RULE)
+            .join(gone.select("transaction_id"), "transaction_id", "left_semi")
+        )
+        again += [r["_batch_id"] for r in freed.select("_batch_id").distinct().collect()]
+        kept = existing.filter(F.col("txn_month").isin(months) & ~own)
+        store.replace_partitions(kept, "silver/transactions", [{"txn_month": m} for m in months])
+    discard(store.spark, [gone])
+    return Withdrawn(months, sorted(set(again)), stores, inventory)
 
 
 # --- silver -----------------------------------------------------------------
@@ -138,39 +186,66 @@ def _fresh(run_id: str) -> str:
     return f"{run_id}-{uuid.uuid4().hex[:12]}"
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def _upsert(
+    store: LayerStore,
+    name: str,
+    incoming: DataFrame,
+    update_cols: list[str],
+    lost: DataFrame | None = None,
+    refound: DataFrame | None = None,
+) -> int:
+    """Merge rows into a bucketed table, reading and rewriting only buckets they fall into.
 
+    Rows of ``lost`` keys are replaced by what ``refound`` has of them. Returns the rows merged.
+    """
+    keys = list(TABLES[name].bucket_by)
+    incoming, n = stage(incoming, "incoming")
+    staged = [incoming]
+    touched = incoming.select(bucket_of(keys).alias(BUCKET))
+    if lost is not None:
+        (lost, _), (refound, _) = stage(lost, "lost"), stage(refound, "refound")
+        staged += [lost, refound]
+        touched = touched.union(lost.select(bucket_of(keys)))
+    buckets = sorted(r[BUCKET] for r in touched.distinct().collect())
+    if buckets:
+        current = store.read(name, lambda p: int(p[BUCKET]) in buckets)
+        if lost is not None:
+            current, incoming = (without_match(df, lost, keys) for df in (current, incoming))
+        merged = merge_upsert(current, incoming, keys, update_cols, "_ingested_at")
+        if lost is not None:
+            merged = merged.unionByName(refound)
+        store.replace_partitions(merged, name, [{BUCKET: b} for b in buckets])
+    discard(store.spark, staged)
+    return n
 
-def refresh_stores(
-    store: LayerStore, bronze: DataFrame, version: str, as_of=None
-) -> tuple[DataFrame, int]:
-    """Merge named stores into a new version of silver stores (not yet committed); returns it
-    and the rows upserted. Rows loaded earlier than what silver has change nothing."""
-    incoming, seen = _counted(silver.silver_stores(bronze, as_of))
-    merged = merge_upsert(
-        store.read("silver/stores"), incoming, ["store_id"], STORE_UPDATES, "_ingested_at"
-    )
-    return store.write_version(merged, "silver/stores", version), observed(seen, int)
 
+def refresh_stores(store: LayerStore, bronze: DataFrame, as_of=None, lost: DataFrame | None = None) -> int:
+    """Merge named stores into silver stores; returns the rows upserted. Rows loaded earlier than
+    what silver has change nothing. Lost stores become what all of bronze says of them."""
+    refound = None
+    if lost is not None:
+        every = store.read("bronze/raw_stores")
+        refound = silver.silver_stores(every, as_of).join(lost, ["store_id"], "left_semi")
+    return _upsert(store, "silver/stores", silver.silver_stores(bronze, as_of), STORE_UPDATES, lost, refound)
 
-def refresh_inventory(
-    store: LayerStore, bronze: DataFrame, version: str, as_of=None
-) -> tuple[DataFrame, int]:
-    incoming, seen = _counted(silver.silver_inventory(bronze, as_of))
-    merged = merge_upsert(
-        store.read("silver/inventory"), incoming, ["store_id", "product_id"], INVENTORY_UPDATES,
-        "_ingested_at",
-    )
-    return store.write_version(merged, "silver/inventory", version), observed(seen, int)
+
+def refresh_inventory(store: LayerStore, bronze: DataFrame, as_of=None, lost: DataFrame | None = None) -> int:
+    """Like ``refresh_stores``; a product keeps the supplier of its first load."""
+    refound, keys = None, ["store_id", "product_id"]
+    if lost is not None:
+        every = store.read("bronze/raw_inventory")
+        newest = silver.silver_inventory(every, as_of).join(lost, keys, "left_semi")
+        oldest = [F.asc("_ingested_at"), F.asc("_batch_id"), F.desc("_id")]
+        first = silver.silver_inventory(every, as_of, oldest).join(lost, keys, "left_semi")
+        refound = newest.drop("supplier_id").join(first.select(*keys, "supplier_id"), keys)
+        refound = refound.select(*TABLES["silver/inventory"].schema.names)
+    return _upsert(store, "silver/inventory", silver.silver_inventory(bronze, as_of), INVENTORY_UPDATES, lost, refound)
 
 
 def pending_batches(store: LayerStore, batch_id: str) -> list[str]:
     """This batch and earlier ones whose run did not publish them; usually just this one."""
-    loaded, published = store.marks("batches.loaded"), store.marks("batches.published")
-    rows = without_match(loaded.select("value").distinct(), published, ["value"]).collect()
-    return sorted({batch_id, *(r["value"] for r in rows)})
+    loaded, published = store.marked("batches.loaded"), store.marked("batches.published")
+    return sorted({batch_id, *(b for b in loaded if b not in published)})
 
 
 def candidate_transactions(store: LayerStore, batches: list[str] | None) -> DataFrame:
@@ -179,14 +254,12 @@ def candidate_transactions(store: LayerStore, batches: list[str] | None) -> Data
     The given batches, and rows that earlier runs held back for their date only: no
     other row can have become valid. Without batches all of bronze, for changed rules.
     """
-    bronze = store.read("bronze/raw_transactions")
     if batches is None:
-        return bronze
-    waiting = store.read("quarantine/raw_transactions").filter(
-        (F.col("reject_rule") == silver.FUTURE_RULE) & ~F.col("_batch_id").isin(batches)
-    )
+        return store.read("bronze/raw_transactions")
+    waiting = store.read("quarantine/raw_transactions", lambda p: p["_batch_id"] not in batches)
+    waiting = waiting.filter(F.col("reject_rule") == silver.FUTURE_RULE)
     columns = ["_id", "_ingested_at", "_batch_id", *S.FEED_COLUMNS["raw_transactions"]]
-    fresh = bronze.filter(F.col("_batch_id").isin(batches))
+    fresh = store.read("bronze/raw_transactions", lambda p: p["_batch_id"] in batches)
     return fresh.select(*columns).unionByName(waiting.select(*columns))
 
 
@@ -217,10 +290,12 @@ def merged_daily_sales(
     months: list[dt.date] | None,
     as_of=None,
     recounted: list[dt.date] | None = None,
+    renamed: DataFrame | None = None,
 ) -> DataFrame:
     """Daily sales of the given months (all without any) after the upsert.
 
     In ``recounted`` months transactions were withdrawn: store-days without any are dropped.
+    Store-days of ``renamed`` stores take the name that the store has now.
     """
     if months is not None:
         transactions = transactions.filter(F.col("txn_month").isin(months))
@@ -230,6 +305,8 @@ def merged_daily_sales(
         fell = F.col("sales_month").isin(recounted)
         still = current.filter(fell).join(incoming.select(*gold.DAILY_SALES_KEY), gold.DAILY_SALES_KEY, "left_semi")
         current = current.filter(~fell).unionByName(still.select(*current.columns))
+    if renamed is not None:
+        current = without_match(current, renamed, ["store_id"])
     return merge_upsert(current, incoming, gold.DAILY_SALES_KEY, gold.DAILY_SALES_UPDATES)
 
 
@@ -264,14 +341,14 @@ def log_event(
         F.lit(quarantined).cast("bigint").alias("records_quarantined"),
         F.lit(error).cast("string").alias("error_message"),
     )
-    event.write.mode("append").parquet(store.path("bronze/run_events"))
+    store.append(event, "bronze/run_events")
 
 
 def log_steps(store: LayerStore, run_id: str, steps: dict[str, int]) -> None:
     """How many rows each step loaded, upserted, inserted or quarantined."""
     rows = [F.struct(F.lit(k).alias("step"), F.lit(n).cast("bigint").alias("rows")) for k, n in steps.items()]
     table = store.spark.range(1).select(F.lit(run_id).alias("run_id"), F.inline(F.array(*rows)))
-    table.write.mode("append").parquet(store.path("bronze/run_steps"))
+    store.append(table, "bronze/run_steps")
 
 
 def runs(store: LayerStore) -> DataFrame:
@@ -314,15 +391,12 @@ def run(
     log_event(store, run_id, flow_name, 0, run_log.RUNNING)
     try:
         store.mark("batches.loaded", batch_id)
-        months, others = [], []
-        if reload and "raw_transactions" in feeds:
-            months, others = withdraw_batch(store, batch_id)
         steps = {}
         for feed in (f for f in FEEDS if f in feeds):
             steps[feed] = ingest_feed(store, feed, feeds[feed], batch_id, as_of, multi_line, reload)
             loaded += steps[feed]
-        batches = None if replay else sorted({*pending_batches(store, batch_id), *others})
-        done, report = refresh(store, run_id, batches, as_of, publish_first, months)
+        batches = None if replay else pending_batches(store, batch_id)
+        done, report = refresh(store, run_id, batches, as_of, publish_first)
         steps |= done
         held = steps["quarantined"]
         log_steps(store, run_id, steps)
@@ -335,116 +409,121 @@ def run(
 
 
 def refresh(
-    store: LayerStore,
-    run_id: str,
-    batches: list[str] | None,
-    as_of,
-    publish_first: bool = True,
-    withdrawn: list[dt.date] | None = None,
+    store: LayerStore, run_id: str, batches: list[str] | None, as_of, publish_first: bool = True
 ) -> tuple[dict[str, int], list]:
-    """Silver, gold and checks for the given bronze batches (all without any).
+    """Silver, gold and checks for the given bronze batches (all without any), and for what
+    reloads have left to do. Everything becomes visible in one commit, before the checks or,
+    without ``publish_first``, after they passed.
 
     Returns the rows each step inserted, upserted or quarantined, and the check report.
-    ``withdrawn`` are months that lost transactions before.
     """
-    steps: dict[str, int] = {}
     staged: list[DataFrame] = []
+    try:
+        with store.transaction() as tx:
+            steps = _derive(store, run_id, batches, as_of, staged)
+            if publish_first:
+                tx.commit()
+            transactions = store.read("silver/transactions")
+            report = quality.quality_report(
+                store.read("bronze/raw_transactions"),
+                silver.current_quarantine(store.read("quarantine/raw_transactions"), transactions),
+                transactions, store.read("silver/stores"), store.read("gold/daily_store_sales"), as_of,
+            ).collect()
+            if not publish_first and quality.failed(report):
+                tx.abort()
+    finally:
+        discard(store.spark, staged)
+    return steps, report
 
-    def kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-        df, n = stage(df, name)
-        staged.append(df)
-        return df, n
+
+def _derive(
+    store: LayerStore, run_id: str, batches: list[str] | None, as_of, staged: list[DataFrame]
+) -> dict[str, int]:
+    """Write all that follows from bronze into the open transaction; returns the rows of its steps."""
+    steps: dict[str, int] = {}
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        staged.append(stage(df, name)[0])
+        return staged[-1]
 
     def bronze(feed: str) -> DataFrame:
-        rows = store.read(f"bronze/{feed}")
-        return rows if batches is None else rows.filter(F.col("_batch_id").isin(batches))
+        return store.read(f"bronze/{feed}", None if batches is None else lambda p: p["_batch_id"] in batches)
 
-    version = _fresh(run_id)
+    withdrawn = withdraw(store)
+    if batches is not None:
+        batches = sorted({*batches, *withdrawn.batches})
+    lost_stores = kept(withdrawn.stores, "lost-stores") if withdrawn.stores is not None else None
     old_stores = store.read("silver/stores")
-    stores, steps["silver_stores"] = refresh_stores(store, bronze("raw_stores"), version, as_of)
-    inventory, steps["silver_inventory"] = refresh_inventory(
-        store, bronze("raw_inventory"), version, as_of
-    )
+    steps["silver_stores"] = refresh_stores(store, bronze("raw_stores"), as_of, lost_stores)
+    steps["silver_inventory"] = refresh_inventory(store, bronze("raw_inventory"), as_of, withdrawn.inventory)
+    stores = store.read("silver/stores")
 
     # Transactions: insert the absent ones, quarantine what reached no silver row.
     existing = store.read("silver/transactions")
-    candidates, _ = kept(
-        silver.silver_transactions(candidate_transactions(store, batches), as_of), "candidates"
-    )
+    candidates = kept(silver.silver_transactions(candidate_transactions(store, batches), as_of), "candidates")
     known = known_keys(existing, candidates, ["transaction_id"])
-    inserted, steps["silver_transactions"] = kept(
-        without_match(candidates, known, ["transaction_id"]), "inserted"
-    )
-    transactions = existing.unionByName(inserted)
+    inserted = store.write(without_match(candidates, known, ["transaction_id"]), "silver/transactions")
+    store.add(inserted)
+    steps["silver_transactions"] = inserted.rows
     before = existing
     if batches is not None:
-        # Rows of these batches from a run that broke off lie in the candidates' months: the
-        # months' folders are pruned before any file is opened.
-        spans = candidates.select("txn_month").distinct().collect()
-        before = existing.filter(
-            F.col("txn_month").isin([r["txn_month"] for r in spans]) & F.col("_bronze_batch_id").isin(batches)
-        )
-    columns = ["_bronze_batch_id", "_bronze_id", "txn_month"]
-    reached, _ = kept(before.select(*columns).unionByName(inserted.select(*columns)), "reached")
-    lost, steps["quarantined"] = kept(
-        silver.quarantine_transactions(bronze("raw_transactions"), reached, as_of),
-        "quarantined-transactions",
+        # Rows of these batches from a run that broke off lie in the candidates' months: only
+        # their folders are listed.
+        spans = {str(r["txn_month"]) for r in candidates.select("txn_month").distinct().collect()}
+        before = store.read("silver/transactions", lambda p: p["txn_month"] in spans)
+        before = before.filter(F.col("_bronze_batch_id").isin(batches))
+        reached = before.unionByName(inserted.frame.filter(~F.col("_bronze_batch_id").isin(batches)))
+    else:
+        reached = store.read("silver/transactions")
+    reached = kept(reached.select("_bronze_batch_id", "_bronze_id", "txn_month"), "reached")
+    lost = store.write(
+        silver.quarantine_transactions(bronze("raw_transactions"), reached, as_of), "quarantine/raw_transactions"
     )
+    steps["quarantined"] = lost.rows
 
     # Gold: only the months that can have changed.
-    months = None
+    months, recounted = None, withdrawn.months
+    old_sales = store.read("gold/daily_store_sales")
+    if lost_stores is not None:
+        theirs = old_sales.join(lost_stores, "store_id", "left_semi").select("sales_month").distinct()
+        recounted = sorted({*recounted, *(r["sales_month"] for r in theirs.collect())})
     if batches is not None:
         months = touched_months(existing, reached, old_stores, stores)
-        months = sorted({*months, *(withdrawn or ())})
-    old_sales = store.read("gold/daily_store_sales")
-    sales, steps["gold_daily_sales"] = kept(
-        merged_daily_sales(old_sales, transactions, stores, months, as_of, withdrawn), "daily-sales"
+        months = sorted({*months, *recounted})
+    transactions = store.read("silver/transactions")
+    sales = store.write(
+        merged_daily_sales(old_sales, transactions, stores, months, as_of, recounted, lost_stores),
+        "gold/daily_store_sales",
     )
-    health, steps["gold_inventory_health"] = kept(
-        merged_inventory_health(store.read("gold/inventory_health"), inventory, as_of),
-        "inventory-health",
+    steps["gold_daily_sales"] = sales.rows
+    store.replace(sales, [{"sales_month": m} for m in recounted])
+    inventory = store.read("silver/inventory")
+    health = store.write(
+        merged_inventory_health(store.read("gold/inventory_health"), inventory, as_of), "gold/inventory_health"
     )
-    rejected = {
-        feed: kept(silver.rejected_rows(classify(bronze(feed)), feed), f"rejected-{feed}")[0]
-        for feed, classify in (
-            ("raw_stores", silver.classify_stores), ("raw_inventory", silver.classify_inventory),
-        )
-    }
-    rejected["raw_transactions"] = lost
-
-    def publish() -> None:
-        for feed, rows in rejected.items():
+    steps["gold_inventory_health"] = health.rows
+    store.replace(health)
+
+    set_aside = {"raw_transactions": lost}
+    for feed, classify in (("raw_stores", silver.classify_stores), ("raw_inventory", silver.classify_inventory)):
+        set_aside[feed] = store.write(silver.rejected_rows(classify(bronze(feed)), feed), f"quarantine/{feed}")
+    with store.transaction() as tx:
+        for feed, segment in set_aside.items():
             # A replay covers every batch, so its quarantine takes the place of the old one.
             if batches is None:
-                store.replace_all(rows, f"quarantine/{feed}")
-            else:
-                store.replace_partitions(rows, f"quarantine/{feed}", [{"_batch_id": b} for b in batches])
-        store.append(inserted, "silver/transactions")
-        store.replace_partitions(sales, "gold/daily_store_sales", [{"sales_month": m} for m in withdrawn or ()])
-        store.replace_partitions(health, "gold/inventory_health")
-        store.commit_version("silver/stores", version)
-        store.commit_version("silver/inventory", version)
-        for batch_id in pending_batches(store, run_id) if batches is None else batches:
-            store.mark("batches.published", batch_id)
-
-    # Checks, on the published tables or on what they would become.
-    if publish_first:
-        publish()
-        transactions = store.read("silver/transactions")
-        held = store.read("quarantine/raw_transactions")
-        all_sales = store.read("gold/daily_store_sales")
-    else:
-        held, all_sales = lost, sales
-        if batches is not None:
-            others = store.read("quarantine/raw_transactions")
-            held = others.filter(~F.col("_batch_id").isin(batches)).unionByName(lost)
-            all_sales = old_sales.filter(~F.col("sales_month").isin(months)).unionByName(sales)
-    report = quality.quality_report(
-        store.read("bronze/raw_transactions"),
-        silver.current_quarantine(held, transactions),
-        transactions, stores, all_sales, as_of,
-    ).collect()
-    if not publish_first and not quality.failed(report):
-        publish()
-    discard(store.spark, staged)
-    return steps, report
+                tx.drop(f"quarantine/{feed}", lambda p: True)
+            store.replace(segment, [{"_batch_id": b} for b in batches or ()])
+        _mark_published(store, run_id, batches, reached)
+        for batch in list(store.intents()):
+            tx.intend(batch, None)
+    return steps
+
+
+def _mark_published(store: LayerStore, run_id: str, batches: list[str] | None, reached: DataFrame) -> None:
+    """Batches as published, with the months in which silver has rows of them."""
+    found = reached.groupBy("_bronze_batch_id").agg(F.collect_set("txn_month").alias("months")).collect()
+    for r in found:
+        known = store.marked("batches.months").get(r["_bronze_batch_id"], {}).get("months", [])
+        store.mark("batches.months", r["_bronze_batch_id"], months=sorted({*known, *map(str, r["months"])}))
+    for batch in pending_batches(store, run_id) if batches is None else batches:
+        store.mark("batches.published", batch)

@@ -113,5 +113,3 @@ GOLD_SCHEMAS = {
         reorder_rate="decimal(5,2)", _refreshed_at="timestamp", snapshot_date="date",
     ),
 }
-
-COMMIT_SCHEMA = _struct(value="string", committed_at="timestamp", kind="string")

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart import schemas as S
-from tallymart.functions.clock import as_timestamp
+from tallymart.session import observed
+from tallymart.sources.snapshots import Folder, Snapshot, SnapshotLog, Transaction
+
+BUCKET = "bucket"
+BUCKETS = 64
+
+
+def bucket_of(keys: Sequence[str]) -> Column:
+    """The bucket of a row of a bucketed table."""
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -21,7 +31,12 @@ class Table:
     partition_by: tuple[str, ...] = field(default=())
     # Rows alike in these columns share files; a hot value is split by size.
     gather_by: tuple[str, ...] = field(default=())
-    whole: bool = False  # rewritten as a whole: new folder, then one commit row
+    # Rows are dealt into buckets by these columns; an upsert rewrites only buckets it touches.
+    bucket_by: tuple[str, ...] = field(default=())
+
+    @property
+    def folders(self) -> tuple[str, ...]:
+        return (BUCKET,) if self.bucket_by else self.partition_by
 
 
 TABLES = {
@@ -40,8 +55,8 @@ TABLES = {
         S.quarantine_schema("raw_stores"), ("_batch_id",), gather_by=("reject_rule",)
     ),
     "quarantine/rejected_records": Table(S.REJECTED_RECORD_SCHEMA, ("_batch_id", "source_table")),
-    "silver/stores": Table(S.SILVER_SCHEMAS["stores"], whole=True),
-    "silver/inventory": Table(S.SILVER_SCHEMAS["inventory"], whole=True),
+    "silver/stores": Table(S.SILVER_SCHEMAS["stores"], bucket_by=("store_id",)),
+    "silver/inventory": Table(S.SILVER_SCHEMAS["inventory"], bucket_by=("store_id", "product_id")),
     "silver/transactions": Table(
         S.SILVER_SCHEMAS["transactions"], ("txn_month",), gather_by=("txn_month",)
     ),
@@ -51,7 +66,6 @@ TABLES = {
     "gold/inventory_health": Table(
         S.GOLD_SCHEMAS["inventory_health"], ("snapshot_date",), gather_by=("snapshot_date",)
     ),
-    "meta/commits": Table(S.COMMIT_SCHEMA, ("kind",)),
 }
 
 
@@ -63,134 +77,199 @@ def _folder_name(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
 
 
+def _partition_values(partition: str) -> dict[str, str]:
+    """``{column: value}`` of a partition's folder name."""
+    steps = (step.split("=", 1) for step in partition.split("/") if step)
+    return {c: re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), v) for c, v in steps}
+
+
+@dataclass(frozen=True)
+class Segment:
+    """Rows that were written once, not yet part of any snapshot."""
+
+    table: str
+    name: str
+    partitions: tuple[str, ...]
+    rows: int
+    frame: DataFrame
+
+
 class LayerStore:
-    """Reads and writes the tables of one root folder that all executors can reach."""
+    """Reads and writes the tables of one root folder that all executors can reach.
 
-    def __init__(self, spark: SparkSession, root: str):
+    What is written outside of ``transaction`` is a commit of its own. Within one, reads see the
+    snapshot it began with and its own writes, and everything becomes visible with its commit.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, snapshot: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = SnapshotLog(spark, self.root)
+        self._pinned = snapshot
+        self._open: Transaction | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _partition(self, name: str, values: dict[str, str]) -> str:
-        steps = [f"{c}={_folder_name(values[c])}" for c in TABLES[name].partition_by]
-        return "/".join([self.path(name), *steps])
-
-    def _read_path(self, path: str, schema: T.StructType) -> DataFrame:
+    # --- snapshots ---
+
+    def at(self, number: int) -> LayerStore:
+        """The same tables as they were in one snapshot, whatever is committed later."""
+        return LayerStore(self.spark, self.root, number)
+
+    def snapshot(self) -> Snapshot:
+        if self._open:
+            return self._open.view
+        return self.log.latest() if self._pinned is None else self.log.at(self._pinned)
+
+    @contextlib.contextmanager
+    def transaction(self) -> Iterator[Transaction]:
+        """All changes within become visible together at its end, or earlier by ``commit``; an
+        error or ``abort`` leaves the tables as they were. One within another joins it."""
+        if self._pinned is not None:
+            raise RuntimeError("a pinned snapshot can't be changed")
+        if self._open:
+            yield self._open
+            return
+        self._open = Transaction(self.log)
         try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.empty(schema)
+            yield self._open
+            if not self._open.done:
+                self._open.commit()
+        finally:
+            self._open = None
+
+    # --- reading ---
 
     def empty(self, schema: T.StructType) -> DataFrame:
         """No rows, in a form Spark knows to be empty when it plans joins."""
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         return self.spark.range(0).select(*nulls)
 
-    def read(self, name: str) -> DataFrame:
-        """The table's current rows; empty when it was never written."""
-        table = TABLES[name]
-        if not table.whole:
-            return self._read_path(self.path(name), table.schema)
-        version = self.current_version(name)
-        if version is None:
-            return self.empty(table.schema)
-        return self.read_version(name, version)
-
-    def read_version(self, name: str, version: str) -> DataFrame:
-        """A version that was written; a lost folder is an error, not an empty table."""
-        reader = self.spark.read.schema(TABLES[name].schema)
-        return reader.parquet(f"{self.path(name)}/version={version}")
-
-    def mark(self, kind: str, value: str, at=None) -> None:
-        """Append one row to the commit log."""
-        row = self.spark.range(1).select(
-            F.lit(value).alias("value"),
-            as_timestamp(at).alias("committed_at"),
-            F.lit(kind).alias("kind"),
-        )
-        row.write.mode("append").partitionBy("kind").parquet(self.path("meta/commits"))
-
-    def marks(self, kind: str) -> DataFrame:
-        return self.read("meta/commits").filter(F.col("kind") == kind)
-
-    def current_version(self, name: str) -> str | None:
-        latest = (
-            self.marks(name.replace("/", "."))
-            .orderBy(F.desc("committed_at"), F.desc("value"))
-            .limit(1)
-            .collect()
-        )
-        return latest[0]["value"] if latest else None
+    def read(self, name: str, where: Callable[[dict[str, str]], bool] | None = None) -> DataFrame:
+        """The table's rows; empty when it was never written. ``where`` picks partitions by their
+        values as text: the folders of others aren't even listed."""
+        if self._open and not name.startswith("bronze/"):  # bronze rows only change with an intent
+            self._open.read |= {name, "intents"}
+        parts = self.snapshot().tables.get(name, {})
+        chosen = {p: s for p, s in parts.items() if where is None or where(_partition_values(p))}
+        return self._read_folders(name, chosen)
+
+    def read_segments(self, name: str, parts: dict[str, list[str]]) -> DataFrame:
+        """Rows of the given segments by partition, whether or not a snapshot has them still."""
+        return self._read_folders(name, parts)
+
+    def _read_folders(self, name: str, parts: dict[str, list[str]]) -> DataFrame:
+        """A folder that is listed and lost is an error, not an empty table."""
+        schema = TABLES[name].schema
+        base = self.path(name)
+        paths = [f"{base}/segment={s}/{p}".rstrip("/") for p, names in sorted(parts.items()) for s in names]
+        if not paths:
+            return self.empty(schema)
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
 
-    def write_version(self, df: DataFrame, name: str, version: str) -> DataFrame:
-        """Write a whole new version that readers do not see before ``commit_version``.
+    def partitions(self, name: str) -> list[dict[str, str]]:
+        return [_partition_values(p) for p in self.snapshot().tables.get(name, {})]
 
-        Every attempt needs a name of its own, so a live version is never written over.
-        """
-        columns = TABLES[name].schema.names
-        df.select(*columns).write.mode("errorifexists").parquet(f"{self.path(name)}/version={version}")
-        return self.read_version(name, version)
+    def segments_of(self, name: str, values: dict[str, str]) -> dict[str, list[str]]:
+        """Live segments of the partitions with the given values."""
+        parts = self.snapshot().tables.get(name, {})
+        return {p: list(s) for p, s in parts.items() if values.items() <= _partition_values(p).items()}
 
-    def commit_version(self, name: str, version: str) -> None:
-        self.mark(name.replace("/", "."), version)
+    # --- marks and intents ---
+
+    def mark(self, kind: str, value: str, at=None, **details) -> None:
+        with self.transaction() as tx:
+            tx.mark(kind, value, details | ({"at": str(at)} if at is not None else {}))
+
+    def marked(self, kind: str) -> dict[str, dict]:
+        """Marked values with their details, in the order they were first marked."""
+        return self.snapshot().marks.get(kind, {})
+
+    def intents(self) -> dict[str, dict]:
+        return self.snapshot().intents
+
+    # --- writing ---
+
+    def write(self, df: DataFrame, name: str, segment: str | None = None) -> Segment:
+        """Write rows as a new segment that no reader sees before it is added to a snapshot."""
+        table = TABLES[name]
+        segment = segment or uuid.uuid4().hex
+        path = f"{self.path(name)}/segment={segment}"
+        seen = Observation()
+        self._partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), name).mode("errorifexists").parquet(path)
+        found = [""]
+        for _ in table.folders:
+            below = [(p, Folder(self.spark, f"{path}/{p}".rstrip("/")).names()) for p in found]
+            found = [f"{p}/{n}".lstrip("/") for p, names in below for n in names if "=" in n]
+        frame = self._read_folders(name, {p: [segment] for p in found})
+        return Segment(name, segment, tuple(found), observed(seen, frame.count), frame)
+
+    def add(self, segment: Segment) -> None:
+        with self.transaction() as tx:
+            tx.add(segment.table, segment.name, segment.partitions)
+
+    def replace(self, segment: Segment, also: Sequence[dict[str, str]] = ()) -> None:
+        """The segment takes the place of its partitions and of those named in ``also``; all
+        others stay as they are."""
+        gone = [{c: str(v) for c, v in values.items()} for values in also]
+        own = set(segment.partitions)
+        with self.transaction() as tx:
+            tx.drop(segment.table, lambda p: p in own or _partition_values(p) in gone)
+            tx.add(segment.table, segment.name, segment.partitions)
 
     def append(self, df: DataFrame, name: str) -> None:
-        self._partitioned(df, name).mode("append").parquet(self.path(name))
+        self.add(self.write(df, name))
 
     def replace_partitions(self, df: DataFrame, name: str, also: Sequence[dict[str, str]] = ()) -> None:
-        """Replace the partitions that occur in ``df`` and those named in ``also``, which are
-        left empty if no row comes for them; all others stay as they are.
-
-        With ``also`` the rows should be stored: their partition values are read first.
-        """
-        columns = list(TABLES[name].partition_by)
-        empty = []
-        if also:
-            found = {tuple(str(v) for v in r) for r in df.select(*columns).distinct().collect()}
-            empty = [v for v in also if tuple(str(v[c]) for c in columns) not in found]
-        writer = self._partitioned(df, name).mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
-        for values in empty:
-            self.clear_partition(name, values)
+        self.replace(self.write(df, name), also)
 
     def clear_partition(self, name: str, values: dict[str, str]) -> None:
-        """Leave a partition without rows; nothing happens if it has none."""
-        table = TABLES[name]
-        rows = self.read(name)
-        for column, value in values.items():
-            rows = rows.filter(F.col(column) == F.lit(value))
-        if rows.isEmpty():
+        """Leave the partitions with the given values without rows."""
+        wanted = {c: str(v) for c, v in values.items()}
+        if not self.segments_of(name, wanted):
             return
-        rest = [f for f in table.schema if f.name not in table.partition_by]
-        none = self.empty(T.StructType(rest))
-        none.write.mode("overwrite").parquet(self._partition(name, values))
+        with self.transaction() as tx:
+            tx.drop(name, lambda p: wanted.items() <= _partition_values(p).items())
 
     def replace_all(self, df: DataFrame, name: str) -> None:
-        writer = self._partitioned(df, name).mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
+        segment = self.write(df, name)
+        with self.transaction() as tx:
+            tx.drop(name, lambda p: True)
+            tx.add(name, segment.name, segment.partitions)
+
+    def write_version(self, df: DataFrame, name: str, version: str) -> DataFrame:
+        """A whole new content that readers do not see before ``commit_version``. Every attempt
+        needs a name of its own."""
+        return self.write(df, name, version).frame
+
+    def commit_version(self, name: str, version: str) -> None:
+        table = TABLES[name]
+        found = [""]
+        for _ in table.folders:
+            found = [n for n in Folder(self.spark, f"{self.path(name)}/segment={version}").names() if "=" in n]
+        with self.transaction() as tx:
+            tx.drop(name, lambda p: True)
+            tx.add(name, version, found)
 
     def _partitioned(self, df: DataFrame, name: str) -> DataFrameWriter:
         table = TABLES[name]
         df = df.select(*table.schema.names)
-        if table.gather_by:
-            df = df.hint("rebalance", *table.gather_by)
-        return df.write.partitionBy(*table.partition_by)
+        if table.bucket_by:
+            df = df.withColumn(BUCKET, bucket_of(table.bucket_by))
+        if table.gather_by or table.bucket_by:
+            df = df.hint("rebalance", *(table.gather_by or (BUCKET,)))
+        return df.write.partitionBy(*table.folders)
 
     def reset(self, layers: tuple[str, ...] = ("bronze", "quarantine", "silver", "gold")) -> None:
         """Empty every table of the given layers, and with bronze what is known of its batches."""
-        if "bronze" in layers:
-            for kind in ("batches.loaded", "batches.published", *(f"batches.{f}" for f in S.FEED_COLUMNS)):
-                self.clear_partition("meta/commits", {"kind": kind})
-        for name, table in TABLES.items():
-            if name.split("/")[0] not in layers:
-                continue
-            if table.whole:
-                version = f"empty-{uuid.uuid4().hex}"
-                self.write_version(self.empty(table.schema), name, version)
-                self.commit_version(name, version)
-            else:
-                self.replace_all(self.empty(table.schema), name)
+        with self.transaction() as tx:
+            if "bronze" in layers:
+                for kind in ("batches.loaded", "batches.published", "batches.months", *(f"batches.{f}" for f in S.FEED_COLUMNS)):
+                    tx.unmark(kind)
+            for name in TABLES:
+                if name.split("/")[0] in layers:
+                    tx.drop(name, lambda p: True)
+            if "silver" in layers or "bronze" in layers:
+                for key in list(self.intents()):
+                    tx.intend(key, None)
