@@ -118,6 +118,17 @@ SELECT * FROM silver_tx_b2 b
 WHERE NOT EXISTS (SELECT 1 FROM silver_tx_b1 a WHERE a.transaction_id = b.transaction_id)
 """)
 
+# The first batch without its card sales, as its corrected file has it.
+_tx_views("_b1c", "src_ts < TIMESTAMP '1999-01-01 00:00:00' AND payment_method <> 'card'")
+
+_view("silver_tx_freed", ["silver_tx_b1c", "silver_tx_b2"], """
+SELECT * FROM silver_tx_b2 ANTI JOIN silver_tx_b1c USING (transaction_id)
+""")
+
+_view("silver_tx_reloaded", ["silver_tx_b1c", "silver_tx_freed"], """
+SELECT * FROM silver_tx_b1c UNION ALL SELECT * FROM silver_tx_freed
+""")
+
 _view("quarantine", ["ranked"], """
 SELECT transaction_id, store_id, product_id, quantity, unit_price, transaction_ts,
        payment_method, cashier_id, 'Failed silver transformation checks' AS _quarantine_reason,
@@ -168,6 +179,7 @@ QUALIFY row_number() OVER (
 _inv_view("", "true")
 _inv_view("_b1", "ingested_at < TIMESTAMP '1999-01-01 00:00:00'")
 _inv_view("_b2", "ingested_at >= TIMESTAMP '1999-01-01 00:00:00'")
+_inv_view("_b1c", "ingested_at < TIMESTAMP '1999-01-01 00:00:00' AND product_id NOT LIKE '%4'")
 
 
 def _store_views(suffix: str, name: str, age: str) -> None:
@@ -210,6 +222,7 @@ FROM (SELECT CAST(transaction_ts AS DATE) AS report_date, t.store_id, s.store_na
 _sales_view("", "silver_tx", "silver_stores")
 _sales_view("_b1", "silver_tx_b1", "silver_stores")
 _sales_view("_all", "silver_tx_merged", "silver_stores_r2")
+_sales_view("_reloaded", "silver_tx_reloaded", "silver_stores_r2")
 
 
 def _health_view(suffix: str) -> None:
@@ -302,20 +315,30 @@ def _check(name: str, severity: str, value: str, source: str) -> str:
     return f"SELECT '{name}' AS check_name, '{severity}' AS severity, CAST({value} AS DECIMAL(20,2)) AS result FROM {source}"
 
 
-_CHECK_VALUES = "\nUNION ALL\n".join([
-    _check("no_negative_quantities", "error", "coalesce(sum(CAST(quantity <= 0 AS INTEGER)), 0)", "silver_tx"),
-    _check(
-        "no_future_transactions", "error",
-        "coalesce(sum(CAST(transaction_ts > TIMESTAMP '2002-01-01 00:00:00' AS INTEGER)), 0)", "silver_tx",
-    ),
-    _check(
-        "quarantine_rate_under_10pct", "error", _cents(_ratio("held * 10000", "total")),
-        "(SELECT count(*) AS held FROM quarantine), (SELECT count(*) AS total FROM raw_tx)",
-    ),
-    _check("silver_transactions_not_empty", "error", "count(*)", "silver_tx"),
-    _check("gold_daily_sales_not_empty", "warning", "count(*)", "gold_sales"),
-    _check("all_stores_have_sales", "warning", "count(*)", f"({_idle()})"),
-])
+def _report(tx: str, held: str, total: str, gold: str, stores: str) -> str:
+    """The checks over views of silver, gold and stores; ``held`` and ``total`` count rows."""
+    idle = f"(SELECT store_id FROM {stores} EXCEPT SELECT store_id FROM {tx})"
+    values = "\nUNION ALL\n".join([
+        _check("no_negative_quantities", "error", "coalesce(sum(CAST(quantity <= 0 AS INTEGER)), 0)", tx),
+        _check(
+            "no_future_transactions", "error",
+            "coalesce(sum(CAST(transaction_ts > TIMESTAMP '2002-01-01 00:00:00' AS INTEGER)), 0)", tx,
+        ),
+        _check(
+            "quarantine_rate_under_10pct", "error", _cents(_ratio("held * 10000", "total")),
+            f"(SELECT {held} AS held), (SELECT {total} AS total)",
+        ),
+        _check("silver_transactions_not_empty", "error", "count(*)", tx),
+        _check("gold_daily_sales_not_empty", "warning", "count(*)", gold),
+        _check("all_stores_have_sales", "warning", "count(*)", idle),
+    ])
+    return f"""
+SELECT check_name, severity, CAST(result AS VARCHAR) AS result, CASE
+    WHEN check_name = 'quarantine_rate_under_10pct' THEN coalesce(result, 0) <= 10
+    WHEN check_name LIKE '%_not_empty' THEN coalesce(result >= 1, false)
+    ELSE coalesce(result = 0, false) END AS passed
+FROM ({values})"""
+
 
 _RAW_TX_COLUMNS = """transaction_id, store_id, product_id, quantity, unit_price,
        transaction_ts, payment_method, cashier_id"""
@@ -382,7 +405,87 @@ def oracle() -> dict[str, str]:
     # the third is the second again.
     sql["medallion_daily_sales"] = sql["merge_upsert_daily_sales"]
     sql["medallion_rerun"] = sql["merge_upsert_daily_sales"]
-    return sql
+    sql["run_states_compacted"] = sql["run_states"]
+    return sql | _reloads() | _contract()
+
+
+def _inventory_of(first: str) -> str:
+    """The second batch of inventory upon a first one."""
+    return _with([first, "silver_inv_b2"], f"""
+SELECT {_INV_OUT} FROM (
+  SELECT store_id, product_id,
+         CASE WHEN b.hit THEN b.stock_level ELSE a.stock_level END AS stock_level,
+         CASE WHEN b.hit THEN b.reorder_point ELSE a.reorder_point END AS reorder_point,
+         CASE WHEN b.hit THEN b.is_below_reorder ELSE a.is_below_reorder END AS is_below_reorder,
+         CASE WHEN b.hit THEN b.last_restocked ELSE a.last_restocked END AS last_restocked,
+         CASE WHEN a.hit THEN a.supplier_id ELSE b.supplier_id END AS supplier_id
+  FROM (SELECT *, true AS hit FROM {first}) a
+  FULL OUTER JOIN (SELECT *, true AS hit FROM silver_inv_b2) b USING (store_id, product_id))""")
+
+
+def _reloads() -> dict[str, str]:
+    """After a reload the tables are those of the corrected file and the second batch."""
+    rows = "((SELECT count(*) FROM ruled_b1c) + (SELECT count(*) FROM ruled_b2))"
+    amount = "CAST(CAST(sum(total_amount) AS DECIMAL(20,2)) AS VARCHAR)"
+    return {
+        "medallion_reload": _with(["gold_sales_b1", "gold_sales_reloaded"], f"""
+SELECT {_SALES_OUT} FROM (
+  SELECT g.* REPLACE (coalesce(a.store_name, g.store_name) AS store_name)
+  FROM gold_sales_reloaded g LEFT JOIN gold_sales_b1 a USING (report_date, store_id))"""),
+        "medallion_reload_inventory": _inventory_of("silver_inv_b1c"),
+        "medallion_reload_transactions": _with(
+            ["ruled_b1c", "ruled_b2", "silver_tx_b1c", "silver_tx_freed"], f"""
+, lost AS (
+SELECT 'batch-1' AS batch, rule, count(*) AS n FROM ruled_b1c GROUP BY ALL
+UNION ALL SELECT 'batch-2', rule, count(*) FROM ruled_b2 GROUP BY ALL
+), kept AS (
+SELECT 'batch-1' AS batch, count(*) AS n, {amount} AS total_amount FROM silver_tx_b1c
+UNION ALL SELECT 'batch-2', count(*), {amount} FROM silver_tx_freed
+)
+SELECT 'silver' AS state, batch, n AS rows, total_amount FROM kept WHERE n > 0
+UNION ALL SELECT rule, batch, n, NULL FROM lost WHERE rule IS NOT NULL
+UNION ALL
+SELECT 'duplicate_transaction_id', batch, l.n - k.n, NULL FROM lost l JOIN kept k USING (batch)
+WHERE rule IS NULL AND l.n > k.n"""),
+        "medallion_quality": _with(
+            ["ruled_b1c", "ruled_b2", "silver_tx_reloaded", "gold_sales_reloaded", "silver_stores_r2"],
+            _report(
+                "silver_tx_reloaded", f"{rows} - (SELECT count(*) FROM silver_tx_reloaded)", rows,
+                "gold_sales_reloaded", "silver_stores_r2",
+            ),
+        ),
+        "medallion_reset": _with(["gold_sales_all"], f"SELECT {_SALES_OUT} FROM gold_sales_all"),
+    }
+
+
+def _contract() -> dict[str, str]:
+    first, second = "'2001-12-31 00:00:00.000000'", "'2002-01-01 00:00:00.000000'"
+    return {
+        "audit_stamps": _with(
+            ["silver_tx_b1", "silver_tx_merged", "silver_stores_r2", "silver_inv_b1", "silver_inv_b2"], f"""
+SELECT * FROM (
+SELECT 'silver/transactions' AS table_name, {first} AS stamp, count(*) AS rows FROM silver_tx_b1
+UNION ALL SELECT 'silver/transactions', {second}, count(*) FROM silver_tx_merged ANTI JOIN silver_tx_b1 USING (transaction_id)
+UNION ALL SELECT 'silver/stores', {second}, count(*) FROM silver_stores_r2
+UNION ALL SELECT 'silver/inventory', {first}, count(*) FROM silver_inv_b1 ANTI JOIN silver_inv_b2 USING (store_id, product_id)
+UNION ALL SELECT 'silver/inventory', {second}, count(*) FROM silver_inv_b2
+UNION ALL SELECT 'gold/inventory_health', {first}, count(DISTINCT store_id) FROM silver_inv_b1
+UNION ALL SELECT 'gold/inventory_health', {second}, count(*)
+          FROM (SELECT store_id FROM silver_inv_b1 UNION SELECT store_id FROM silver_inv_b2)
+) WHERE rows > 0"""),
+        "csv_ingest_provenance": _with(["ruled_b1", "ruled_b2"], f"""
+SELECT batch AS _batch_id, stamp AS _ingested_at, n AS rows, n AS ids, n AS named,
+       CAST(0 AS BIGINT) AS flagged, CAST(0 AS BIGINT) AS reasons
+FROM (SELECT 'batch-1' AS batch, {first} AS stamp, count(*) AS n FROM ruled_b1
+      UNION ALL SELECT 'batch-2', {second}, count(*) FROM ruled_b2)"""),
+        "csv_ingest_missing_column": _with(["raw_stores"], """
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS region) FROM raw_stores"""),
+        "csv_ingest_unknown_column": _with(["raw_stores"], """
+SELECT 'batch' AS _batch_id, 'raw_stores' AS source_table,
+       'raw_stores: unknown columns [''surprise'']' AS _quarantine_reason,
+       concat('{"store_id":"', store_id, '","store_name":"', coalesce(store_name, 'NA'), '","surprise":"x"}') AS record
+FROM raw_stores"""),
+    }
 
 
 def _oracle() -> dict[str, str]:
@@ -426,16 +529,7 @@ SELECT {_STORE_OUT} FROM silver_stores_r2
 UNION ALL
 SELECT {_STORE_OUT} FROM silver_stores a
 WHERE NOT EXISTS (SELECT 1 FROM silver_stores_r2 b WHERE a.store_id = b.store_id)"""),
-        "merge_upsert_inventory": _with(["silver_inv_b1", "silver_inv_b2"], f"""
-SELECT {_INV_OUT} FROM (
-  SELECT store_id, product_id,
-         CASE WHEN b.hit THEN b.stock_level ELSE a.stock_level END AS stock_level,
-         CASE WHEN b.hit THEN b.reorder_point ELSE a.reorder_point END AS reorder_point,
-         CASE WHEN b.hit THEN b.is_below_reorder ELSE a.is_below_reorder END AS is_below_reorder,
-         CASE WHEN b.hit THEN b.last_restocked ELSE a.last_restocked END AS last_restocked,
-         CASE WHEN a.hit THEN a.supplier_id ELSE b.supplier_id END AS supplier_id
-  FROM (SELECT *, true AS hit FROM silver_inv_b1) a
-  FULL OUTER JOIN (SELECT *, true AS hit FROM silver_inv_b2) b USING (store_id, product_id))"""),
+        "merge_upsert_inventory": _inventory_of("silver_inv_b1"),
         "merge_upsert_inventory_backfill": _with(["silver_inv_b1", "silver_inv_b2"], f"""
 SELECT {_INV_OUT} FROM silver_inv_b2
 UNION ALL
@@ -490,12 +584,13 @@ WHERE units_needed > 0 AND m.store_id IN (SELECT store_id FROM silver_stores)"""
 SELECT {_HEALTH_OUT} FROM (
   SELECT *, dense_rank() OVER (ORDER BY snapshot_date DESC) AS age FROM health_merged) h
 WHERE age = 1 ORDER BY h.reorder_rate DESC, store_id"""),
-        "quality_report": _with(["silver_tx", "quarantine", "gold_sales", "silver_stores"], f"""
-SELECT check_name, severity, CAST(result AS VARCHAR) AS result, CASE
-    WHEN check_name = 'quarantine_rate_under_10pct' THEN coalesce(result, 0) <= 10
-    WHEN check_name LIKE '%_not_empty' THEN coalesce(result >= 1, false)
-    ELSE coalesce(result = 0, false) END AS passed
-FROM ({_CHECK_VALUES})"""),
+        "quality_report": _with(
+            ["silver_tx", "quarantine", "gold_sales", "silver_stores", "raw_tx"],
+            _report(
+                "silver_tx", "(SELECT count(*) FROM quarantine)", "(SELECT count(*) FROM raw_tx)",
+                "gold_sales", "silver_stores",
+            ),
+        ),
         "stores_without_sales": _with(["silver_tx", "silver_stores"], _idle()),
         "stores_without_recent_sales": _with(
             ["silver_tx", "silver_stores"],

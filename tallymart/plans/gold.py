@@ -15,29 +15,36 @@ HEALTH_KEY = ["snapshot_date", "store_id"]
 HEALTH_UPDATES = ["products_below_reorder", "total_products", "reorder_rate", "_refreshed_at"]
 
 
-def daily_store_sales(transactions: DataFrame, stores: DataFrame, as_of=None) -> DataFrame:
-    """Revenue, count and mean basket per day and known store.
-
-    Sales are summed before the join: what meets the store table is one row per store
-    and day, whatever share of the sales a store holds.
-    """
-    per_store_day = transactions.groupBy(
-        utc_date(F.col("transaction_ts")).alias("report_date"), "store_id"
-    ).agg(
-        F.sum(to_cents(F.col("total_amount"))).alias("_cents"),
+def store_days(transactions: DataFrame) -> DataFrame:
+    """Sums per day and store, of any store. They add up: sums of parts are those of the whole."""
+    return transactions.groupBy(utc_date(F.col("transaction_ts")).alias("report_date"), "store_id").agg(
+        F.sum(to_cents(F.col("total_amount"))).alias("cents"),
         F.count(F.lit(1)).alias("transaction_count"),
-        F.count("total_amount").alias("_amounts"),
+        F.count("total_amount").alias("amounts"),
     )
-    return per_store_day.join(stores.select("store_id", "store_name"), "store_id").select(
+
+
+def sales_of(sums: DataFrame, stores: DataFrame, as_of=None) -> DataFrame:
+    """Daily sales of known stores from ``store_days``."""
+    return sums.join(stores.select("store_id", "store_name"), "store_id").select(
         "report_date", "store_id", "store_name",
-        from_cents(F.col("_cents"), 20).alias("total_revenue"),
+        from_cents(F.col("cents"), 20).alias("total_revenue"),
         "transaction_count",
-        mean_of_cents(F.col("_cents"), F.col("_amounts")).alias("avg_basket_size"),
+        mean_of_cents(F.col("cents"), F.col("amounts")).alias("avg_basket_size"),
         as_timestamp(as_of).alias("_refreshed_at"),
         F.trunc("report_date", "MM").alias("sales_month"),
     )
 
 
+def daily_store_sales(transactions: DataFrame, stores: DataFrame, as_of=None) -> DataFrame:
+    """Revenue, count and mean basket per day and known store.
+
+    Sales are summed before the join: what meets the store table is one row per store
+    and day, whatever share of the sales a store holds.
+    """
+    return sales_of(store_days(transactions), stores, as_of)
+
+
 def inventory_health(inventory: DataFrame, snapshot_date=None, as_of=None) -> DataFrame:
     """Products below their reorder point per store on the snapshot day."""
     below = F.count_if(F.col("is_below_reorder"))

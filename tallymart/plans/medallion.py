@@ -16,6 +16,7 @@ and health snapshots of earlier days.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Sequence
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 
 from tallymart import schemas as S
 from tallymart.functions.clock import as_date, as_timestamp, utc_text
-from tallymart.operators.keyed import known_keys, merge_upsert, without_match
-from tallymart.plans import gold, quality, run_log, silver
+from tallymart.operators.keyed import merge_upsert, without_match
+from tallymart.plans import gold, metrics, quality, run_log, silver
 from tallymart.session import discard, stage
 from tallymart.sources import csv_feeds
+from tallymart.sources.snapshots import CommitConflict
 from tallymart.sources.tables import BUCKET, TABLES, LayerStore, bucket_of
 
 FEEDS = ("raw_stores", "raw_inventory", "raw_transactions")
@@ -113,7 +115,7 @@ def ingest_feed(
             reject(raw.filter(extra), "more fields than the header names")
         else:
             store.clear_partition(rejects, rejected)
-        store.mark(done, batch_id)
+        store.mark(done, batch_id, rows=seen.get["loaded"])
         tx.unmark("batches.published", batch_id)
     return seen.get["loaded"]
 
@@ -173,7 +175,7 @@ def withdraw(store: LayerStore) -> Withdrawn:
         )
         again += [r["_batch_id"] for r in freed.select("_batch_id").distinct().collect()]
         kept = existing.filter(F.col("txn_month").isin(months) & ~own)
-        store.replace_partitions(kept, "silver/transactions", [{"txn_month": m} for m in months])
+        metrics.put_transactions(store, kept, months)
     discard(store.spark, [gone])
     return Withdrawn(months, sorted(set(again)), stores, inventory)
 
@@ -181,11 +183,6 @@ def withdraw(store: LayerStore) -> Withdrawn:
 # --- silver -----------------------------------------------------------------
 
 
-def _fresh(run_id: str) -> str:
-    """A version name no other attempt has."""
-    return f"{run_id}-{uuid.uuid4().hex[:12]}"
-
-
 def _upsert(
     store: LayerStore,
     name: str,
@@ -289,18 +286,27 @@ def merged_daily_sales(
     stores: DataFrame,
     months: list[dt.date] | None,
     as_of=None,
+) -> DataFrame:
+    """Daily sales of the given months (all without any) after the upsert."""
+    if months is not None:
+        transactions = transactions.filter(F.col("txn_month").isin(months))
+    return upserted_sales(current, gold.daily_store_sales(transactions, stores, as_of), months)
+
+
+def upserted_sales(
+    current: DataFrame,
+    incoming: DataFrame,
+    months: list[dt.date] | None,
     recounted: list[dt.date] | None = None,
     renamed: DataFrame | None = None,
 ) -> DataFrame:
-    """Daily sales of the given months (all without any) after the upsert.
+    """Daily sales of the given months (all without any) after the upsert of ``incoming``.
 
     In ``recounted`` months transactions were withdrawn: store-days without any are dropped.
     Store-days of ``renamed`` stores take the name that the store has now.
     """
     if months is not None:
-        transactions = transactions.filter(F.col("txn_month").isin(months))
         current = current.filter(F.col("sales_month").isin(months))
-    incoming = gold.daily_store_sales(transactions, stores, as_of)
     if recounted:
         fell = F.col("sales_month").isin(recounted)
         still = current.filter(fell).join(incoming.select(*gold.DAILY_SALES_KEY), gold.DAILY_SALES_KEY, "left_semi")
@@ -405,9 +411,17 @@ def run(
         log_event(store, run_id, flow_name, 1, "failed", None, loaded, held, str(error))
         raise
     log_event(store, run_id, flow_name, 1, "success", None, loaded, held)
+    tidy(store)
     return RunResult(run_id, loaded, steps["silver_transactions"], held, report, steps)
 
 
+def tidy(store: LayerStore, most: int = 30) -> None:
+    """Merge the small segments of tables that grow by a few rows with every run."""
+    for name in ("bronze/run_events", "bronze/run_steps"):
+        with contextlib.suppress(CommitConflict):  # a later run does it
+            store.compact(name, most)
+
+
 def refresh(
     store: LayerStore, run_id: str, batches: list[str] | None, as_of, publish_first: bool = True
 ) -> tuple[dict[str, int], list]:
@@ -423,12 +437,7 @@ def refresh(
             steps = _derive(store, run_id, batches, as_of, staged)
             if publish_first:
                 tx.commit()
-            transactions = store.read("silver/transactions")
-            report = quality.quality_report(
-                store.read("bronze/raw_transactions"),
-                silver.current_quarantine(store.read("quarantine/raw_transactions"), transactions),
-                transactions, store.read("silver/stores"), store.read("gold/daily_store_sales"), as_of,
-            ).collect()
+            report = metrics.stored_report(store, as_of).collect()
             if not publish_first and quality.failed(report):
                 tx.abort()
     finally:
@@ -459,44 +468,39 @@ def _derive(
     stores = store.read("silver/stores")
 
     # Transactions: insert the absent ones, quarantine what reached no silver row.
-    existing = store.read("silver/transactions")
+    days_before = store.read(metrics.METRICS)
     candidates = kept(silver.silver_transactions(candidate_transactions(store, batches), as_of), "candidates")
-    known = known_keys(existing, candidates, ["transaction_id"])
-    inserted = store.write(without_match(candidates, known, ["transaction_id"]), "silver/transactions")
-    store.add(inserted)
+    places = kept(metrics.possible_places(store, candidates), "places")
+    known = metrics.known_transactions(store, places)
+    theirs = {m for b in batches or () for m in store.marked("batches.months").get(b, {}).get("months", [])}
+    before = store.read("silver/transactions", lambda p: batches is None or p["txn_month"] in theirs)
+    inserted = metrics.put_transactions(store, without_match(candidates, known, ["transaction_id"]))
     steps["silver_transactions"] = inserted.rows
-    before = existing
+    recovered = None
     if batches is not None:
-        # Rows of these batches from a run that broke off lie in the candidates' months: only
-        # their folders are listed.
-        spans = {str(r["txn_month"]) for r in candidates.select("txn_month").distinct().collect()}
-        before = store.read("silver/transactions", lambda p: p["txn_month"] in spans)
+        # Of these batches silver has rows only if they were published before, in marked months.
         before = before.filter(F.col("_bronze_batch_id").isin(batches))
-        reached = before.unionByName(inserted.frame.filter(~F.col("_bronze_batch_id").isin(batches)))
-    else:
-        reached = store.read("silver/transactions")
-    reached = kept(reached.select("_bronze_batch_id", "_bronze_id", "txn_month"), "reached")
-    lost = store.write(
-        silver.quarantine_transactions(bronze("raw_transactions"), reached, as_of), "quarantine/raw_transactions"
-    )
-    steps["quarantined"] = lost.rows
-
-    # Gold: only the months that can have changed.
+        late = inserted.frame.filter(~F.col("_bronze_batch_id").isin(batches))
+        recovered = late.select(F.col("_bronze_id").alias("_id"), F.lit(run_id).alias("run_id"), F.col("_bronze_batch_id").alias("_batch_id"))
+    columns = ["_bronze_batch_id", "_bronze_id", "txn_month"]
+    reached = kept(before.select(*columns).unionByName(inserted.frame.select(*columns)), "reached")
+    lost = silver.quarantine_transactions(bronze("raw_transactions"), reached, as_of)
+    steps["quarantined"] = metrics.put_quarantine(store, lost, recovered, batches)
+
+    # Gold: only the months that can have changed, from sums of their days.
     months, recounted = None, withdrawn.months
     old_sales = store.read("gold/daily_store_sales")
     if lost_stores is not None:
         theirs = old_sales.join(lost_stores, "store_id", "left_semi").select("sales_month").distinct()
         recounted = sorted({*recounted, *(r["sales_month"] for r in theirs.collect())})
     if batches is not None:
-        months = touched_months(existing, reached, old_stores, stores)
+        months = touched_months(days_before, reached, old_stores, stores)
         months = sorted({*months, *recounted})
-    transactions = store.read("silver/transactions")
-    sales = store.write(
-        merged_daily_sales(old_sales, transactions, stores, months, as_of, recounted, lost_stores),
-        "gold/daily_store_sales",
-    )
+    incoming = gold.sales_of(metrics.store_days(store, months), stores, as_of)
+    sales = store.write(upserted_sales(old_sales, incoming, months, recounted, lost_stores), "gold/daily_store_sales")
     steps["gold_daily_sales"] = sales.rows
     store.replace(sales, [{"sales_month": m} for m in recounted])
+    metrics.count_gold(store, sales, recounted, months is None)
     inventory = store.read("silver/inventory")
     health = store.write(
         merged_inventory_health(store.read("gold/inventory_health"), inventory, as_of), "gold/inventory_health"
@@ -504,7 +508,7 @@ def _derive(
     steps["gold_inventory_health"] = health.rows
     store.replace(health)
 
-    set_aside = {"raw_transactions": lost}
+    set_aside = {}
     for feed, classify in (("raw_stores", silver.classify_stores), ("raw_inventory", silver.classify_inventory)):
         set_aside[feed] = store.write(silver.rejected_rows(classify(bronze(feed)), feed), f"quarantine/{feed}")
     with store.transaction() as tx:
@@ -513,6 +517,7 @@ def _derive(
             if batches is None:
                 tx.drop(f"quarantine/{feed}", lambda p: True)
             store.replace(segment, [{"_batch_id": b} for b in batches or ()])
+        metrics.note_clock(store, as_of)
         _mark_published(store, run_id, batches, reached)
         for batch in list(store.intents()):
             tx.intend(batch, None)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from tallymart import schemas as S
 from tallymart.functions.clock import utc_date, utc_micros, utc_text
 from tallymart.functions.exact import percentage
 from tallymart.operators.keyed import insert_if_absent, merge_upsert
-from tallymart.plans import gold, medallion, quality, run_log, serving, silver
+from tallymart.plans import gold, medallion, metrics, quality, run_log, serving, silver
 from tallymart.session import scratch_path, stage
 from tallymart.sources import testdata as feeds
+from tallymart.sources.csv_feeds import FeedContractError
 from tallymart.sources.tables import LayerStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,6 +329,20 @@ def last_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_log.last_run_status(run_states(spark, sf_dir))
 
 
+def run_states_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log appended in twelve commits, then compacted, with old snapshots and segments
+    deleted."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    events = feeds.run_events(spark, sf_dir)
+    for part in range(12):
+        store.append(events.filter(F.pmod(F.xxhash64("run_id", "seq"), F.lit(12)) == part), "bronze/run_events")
+    store.compact("bronze/run_events")
+    store.expire(keep=1, grace_hours=0)
+    if len(store.snapshot().segments()) != 1:
+        raise RuntimeError("the run log is not compact")
+    return medallion.runs(store)
+
+
 # --- through files: CSV in, tables out --------------------------------------
 
 
@@ -373,27 +389,148 @@ def csv_ingest_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("bronze/raw_stores").select(*S.FEED_COLUMNS["raw_stores"])
 
 
+def _ordered_inventory(spark: SparkSession, sf_dir: str, batch: int) -> DataFrame:
+    """Of equal keys the newest row of the derived feed stands last in its file."""
+    raw = feeds.raw_inventory(spark, sf_dir, batch)
+    order = ["_ingested_at", F.col("stock_level").try_cast("int"), F.col("reorder_point").try_cast("int")]
+    return raw.repartition("product_id").sortWithinPartitions("store_id", "product_id", *order)
+
+
 def _batch(spark: SparkSession, sf_dir: str, batch: int) -> dict[str, str]:
     inputs = {
         "raw_stores": feeds.raw_stores(spark, sf_dir, batch),
-        "raw_inventory": feeds.raw_inventory(spark, sf_dir, batch),
+        "raw_inventory": _ordered_inventory(spark, sf_dir, batch),
         "raw_transactions": _ordered_transactions(spark, sf_dir, batch),
     }
     return {feed: _csv(df, feed) for feed, df in inputs.items()}
 
 
-def _lake(spark: SparkSession, sf_dir: str, batches: list[int]) -> LayerStore:
+def _load(store: LayerStore, name: str, paths: dict[str, str], as_of=feeds.AS_OF, reload: bool = False) -> None:
+    for feed, path in paths.items():
+        medallion.ingest_feed(store, feed, path, name, as_of, reload=reload)
+
+
+def _lake(spark: SparkSession, sf_dir: str, batches: list[int], as_of: dict[int, str] | None = None) -> LayerStore:
     """Tables after the given batches, from CSV files; a number may come again."""
     store = LayerStore(spark, scratch_path(spark, "lake"))
     paths = {b: _batch(spark, sf_dir, b) for b in set(batches)}
     for batch in batches:
-        name = f"batch-{batch}"
-        for feed, path in paths[batch].items():
-            medallion.ingest_feed(store, feed, path, name, feeds.AS_OF)
-        medallion.refresh(store, name, [name], feeds.AS_OF)
+        name, at = f"batch-{batch}", (as_of or {}).get(batch, feeds.AS_OF)
+        _load(store, name, paths[batch], at)
+        medallion.refresh(store, name, [name], at)
+    return store
+
+
+class _CutOff(RuntimeError):
+    pass
+
+
+def _reloaded_lake(spark: SparkSession, sf_dir: str) -> LayerStore:
+    """Two batches, then corrected files of the first: no card sales, and no products that end
+    in 4. The reload breaks off once, after it has taken the old sales out of silver."""
+    store = _lake(spark, sf_dir, [1, 2])
+    fixed = {
+        "raw_inventory": _ordered_inventory(spark, sf_dir, 1).filter("NOT product_id LIKE '%4'"),
+        "raw_transactions": _ordered_transactions(spark, sf_dir, 1).filter("payment_method <> 'card'"),
+    }
+    _load(store, "batch-1", {feed: _csv(df, feed) for feed, df in fixed.items()}, reload=True)
+    with contextlib.suppress(_CutOff), store.transaction():
+        medallion.withdraw(store)
+        raise _CutOff
+    medallion.refresh(store, "again", ["batch-1"], feeds.AS_OF)
     return store
 
 
+def medallion_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales after a reload: as if the corrected file had been loaded first, but for the
+    store names of store-days that were known."""
+    return _reloaded_lake(spark, sf_dir).read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
+
+
+def medallion_reload_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales in silver by batch, and those held by rule, after the reload."""
+    store = _reloaded_lake(spark, sf_dir)
+    held = silver.current_quarantine(store.read("quarantine/raw_transactions"), store.read("silver/transactions"))
+    sold = store.read("silver/transactions").select(F.lit("silver").alias("state"), F.col("_bronze_batch_id").alias("batch"), "total_amount")
+    held = held.select(F.col("reject_rule").alias("state"), F.col("_batch_id").alias("batch"), F.lit(None).cast("decimal(10,2)").alias("total_amount"))
+    return sold.unionByName(held).groupBy("state", "batch").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("total_amount").cast("decimal(20,2)").alias("total_amount")
+    )
+
+
+def medallion_reload_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reloaded_lake(spark, sf_dir).read("silver/inventory").drop(*AUDIT_COLUMNS)
+
+
+def medallion_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived layers are emptied and made anew from all of bronze at once."""
+    store = _lake(spark, sf_dir, [1, 2])
+    store.reset(("silver", "gold", "quarantine"))
+    for name in ("silver/transactions", "silver/stores", "gold/daily_store_sales", "quarantine/raw_transactions"):
+        if not store.read(name).isEmpty():
+            raise RuntimeError(f"{name} is not empty after the reset")
+    medallion.refresh(store, "replay", None, feeds.AS_OF)
+    return store.read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
+
+
+def medallion_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks after a reload from stored metrics alone: no row of bronze or silver
+    transactions is read for them."""
+    return metrics.stored_report(_reloaded_lake(spark, sf_dir), feeds.AS_OF)
+
+
+_FIRST_LOAD = "2001-12-31 00:00:00"
+
+
+def audit_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the time they were transformed, after two batches of different days."""
+    store = _lake(spark, sf_dir, [1, 2], {1: _FIRST_LOAD})
+    counts = [
+        store.read(name).groupBy(F.lit(name).alias("table_name"), F.col(stamp).alias("stamp")).agg(F.count(F.lit(1)).alias("rows"))
+        for name, stamp in (
+            ("silver/transactions", "_transformed_at"), ("silver/stores", "_transformed_at"),
+            ("silver/inventory", "_transformed_at"), ("gold/inventory_health", "_refreshed_at"),
+        )
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
+def csv_ingest_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch, load time, file and row identity of two batches of transactions in bronze."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    for batch, at in ((1, _FIRST_LOAD), (2, feeds.AS_OF)):
+        path = _csv(feeds.raw_transactions(spark, sf_dir, batch), "raw_transactions")
+        medallion.ingest_feed(store, "raw_transactions", path, f"batch-{batch}", at)
+    named = F.count_if(F.col("_source_file").rlike(r"/raw_transactions-[0-9a-f]+/part-[^/]*\.csv\z"))
+    return store.read("bronze/raw_transactions").groupBy("_batch_id", "_ingested_at").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_id").alias("ids"), named.alias("named"),
+        F.count_if(F.col("_is_quarantined")).alias("flagged"), F.count("_quarantine_reason").alias("reasons"),
+    )
+
+
+def csv_ingest_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns are found by name: one is missing, the others stand in another order."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    path = scratch_path(spark, "raw_stores")
+    some = feeds.raw_stores(spark, sf_dir).select("opened_date", "store_name", "store_id", "store_type", "city")
+    some.write.option("header", True).option("escape", '"').option("nullValue", "NA").csv(path)
+    medallion.ingest_feed(store, "raw_stores", path, "batch", feeds.AS_OF)
+    return store.read("bronze/raw_stores").select(*S.FEED_COLUMNS["raw_stores"])
+
+
+def csv_ingest_unknown_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column outside the contract sets the whole batch aside, record by record."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    path = scratch_path(spark, "raw_stores")
+    some = feeds.raw_stores(spark, sf_dir).select("store_id", "store_name", F.lit("x").alias("surprise"))
+    some.write.option("header", True).option("escape", '"').option("nullValue", "NA").csv(path)
+    with contextlib.suppress(FeedContractError):
+        medallion.ingest_feed(store, "raw_stores", path, "batch", feeds.AS_OF)
+    if not store.read("bronze/raw_stores").isEmpty():
+        raise RuntimeError("a batch with an unknown column was loaded")
+    return store.read("quarantine/rejected_records").select("_batch_id", "source_table", "_quarantine_reason", "record")
+
+
 def medallion_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of all three feeds from CSV files to the gold table."""
     store = _lake(spark, sf_dir, [1, 2])
@@ -468,6 +605,7 @@ _QUERIES: dict[str, Query] = {
     "stores_without_sales": stores_without_sales,
     "stores_without_recent_sales": stores_without_recent_sales,
     "run_states": run_states,
+    "run_states_compacted": run_states_compacted,
     "recent_runs": recent_runs,
     "last_run_status": last_run_status,
     "csv_ingest_transactions": _csv_ingest("raw_transactions", feeds.raw_transactions),
@@ -478,6 +616,15 @@ _QUERIES: dict[str, Query] = {
     "medallion_rerun": medallion_rerun,
     "medallion_rerun_quarantine": medallion_rerun_quarantine,
     "medallion_run": medallion_run,
+    "medallion_reload": medallion_reload,
+    "medallion_reload_transactions": medallion_reload_transactions,
+    "medallion_reload_inventory": medallion_reload_inventory,
+    "medallion_quality": medallion_quality,
+    "medallion_reset": medallion_reset,
+    "audit_stamps": audit_stamps,
+    "csv_ingest_provenance": csv_ingest_provenance,
+    "csv_ingest_missing_column": csv_ingest_missing_column,
+    "csv_ingest_unknown_column": csv_ingest_unknown_column,
 }
 
 

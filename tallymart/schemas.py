@@ -113,3 +113,13 @@ GOLD_SCHEMAS = {
         reorder_rate="decimal(5,2)", _refreshed_at="timestamp", snapshot_date="date",
     ),
 }
+
+# What the checks need of every segment, so that they read no old rows.
+METRIC_SCHEMAS = {
+    "transactions": _struct(
+        report_date="date", store_id="integer", cents="long", transaction_count="long", amounts="long",
+        negative="long", txn_month="date",
+    ),
+    "quarantine": _struct(reject_rule="string", rows="long", _batch_id="string"),
+    "recovered": _struct(_id="long", run_id="string", _batch_id="string"),
+}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart import schemas as S
+from tallymart.operators import key_filter
 from tallymart.session import observed
 from tallymart.sources.snapshots import Folder, Snapshot, SnapshotLog, Transaction
 
@@ -54,12 +55,18 @@ TABLES = {
     "quarantine/raw_stores": Table(
         S.quarantine_schema("raw_stores"), ("_batch_id",), gather_by=("reject_rule",)
     ),
+    "quarantine/metrics": Table(S.METRIC_SCHEMAS["quarantine"], ("_batch_id",)),
+    "quarantine/recovered": Table(S.METRIC_SCHEMAS["recovered"], ("_batch_id",)),
     "quarantine/rejected_records": Table(S.REJECTED_RECORD_SCHEMA, ("_batch_id", "source_table")),
     "silver/stores": Table(S.SILVER_SCHEMAS["stores"], bucket_by=("store_id",)),
     "silver/inventory": Table(S.SILVER_SCHEMAS["inventory"], bucket_by=("store_id", "product_id")),
     "silver/transactions": Table(
         S.SILVER_SCHEMAS["transactions"], ("txn_month",), gather_by=("txn_month",)
     ),
+    # Beside each segment of silver transactions one of the same name: which keys its months hold,
+    # and what its rows add to the checks.
+    "silver/transaction_filters": Table(key_filter.schema("txn_month", "date"), ("txn_month",), gather_by=("txn_month",)),
+    "silver/transaction_metrics": Table(S.METRIC_SCHEMAS["transactions"], ("txn_month",), gather_by=("txn_month",)),
     "gold/daily_store_sales": Table(
         S.GOLD_SCHEMAS["daily_store_sales"], ("sales_month",), gather_by=("sales_month",)
     ),
@@ -171,6 +178,12 @@ class LayerStore:
     def partitions(self, name: str) -> list[dict[str, str]]:
         return [_partition_values(p) for p in self.snapshot().tables.get(name, {})]
 
+    def folders_of(self, name: str, values: Sequence[dict[str, str]]) -> list[str]:
+        """Partition folders with any of the given values."""
+        wanted = [{c: str(v) for c, v in each.items()} for each in values]
+        parts = self.snapshot().tables.get(name, {})
+        return [p for p in parts if any(w.items() <= _partition_values(p).items() for w in wanted)]
+
     def segments_of(self, name: str, values: dict[str, str]) -> dict[str, list[str]]:
         """Live segments of the partitions with the given values."""
         parts = self.snapshot().tables.get(name, {})
@@ -261,6 +274,42 @@ class LayerStore:
             df = df.hint("rebalance", *(table.gather_by or (BUCKET,)))
         return df.write.partitionBy(*table.folders)
 
+    # --- upkeep ---
+
+    def compact(self, name: str, most: int = 1) -> int:
+        """Put the segments of every partition that has more than ``most`` into one; returns how
+        many partitions were rewritten. Rows stay the same, so do older snapshots."""
+        crowded = {p: s for p, s in self.snapshot().tables.get(name, {}).items() if len(s) > most}
+        if not crowded:
+            return 0
+        with self.transaction() as tx:
+            tx.read.add(name)
+            segment = self.write(self._read_folders(name, crowded), name)
+            tx.drop(name, lambda p: p in crowded)
+            tx.add(name, segment.name, segment.partitions)
+        return len(crowded)
+
+    def expire(self, keep: int = 10, grace_hours: float = 24.0) -> tuple[int, int]:
+        """Delete all but the last ``keep`` snapshots, and segments that none of those left names.
+
+        Segments written within the grace time stay, as a run may be about to commit them.
+        Returns the snapshots and segments deleted. Readers pinned to a kept snapshot go on.
+        """
+        numbers = self.log.numbers()
+        kept = numbers[-keep:]
+        live = set().union(*(self.log.at(n).segments() for n in kept)) if kept else set()
+        gone = 0
+        for name in TABLES:
+            folder = Folder(self.spark, self.path(name))
+            for entry, age in folder.ages():
+                segment = entry.removeprefix("segment=")
+                if entry.startswith("segment=") and (name, segment) not in live and age >= grace_hours * 3600:
+                    folder.delete(entry)
+                    gone += 1
+        for n in numbers[:-keep]:
+            self.log.forget(n)
+        return len(numbers[:-keep]), gone
+
     def reset(self, layers: tuple[str, ...] = ("bronze", "quarantine", "silver", "gold")) -> None:
         """Empty every table of the given layers, and with bronze what is known of its batches."""
         with self.transaction() as tx:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import random
+
 import pytest
 
 from tallymart import schemas as S
@@ -83,3 +87,61 @@ def test_names_differ_in_case_are_unknown(spark, tmp_path):
     path.write_text("Store_ID,store_name\n1,North\n")
     raw = csv_feeds.read_csv(spark, str(path))
     assert csv_feeds.unknown_columns(raw, "raw_stores") == ["Store_ID"]
+
+
+# --- quoted line breaks over splits ------------------------------------------
+
+
+def by_python(text: str) -> list[tuple]:
+    """Records by Python's own reader, without the header and empty lines."""
+    rows = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    return [tuple(x or None for x in r) for r in rows[1:]]
+
+
+@pytest.mark.parametrize("split", ["64", "500", "1000000"])
+def test_records_over_splits_equal_a_plain_reader(spark, tmp_path, split):
+    rng = random.Random(int(split))
+    words = ["a", "b c", "", 'say ""x""', "line\nbreak", "two\n\nbreaks", "comma, in", "é", "r\r\nn", "\n", "x" * 90]
+    rows = ["store_id,store_name,city"]
+    for i in range(400):
+        fields = [f'"{w}"' if set(w) & set(',"\n\r') else w for w in (rng.choice(words), rng.choice(words))]
+        rows.append(",".join([str(i), *fields]))
+    paths = []
+    for name, some in (("one", rows), ("two", rows[:1] + rows[50:90]), ("no", rows[:1])):
+        path = tmp_path / f"{name}.csv"
+        path.write_bytes(("\n".join(some) + "\n").encode())
+        paths.append(str(path))
+    keys = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        raw = csv_feeds.read_csv(spark, paths, multi_line=True)
+        got = raw.select("store_id", "store_name", "city", csv_feeds._LINE, "_metadata.file_path").collect()
+        tasks = spark.read.option("lineSep", "\n").text(paths).rdd.getNumPartitions()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert tasks > (100 if split == "64" else 20 if split == "500" else 0)
+    want = [r for some in (rows, rows[:1] + rows[50:90]) for r in by_python("\n".join(some) + "\n")]
+    clean = lambda r: tuple(None if x in (None, "") else x for x in r)
+    assert sorted(clean(r[:3]) for r in got) == sorted(map(clean, want))
+    assert len({r[3] for r in got}) == len(got)
+    in_file = [r[0] for r in sorted(got, key=lambda r: r[3]) if r[4].endswith("one.csv")]
+    assert sorted(in_file, key=int) == [str(i) for i in range(400)]
+
+
+def test_a_quote_that_is_never_closed_sets_its_lines_aside(spark, tmp_path):
+    text = 'store_id,store_name\n1,"North\nEnd"\n2,South\n3,"Open\n4,Lost\n5,Lost too\n'
+    path = tmp_path / "s.csv"
+    path.write_text(text)
+    raw = csv_feeds.read_csv(spark, str(path), multi_line=True)
+    extra = csv_feeds.has_extra_fields(raw)
+    assert sorted(r.store_name for r in raw.filter(~extra).collect()) == ["North\nEnd", "South"]
+    assert [r[0] for r in raw.filter(extra).select(csv_feeds._RECORD).collect()] == ['3,"Open', "4,Lost", "5,Lost too"]
+
+
+def test_headers_of_one_load_must_agree_with_line_breaks_too(spark, tmp_path):
+    for name, text in (("a", "store_id,store_name\n1,x\n"), ("b", "store_name,store_id\ny,2\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    with pytest.raises(csv_feeds.FeedContractError, match="differ"):
+        csv_feeds.read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], multi_line=True)
