@@ -10,14 +10,16 @@
 3. Of these a set may leave out any e, if all sets leave out the first ones of one common
    order: the rarest common word is then left. Empty words come first in that order and are
    never written; see 6 for the rest.
-4. Sets that share a word are paired with the smallest set that has it. Pairs are compared by
-   a finer parity sketch of two to four bits an element; what differs in too many bits is no
-   link. The others are verified on full sets.
+4. Sets that share a word are paired with the one of them that shares the most words with any
+   set. Pairs are compared by a finer parity sketch of two to four bits an element; what differs
+   in too many bits is no link. The others are verified on full sets.
 5. Connected components of the verified links. A word whose sets are all in one component has
    nothing left to tell, nor has one that only two sets have.
-6. For the other words, common ones are left out by 3, and all pairs between components are
-   compared by their sketches: a word of few sets in one row, a frequent one in blocks of
-   bounded size, then verified. So no link between different components is lost.
+6. For the other words, common ones are left out by 3, and all sets of different components are
+   compared by their finer sketches: those of words of few sets in packs of many words, those
+   of a frequent word in blocks of bounded size. Only pairs that sketches allow are verified.
+   At first each set is paired with its nearest one only, which joins most components; then all
+   pairs that are left between components are taken, so no link between them is lost.
 
 Two sets are the same if 64-bit digests of all their elements are; copies cost one pair each.
 
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm import _text
@@ -43,7 +45,8 @@ from tallymart.llm.near_dedup import BLOCK, _sums, _verify, shingle_sets
 from tallymart.session import stage
 
 SPREAD = 1.8  # last size of a band over its first, for thresholds above 75 %
-FEW = 24  # sets of one word that are paired within one row
+FEW = 24  # sets of a word that goes into a pack with others
+PACK = 4000  # rows of a pack, about
 CHUNK = 512  # sets on each side of a block of a frequent word
 
 _C = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -123,6 +126,12 @@ def _wide(blobs: list[bytes], words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(b"".join(blobs), np.uint64).reshape(len(blobs), -1, words), axis=1)
 
 
+def _wide_of_any(blobs: list[bytes], most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Sketches by their number of words, at most ``most``: which they are, and folded to it."""
+    words = np.minimum([len(x) // 8 for x in blobs], most)
+    return {w: (at, np.concatenate([_wide([blobs[i]], w) for i in at])) for w in np.unique(words) if len(at := np.flatnonzero(words == w))}
+
+
 def may_link(n_a: np.ndarray, n_b: np.ndarray, different: np.ndarray, percent: int) -> np.ndarray:
     fits = percent * np.maximum(n_a, n_b) <= 100 * np.minimum(n_a, n_b)
     return fits & (different <= most_apart(n_a, n_b, percent))
@@ -190,24 +199,55 @@ def _close_pairs(percent: int):
     return run
 
 
-def _close_in_block(percent: int):
+def _pairs(found: list[tuple[int, int]]) -> pa.Table:
+    ordered = {(min(x), max(x)) for x in found}
+    return pa.table({"a": pa.array([x for x, _ in ordered], pa.int64()), "b": pa.array([y for _, y in ordered], pa.int64())})
+
+
+def _partners(close: np.ndarray, different: np.ndarray, nearest: bool) -> np.ndarray:
+    """Columns of the partners of one set: all that sketches allow, or the nearest of them."""
+    at = np.flatnonzero(close)
+    return at[np.argmin(different[at])][None] if nearest and len(at) else at
+
+
+def _close_in_block(percent: int, nearest: bool):
     """Pairs between the two sides of a block, of different components, that sketches allow."""
 
     def run(table: pa.Table) -> pa.Table:
         node, root, side, n = (np.array(table[c]) for c in ("node", "root", "side", "n"))
         bits = table["bits"].to_pylist()
         words = np.array([len(x) // 8 for x in bits])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        folded = {w: _wide_of_any([bits[i] for i in right], w) for w in np.unique(words[left])}
         found = []
-        for w in np.unique(words):
-            for v in np.unique(words):
-                a, b = np.flatnonzero((side == 0) & (words == w)), np.flatnonzero((side == 1) & (words == v))
-                if not len(a) or not len(b):
-                    continue
-                x, y = _wide([bits[i] for i in a], min(w, v)), _wide([bits[i] for i in b], min(w, v))
-                for i, row in zip(a, x, strict=True):
-                    close = may_link(n[i], n[b], np.bitwise_count(y ^ row).sum(axis=1), percent) & (root[b] != root[i])
-                    found += [(min(node[i], node[j]), max(node[i], node[j])) for j in b[close]]
-        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+        for i in left:
+            own = np.frombuffer(bits[i], np.uint64)
+            different = np.zeros(len(right), np.int64)
+            for w, (some, sketches) in folded[words[i]].items():
+                different[some] = np.bitwise_count(sketches ^ _wide([bits[i]], w)[0] if w < len(own) else sketches ^ own).sum(axis=1)
+            close = may_link(n[i], n[right], different, percent) & (root[right] != root[i])
+            found += [(node[i], node[right[j]]) for j in _partners(close, different, nearest)]
+        return _pairs(found)
+
+    return run
+
+
+def _close_in_pack(percent: int, nearest: bool):
+    """Like ``_close_in_block``, for all sets that share one of a pack's words."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("key")
+        key, node, root, n = (np.array(table[c]) for c in ("key", "node", "root", "n"))
+        bits, found = table["bits"].to_pylist(), []
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for a, b in zip(starts, np.r_[starts[1:], len(key)], strict=True):
+            least = min(map(len, bits[a:b])) // 8
+            sketches = np.concatenate([_wide([blob], least) for blob in bits[a:b]])
+            different = np.bitwise_count(sketches[:, None] ^ sketches[None, :]).sum(axis=2)
+            close = may_link(n[a:b, None], n[None, a:b], different, percent) & (root[a:b, None] != root[None, a:b])
+            for i in range(b - a):
+                found += [(node[a + i], node[a + j]) for j in _partners(close[i], different[i], nearest)]
+        return _pairs(found)
 
     return run
 
@@ -244,15 +284,21 @@ class _Join:
         return stage(_verify(rows, ["hub", "block"], self.percent), "links")[0]
 
     def members(self) -> DataFrame:
-        """``(key, node, hub)``: the words that two different sets have, and the smallest of them."""
+        """``(key, node)``: the words that at least two different sets have."""
         rows = self.sketch.select("node", F.explode("keys").alias("key"))
-        hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top")
-        return stage(rows.join(hubs.select("key", "hub"), "key"), "members")[0]
+        shared = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
+        return stage(rows.join(shared.select("key"), "key").distinct(), "members")[0]
+
+    def stars(self, members: DataFrame) -> DataFrame:
+        """``(a, b)``: every set of a word with the one of them that shares the most words."""
+        degrees = members.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        centers = members.join(degrees, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("b"))
+        return members.join(centers, "key").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
     def undecided(self, members: DataFrame, roots: DataFrame) -> DataFrame:
         """``(key, node, root)`` of words that sets of several components have, without the
         frequent words that a set may leave out."""
-        of = members.select("key", "node").distinct().join(roots, "node", "left")
+        of = members.join(roots, "node", "left")
         of = of.select("key", "node", F.coalesce("root", "node").alias("root"))
         open_ = of.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
         open_ = open_.filter("lo < hi AND n > 2").select("key", "n")
@@ -264,22 +310,20 @@ class _Join:
         kept = ranked.join(spare, "node").filter(F.col("rank") > F.when(F.col("parity") == 0, F.col("spare0")).otherwise(F.col("spare1")))
         return stage(kept.select("key", "node", "root"), "undecided")[0]
 
-    def pairs_between(self, rows: DataFrame) -> DataFrame:
-        """``(a, b)`` of all sets that share a word and lie in different components."""
+    def pairs_between(self, rows: DataFrame, nearest: bool) -> DataFrame:
+        """``(a, b)`` of sets that share a word, lie in different components and may be linked;
+        all of them, or the nearest in every block and pack."""
         per_root = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
         words = per_root.groupBy("key").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("n", "root")).alias("main"))
         words, _ = stage(words.filter("roots > 1").drop("roots"), "words")
-        few = rows.join(words.filter(F.col("size") <= FEW).select("key"), "key", "left_semi")
-        few = few.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("all"))
-
-        def with_later(x: Column, i: Column) -> Column:
-            later = F.filter(F.slice("all", i + 2, F.size("all")), lambda y: y.root != x.root)
-            return F.transform(later, lambda y: F.struct(x.node.alias("a"), y.node.alias("b")))
-
-        pairs = few.select(F.inline(F.flatten(F.transform("all", with_later))))
+        sketches = self.classes.select("node", "n", "bits")
+        few, n = stage(rows.join(words.filter(F.col("size") <= FEW).select("key"), "key", "left_semi"), "few")
+        pack = F.pmod(F.xxhash64("key"), F.lit(-(-max(n, 1) // PACK))).alias("pack")
+        packed = few.join(sketches, "node").select(pack, "key", "node", "root", "n", "bits")
+        pairs = packed.groupBy("pack").applyInArrow(_close_in_pack(self.percent, nearest), "a long, b long")
         many = words.filter(F.col("size") > FEW)
         if not many.isEmpty():
-            placed, _ = stage(rows.join(many, "key").join(self.classes.select("node", "n", "bits"), "node"), "frequent")
+            placed, _ = stage(rows.join(many, "key").join(sketches, "node"), "frequent")
             apart = F.col("root") != F.col("main")
             seats = placed.filter(apart).groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("seats"))
             placed = placed.join(seats, "key")
@@ -288,7 +332,7 @@ class _Join:
             seat, chunk = F.pmod(F.xxhash64("node"), F.col("seats")).cast("int"), F.pmod(F.xxhash64("node"), chunks).cast("int")
             left = placed.filter(apart).select("key", seat.alias("seat"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(0).alias("side"), *own)
             right = placed.select("key", F.explode(F.sequence(F.lit(0), F.col("seats") - 1)).alias("seat"), chunk.alias("chunk"), F.lit(1).alias("side"), *own)
-            close = left.union(right).groupBy("key", "seat", "chunk").applyInArrow(_close_in_block(self.percent), "a long, b long")
+            close = left.union(right).groupBy("key", "seat", "chunk").applyInArrow(_close_in_block(self.percent, nearest), "a long, b long")
             pairs = pairs.union(close)
         return pairs.distinct()
 
@@ -300,12 +344,14 @@ def jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     """
     join = _Join(docs, width, percent)
     members = join.members()
-    links = join.verified(members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    links = join.verified(join.stars(members))
     roots = components(links)
-    rows = join.undecided(members, roots)
-    if not rows.isEmpty():
-        more = join.verified(join.pairs_between(rows))
-        roots = components(links.union(more))
+    for nearest in (True, False):
+        rows = join.undecided(members, roots)
+        if rows.isEmpty():
+            break
+        links = links.union(join.verified(join.pairs_between(rows, nearest)))
+        roots = components(links)
     named = join.classes.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     per_class = named.join(least, "root").select("node", "component_id")
