@@ -224,6 +224,16 @@ _sales_view("_b1", "silver_tx_b1", "silver_stores")
 _sales_view("_all", "silver_tx_merged", "silver_stores_r2")
 _sales_view("_reloaded", "silver_tx_reloaded", "silver_stores_r2")
 
+_view("gold_merged", ["gold_sales_b1", "gold_sales_all"], """
+SELECT report_date, store_id,
+       CASE WHEN a.hit THEN a.store_name ELSE b.store_name END AS store_name,
+       CASE WHEN b.hit THEN b.revenue_cents ELSE a.revenue_cents END AS revenue_cents,
+       CASE WHEN b.hit THEN b.transaction_count ELSE a.transaction_count END AS transaction_count,
+       CASE WHEN b.hit THEN b.basket_cents ELSE a.basket_cents END AS basket_cents
+FROM (SELECT *, true AS hit FROM gold_sales_b1) a
+FULL OUTER JOIN (SELECT *, true AS hit FROM gold_sales_all) b USING (report_date, store_id)
+""")
+
 
 def _health_view(suffix: str) -> None:
     _view(f"health{suffix}", [f"silver_inv{suffix}"], f"""
@@ -454,6 +464,27 @@ WHERE rule IS NULL AND l.n > k.n"""),
                 "gold_sales_reloaded", "silver_stores_r2",
             ),
         ),
+        "quarantine_history": _with(
+            ["ruled_b1", "ruled_b1c", "ruled_b2", "silver_tx_b1", "silver_tx_b1c", "silver_tx_merged", "silver_tx_freed"], """
+, broken AS (
+SELECT 'batch-1' AS batch, 1 AS load, rule, count(*) AS n FROM ruled_b1 GROUP BY ALL
+UNION ALL SELECT 'batch-1', 2, rule, count(*) FROM ruled_b1c GROUP BY ALL
+UNION ALL SELECT 'batch-2', 1, rule, count(*) FROM ruled_b2 GROUP BY ALL
+), kept AS (
+SELECT 'batch-1' AS batch, 1 AS load, (SELECT count(*) FROM silver_tx_b1) AS n
+UNION ALL SELECT 'batch-1', 2, (SELECT count(*) FROM silver_tx_b1c)
+UNION ALL SELECT 'batch-2', 1, (SELECT count(*) FROM silver_tx_merged) - (SELECT count(*) FROM silver_tx_b1)
+), held AS (
+SELECT batch, load, coalesce(rule, 'duplicate_transaction_id') AS reject_rule,
+       b.n - CASE WHEN rule IS NULL THEN k.n ELSE 0 END AS n
+FROM broken b JOIN kept k USING (batch, load)
+)
+SELECT * FROM (
+SELECT batch, 'held' AS change, reject_rule, CAST(sum(n) AS BIGINT) AS rows FROM held GROUP BY ALL
+UNION ALL SELECT batch, 'withdrawn', reject_rule, n FROM held WHERE batch = 'batch-1' AND load = 1
+UNION ALL SELECT 'batch-2', 'promoted', 'duplicate_transaction_id', (SELECT count(*) FROM silver_tx_freed) - n
+FROM kept WHERE batch = 'batch-2'
+) WHERE rows > 0"""),
         "medallion_reset": _with(["gold_sales_all"], f"SELECT {_SALES_OUT} FROM gold_sales_all"),
     }
 
@@ -547,16 +578,12 @@ SELECT 'duplicate_transaction_id',
              "silver_stores", "silver_stores_r2", "gold_sales_b1", "gold_sales_all", "ruled_inv"],
             _RUN,
         ),
-        "merge_upsert_daily_sales": _with(["gold_sales_b1", "gold_sales_all"], f"""
-SELECT {_SALES_OUT} FROM (
-  SELECT report_date, store_id,
-         CASE WHEN a.hit THEN a.store_name ELSE b.store_name END AS store_name,
-         CASE WHEN b.hit THEN b.revenue_cents ELSE a.revenue_cents END AS revenue_cents,
-         CASE WHEN b.hit THEN b.transaction_count ELSE a.transaction_count END
-           AS transaction_count,
-         CASE WHEN b.hit THEN b.basket_cents ELSE a.basket_cents END AS basket_cents
-  FROM (SELECT *, true AS hit FROM gold_sales_b1) a
-  FULL OUTER JOIN (SELECT *, true AS hit FROM gold_sales_all) b USING (report_date, store_id))"""),
+        "merge_upsert_daily_sales": _with(["gold_merged"], f"SELECT {_SALES_OUT} FROM gold_merged"),
+        "daily_sales_newest": _with(["gold_sales"], f"""
+SELECT {_SALES_OUT} FROM gold_sales g ORDER BY g.report_date DESC, g.store_id LIMIT 100"""),
+        "daily_sales_newest_of_store": _with(["gold_sales"], f"""
+SELECT {_SALES_OUT} FROM gold_sales g WHERE g.store_id = 3 AND g.report_date <= DATE '1999-05-17'
+ORDER BY g.report_date DESC LIMIT 40"""),
         "merge_upsert_inventory_health": _with(
             ["health_merged"], f"SELECT {_HEALTH_OUT} FROM health_merged"
         ),

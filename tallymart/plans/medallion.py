@@ -32,7 +32,7 @@ from tallymart.plans import gold, metrics, quality, run_log, silver
 from tallymart.session import discard, stage
 from tallymart.sources import csv_feeds
 from tallymart.sources.snapshots import CommitConflict
-from tallymart.sources.tables import BUCKET, TABLES, LayerStore, bucket_of
+from tallymart.sources.tables import BUCKET, TABLES, LayerStore
 
 FEEDS = ("raw_stores", "raw_inventory", "raw_transactions")
 STORE_UPDATES = ["store_name", "city", "region", "store_type", "opened_date", "_transformed_at", "_ingested_at"]
@@ -195,14 +195,14 @@ def _upsert(
 
     Rows of ``lost`` keys are replaced by what ``refound`` has of them. Returns the rows merged.
     """
-    keys = list(TABLES[name].bucket_by)
+    keys, bucket = list(TABLES[name].bucket_by), TABLES[name].bucket
     incoming, n = stage(incoming, "incoming")
     staged = [incoming]
-    touched = incoming.select(bucket_of(keys).alias(BUCKET))
+    touched = incoming.select(bucket.alias(BUCKET))
     if lost is not None:
         (lost, _), (refound, _) = stage(lost, "lost"), stage(refound, "refound")
         staged += [lost, refound]
-        touched = touched.union(lost.select(bucket_of(keys)))
+        touched = touched.union(lost.select(bucket))
     buckets = sorted(r[BUCKET] for r in touched.distinct().collect())
     if buckets:
         current = store.read(name, lambda p: int(p[BUCKET]) in buckets)
@@ -458,6 +458,7 @@ def _derive(
     def bronze(feed: str) -> DataFrame:
         return store.read(f"bronze/{feed}", None if batches is None else lambda p: p["_batch_id"] in batches)
 
+    reloaded = sorted(b for b, i in store.intents().items() if "raw_transactions" in i)
     withdrawn = withdraw(store)
     if batches is not None:
         batches = sorted({*batches, *withdrawn.batches})
@@ -485,7 +486,7 @@ def _derive(
     columns = ["_bronze_batch_id", "_bronze_id", "txn_month"]
     reached = kept(before.select(*columns).unionByName(inserted.frame.select(*columns)), "reached")
     lost = silver.quarantine_transactions(bronze("raw_transactions"), reached, as_of)
-    steps["quarantined"] = metrics.put_quarantine(store, lost, recovered, batches)
+    steps["quarantined"] = metrics.put_quarantine(store, run_id, lost, recovered, batches, reached, reloaded)
 
     # Gold: only the months that can have changed, from sums of their days.
     months, recounted = None, withdrawn.months

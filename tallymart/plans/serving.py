@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.clock import as_date
 from tallymart.functions.exact import mean_of_cents, to_cents
+from tallymart.sources.tables import LayerStore
 
 # Period codes in days, the fallback and the row limit of the sales list.
 PERIOD_DAYS = {"7d": 7, "30d": 30, "90d": 90}
@@ -41,6 +42,43 @@ def daily_sales(
     return rows if limit is None else rows.limit(limit)
 
 
+def newest_sales(
+    store: LayerStore,
+    store_id: int | None = None,
+    start_date: dt.date | str | None = None,
+    end_date: dt.date | str | None = None,
+    limit: int = DAILY_SALES_LIMIT,
+) -> DataFrame:
+    """``daily_sales`` over the gold table, from its newest month back: older months are opened
+    only while fewer than ``limit`` rows are found.
+
+    Rows of a newer month come before all of an older one, so the first months that have enough
+    hold the answer. Without a filter the noted row counts tell them; else months are searched
+    in steps that double, and no month twice as often as there are steps.
+    """
+    bounds = [None if d is None else str(d)[:7] for d in (start_date, end_date)]
+    months = sorted(
+        (p["sales_month"] for p in store.partitions("gold/daily_store_sales")
+         if (bounds[0] is None or p["sales_month"][:7] >= bounds[0]) and (bounds[1] is None or p["sales_month"][:7] <= bounds[1])),
+        reverse=True,
+    )
+
+    def among(some: list[str]) -> DataFrame:
+        rows = store.read("gold/daily_store_sales", lambda p: p["sales_month"] in some)
+        return daily_sales(rows, store_id, start_date, end_date, limit)
+
+    if store_id is None and start_date is None and end_date is None:
+        counts, enough, found = store.marked("rows.gold/daily_store_sales"), 0, 0
+        while enough < len(months) and found < limit:
+            found += counts.get(months[enough], {}).get("rows", 0)
+            enough += 1
+        return among(months[:enough])
+    taken = 1
+    while taken < len(months) and among(months[:taken]).count() < limit:
+        taken *= 2
+    return among(months[:taken])
+
+
 def sales_summary(gold: DataFrame, period: str = "7d", today=None) -> DataFrame:
     """One row over the store-days since ``today`` minus the period.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -291,17 +292,14 @@ def inventory_health_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = feeds.raw_transactions(spark, sf_dir)
+    """The rate comes from counts by rule: no row is matched with silver for it."""
     transactions = _staged(_transactions(spark, sf_dir), "transactions")
     stores = _stores(spark, sf_dir)
-    return quality.quality_report(
-        raw,
-        silver.quarantine_transactions(raw, transactions, feeds.AS_OF),
-        transactions,
-        stores,
-        gold.daily_store_sales(transactions, stores, feeds.AS_OF),
-        feeds.AS_OF,
-    )
+    lost = silver.loss_by_rule(feeds.raw_transactions(spark, sf_dir), feeds.AS_OF)
+    lost = lost.agg(F.sum("rows").alias("held"), F.sum("seen").alias("total"))
+    rate = lost.select(percentage(F.col("held"), F.col("total")).alias("quarantine_rate"))
+    rows = gold.daily_store_sales(transactions, stores, feeds.AS_OF).agg(F.count(F.lit(1)).alias("rows"))
+    return quality.report_of(quality.per_store(transactions, feeds.AS_OF), stores, rate, rows)
 
 
 def stores_without_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,9 +423,12 @@ class _CutOff(RuntimeError):
     pass
 
 
+@functools.lru_cache(maxsize=1)
 def _reloaded_lake(spark: SparkSession, sf_dir: str) -> LayerStore:
     """Two batches, then corrected files of the first: no card sales, and no products that end
-    in 4. The reload breaks off once, after it has taken the old sales out of silver."""
+    in 4. The reload breaks off once, after it has taken the old sales out of silver.
+
+    The queries that read this lake after one another in a session share it."""
     store = _lake(spark, sf_dir, [1, 2])
     fixed = {
         "raw_inventory": _ordered_inventory(spark, sf_dir, 1).filter("NOT product_id LIKE '%4'"),
@@ -473,6 +474,12 @@ def medallion_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
 
 
+def quarantine_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of held rows over two loads and a reload."""
+    log = _reloaded_lake(spark, sf_dir).read("quarantine/changes")
+    return log.groupBy(F.col("_batch_id").alias("batch"), "change", "reject_rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def medallion_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks after a reload from stored metrics alone: no row of bronze or silver
     transactions is read for them."""
@@ -537,6 +544,26 @@ def medallion_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("gold/daily_store_sales").drop("sales_month", *AUDIT_COLUMNS)
 
 
+@functools.lru_cache(maxsize=1)
+def _gold_lake(spark: SparkSession, sf_dir: str) -> LayerStore:
+    """Daily sales of two batches in the gold table, with their noted row counts."""
+    store = LayerStore(spark, scratch_path(spark, "lake"))
+    sales = store.write(_daily_sales(spark, sf_dir), "gold/daily_store_sales")
+    store.replace(sales)
+    metrics.count_gold(store, sales, [], True)
+    return store
+
+
+def daily_sales_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest store-days of the gold table, read from its newest month back."""
+    return serving.newest_sales(_gold_lake(spark, sf_dir)).drop(*AUDIT_COLUMNS)
+
+
+def daily_sales_newest_of_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _gold_lake(spark, sf_dir)
+    return serving.newest_sales(lake, store_id=3, end_date="1999-05-17", limit=40).drop(*AUDIT_COLUMNS)
+
+
 def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch is run again: nothing changes."""
     store = _lake(spark, sf_dir, [1, 2, 2])
@@ -613,6 +640,8 @@ _QUERIES: dict[str, Query] = {
     "csv_ingest_stores": _csv_ingest("raw_stores", feeds.raw_stores),
     "csv_ingest_multiline": csv_ingest_multiline,
     "medallion_daily_sales": medallion_daily_sales,
+    "daily_sales_newest": daily_sales_newest,
+    "daily_sales_newest_of_store": daily_sales_newest_of_store,
     "medallion_rerun": medallion_rerun,
     "medallion_rerun_quarantine": medallion_rerun_quarantine,
     "medallion_run": medallion_run,
@@ -620,6 +649,7 @@ _QUERIES: dict[str, Query] = {
     "medallion_reload_transactions": medallion_reload_transactions,
     "medallion_reload_inventory": medallion_reload_inventory,
     "medallion_quality": medallion_quality,
+    "quarantine_history": quarantine_history,
     "medallion_reset": medallion_reset,
     "audit_stamps": audit_stamps,
     "csv_ingest_provenance": csv_ingest_provenance,

@@ -118,8 +118,13 @@ GOLD_SCHEMAS = {
 METRIC_SCHEMAS = {
     "transactions": _struct(
         report_date="date", store_id="integer", cents="long", transaction_count="long", amounts="long",
-        negative="long", txn_month="date",
+        negative="long", txn_month="date", txn_year="integer",
     ),
+    "filters": _struct(level="integer", word="long", bits="long", txn_month="date", txn_year="integer"),
     "quarantine": _struct(reject_rule="string", rows="long", _batch_id="string"),
     "recovered": _struct(_id="long", run_id="string", _batch_id="string"),
+    "changes": _struct(
+        _id="long", number="long", step="integer", run_id="string", change="string", reject_rule="string",
+        _batch_id="string",
+    ),
 }

@@ -13,17 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart import schemas as S
-from tallymart.operators import key_filter
 from tallymart.session import observed
 from tallymart.sources.snapshots import Folder, Snapshot, SnapshotLog, Transaction
 
 BUCKET = "bucket"
-BUCKETS = 64
-
-
-def bucket_of(keys: Sequence[str]) -> Column:
-    """The bucket of a row of a bucketed table."""
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -34,6 +27,11 @@ class Table:
     gather_by: tuple[str, ...] = field(default=())
     # Rows are dealt into buckets by these columns; an upsert rewrites only buckets it touches.
     bucket_by: tuple[str, ...] = field(default=())
+    buckets: int = 64
+
+    @property
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
     @property
     def folders(self) -> tuple[str, ...]:
@@ -57,16 +55,18 @@ TABLES = {
     ),
     "quarantine/metrics": Table(S.METRIC_SCHEMAS["quarantine"], ("_batch_id",)),
     "quarantine/recovered": Table(S.METRIC_SCHEMAS["recovered"], ("_batch_id",)),
+    # What became of every row that was held, only ever added to.
+    "quarantine/changes": Table(S.METRIC_SCHEMAS["changes"], ("_batch_id",)),
     "quarantine/rejected_records": Table(S.REJECTED_RECORD_SCHEMA, ("_batch_id", "source_table")),
-    "silver/stores": Table(S.SILVER_SCHEMAS["stores"], bucket_by=("store_id",)),
+    "silver/stores": Table(S.SILVER_SCHEMAS["stores"], bucket_by=("store_id",), buckets=8),
     "silver/inventory": Table(S.SILVER_SCHEMAS["inventory"], bucket_by=("store_id", "product_id")),
     "silver/transactions": Table(
         S.SILVER_SCHEMAS["transactions"], ("txn_month",), gather_by=("txn_month",)
     ),
-    # Beside each segment of silver transactions one of the same name: which keys its months hold,
-    # and what its rows add to the checks.
-    "silver/transaction_filters": Table(key_filter.schema("txn_month", "date"), ("txn_month",), gather_by=("txn_month",)),
-    "silver/transaction_metrics": Table(S.METRIC_SCHEMAS["transactions"], ("txn_month",), gather_by=("txn_month",)),
+    # Beside silver transactions: which keys its months hold, and what its rows add to gold and
+    # checks. They are small, so their folders are years.
+    "silver/transaction_filters": Table(S.METRIC_SCHEMAS["filters"], ("txn_year",), gather_by=("txn_year",)),
+    "silver/transaction_metrics": Table(S.METRIC_SCHEMAS["transactions"], ("txn_year",), gather_by=("txn_year",)),
     "gold/daily_store_sales": Table(
         S.GOLD_SCHEMAS["daily_store_sales"], ("sales_month",), gather_by=("sales_month",)
     ),
@@ -269,7 +269,7 @@ class LayerStore:
         table = TABLES[name]
         df = df.select(*table.schema.names)
         if table.bucket_by:
-            df = df.withColumn(BUCKET, bucket_of(table.bucket_by))
+            df = df.withColumn(BUCKET, table.bucket)
         if table.gather_by or table.bucket_by:
             df = df.hint("rebalance", *(table.gather_by or (BUCKET,)))
         return df.write.partitionBy(*table.folders)

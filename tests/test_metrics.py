@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymart.operators import key_filter
-from tallymart.plans import gold, medallion, metrics, quality, silver
+from tallymart.plans import gold, medallion, metrics, quality, serving, silver
 from tallymart.sources.tables import LayerStore
 from tests.test_medallion import CLEAN, INVENTORY, STORES, TX_HEADER, feeds, tx
 from tests.test_snapshots import reload, two_batches
@@ -74,6 +74,11 @@ def test_the_stored_report_is_the_full_one(spark, tmp_path):
     same(store, later)
     log = store.read("quarantine/recovered").collect()
     assert len(log) == 1 and log[0]._batch_id == "a"
+    states = sorted((r._batch_id, r.change, r.reject_rule) for r in metrics.quarantine_states(store).collect())
+    assert states == [
+        ("a", "held", silver.FUTURE_RULE), ("a", "held", "quantity_not_positive"), ("a", "recovered", silver.FUTURE_RULE),
+        ("b", "held", silver.DUPLICATE_RULE),
+    ]
     # An earlier clock makes rows of silver future ones again: their months are read for it.
     report = {r.check_name: r for r in metrics.stored_report(store, AS_OF).collect()}
     assert report["no_future_transactions"].result == 1 and not report["no_future_transactions"].passed
@@ -118,3 +123,29 @@ def test_stored_sums_and_report_are_those_of_silver_after_a_reload_too(spark, tm
         same(store, "2024-02-03 00:00:00")
         if not step:
             reload(store, fixed)
+    log = sorted((r._batch_id, r.change, r.reject_rule) for r in store.read("quarantine/changes").collect())
+    assert log == [("b", "held", silver.DUPLICATE_RULE), ("b", "promoted", silver.DUPLICATE_RULE)]
+
+
+def test_newest_sales_open_no_month_more_than_needed(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    days = [(f"2023-{m:02d}-{d:02d}", s) for m in range(1, 13) for d in range(1, 11) for s in (1, 2)]
+    text = "".join(tx(i, transaction_ts=f"{day} 10:00:00", store_id=str(s)) for i, (day, s) in enumerate(days))
+    medallion.run(spark, store.root, feeds(tmp_path, "a", TX_HEADER + text), AS_OF, batch_id="a")
+    everything = store.read("gold/daily_store_sales")
+
+    def opened(df):
+        return sorted({f.split("sales_month=")[1][:7] for f in df.inputFiles()})
+
+    for limit, months in ((20, ["2023-12"]), (21, ["2023-11", "2023-12"]), (100, None), (1000, None)):
+        got = serving.newest_sales(store, limit=limit)
+        assert got.collect() == serving.daily_sales(everything, limit=limit).collect()
+        assert months is None or opened(got) == months
+    assert len(opened(serving.newest_sales(store, limit=100))) == 5
+    for kw in ({"store_id": 2, "limit": 15}, {"store_id": 1, "start_date": "2023-03-05", "end_date": "2023-07-04", "limit": 7},
+               {"end_date": "2023-02-03", "limit": 9}, {"store_id": 7, "limit": 5}):
+        limit = kw.pop("limit")
+        got = serving.newest_sales(store, **kw, limit=limit)
+        assert got.collect() == serving.daily_sales(everything, **kw, limit=limit).collect()
+    assert opened(serving.newest_sales(store, store_id=2, limit=15)) == ["2023-11", "2023-12"]
+    assert serving.newest_sales(LayerStore(spark, str(tmp_path / "none"))).collect() == []

@@ -10,7 +10,7 @@ import pytest
 from tallymart.plans import medallion, silver
 from tallymart.sources import tables
 from tallymart.sources.snapshots import CommitConflict, Snapshot, Transaction
-from tallymart.sources.tables import BUCKET, LayerStore, bucket_of
+from tallymart.sources.tables import BUCKET, TABLES, LayerStore
 from tests.test_medallion import CLEAN, INVENTORY, STORES, TX_HEADER, feeds, sales, tx
 from tests.test_reruns import whole
 
@@ -246,7 +246,7 @@ def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     new = store.snapshot().tables["silver/inventory"]
     changed = {p for p in new if new[p] != old.get(p)}
     touched = spark.range(1).selectExpr("cast(3 as int) store_id", "cast(23 as int) product_id")
-    (bucket,) = touched.select(bucket_of(["store_id", "product_id"])).first()
+    (bucket,) = touched.select(TABLES["silver/inventory"].bucket).first()
     assert changed == {f"{BUCKET}={bucket}"} and set(new) == set(old)
     row = store.read("silver/inventory").filter("store_id = 3 and product_id = 23").collect()
     assert [(r.stock_level, r.supplier_id) for r in row] == [(77, 1)]
