@@ -17,15 +17,21 @@ is covered by its shortest long-enough windows, one from each of its lines forwa
 backwards; so intervals are looked up at these lengths only, and no group of suffixes is
 ever compared pair by pair.
 
-Lines of ``min_words`` words and more are no sound unit, as a passage may stand inside them.
-Their words are decided one by one: a word goes if a window of ``min_words`` words around it,
-inside the line, repeats an earlier window without overlapping it, wherever the lines end in
-the earlier one. Every window picks the least hash of the short word runs in it; windows
-whose pick occurs once in the corpus can't repeat and are never listed.
+Line ends need not agree, and a passage may begin or end inside a line. So the words that
+are left are decided one by one: a word goes if a window of ``min_words`` words around it
+repeats an earlier window without overlapping it, wherever the lines end in either. Windows
+inside deleted runs are left out: such a run has an equal one earlier, so the first of equal
+windows is never in it. Every other window picks the least hash of the short word runs in it;
+windows whose pick occurs once in the corpus can't repeat and are never listed.
+
+Of equal texts under several doc_ids only the first is compared; the later ones go as a whole
+if they have ``min_words`` words. Keys that hold more than a ``HOT_SHARE``-th of all rows (so
+fewer than that many) are joined by broadcast, all others by shuffle.
 
 Null texts are empty; they and texts without repeats come back unchanged. Rows equal in
 doc_id and text are one document and treated alike; a null doc_id sorts first. Lines
-and words are compared without regard to ASCII case. Other columns are not read.
+and words are compared without regard to ASCII case. A very long text is a step of its own,
+in memory that grows with its words. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,8 +47,8 @@ from tallymart.llm import _text
 from tallymart.session import stage
 
 MIN_WORDS = 50
-BROADCAST_DOCS = 100_000
-PICKS = 1 << 15  # of one step
+BROADCAST_ROWS = 400_000  # of a few numbers each
+HOT_SHARE = 1000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
@@ -50,10 +56,9 @@ _LINES = np.ones(256, dtype=bool)
 _LINES[10] = False
 
 
-def _lines(texts: _text.Texts):
+def _lines(texts: _text.Texts, w: _text.Words):
     """Lines that hold a word: their document, byte range, key and number of words."""
     lines = _text.words(texts, _LINES)
-    w = _text.words(texts, _text.SPACE_SEPARATED)
     of = np.searchsorted(lines.end, w.start, side="right")
     counts = np.bincount(of, minlength=len(lines.key))
     some = counts > 0
@@ -79,7 +84,7 @@ def _line_rows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in _text.steps(batch.column(2)):
-                doc, _, _, key, counts = _lines(texts)
+                doc, _, _, key, counts = _lines(texts, _text.words(texts, _text.SPACE_SEPARATED))
                 forward, backward = _windows(doc, counts, least)
                 ends = np.cumsum(np.bincount(doc, minlength=texts.rows))
                 bounds = pa.array(np.r_[0, ends].astype(np.int32))
@@ -106,24 +111,58 @@ def _spans(key: np.ndarray, n: int) -> np.ndarray:
     return _text.mix((sums[n:] - sums[:-n]) * back[:m])
 
 
-def _word_windows(texts: _text.Texts, least: int):
-    """Windows of ``least`` words: document, first word in it, whether one line holds them, key,
+def _least(x: np.ndarray, n: int) -> np.ndarray:
+    """Place of the least of ``x[i : i + n]`` for each ``i``, the first of equal ones."""
+
+    def merged(step: int) -> np.ndarray:
+        left, right = at[: len(at) - step], at[step:]
+        return np.where(x[right] < x[left], right, left)
+
+    at, span = np.arange(len(x)), 1
+    while 2 * span <= n:
+        at, span = merged(span), 2 * span
+    return merged(n - span) if n > span else at
+
+
+def _gone_words(texts: _text.Texts, w: _text.Words, runs: pa.Array) -> np.ndarray | None:
+    """Which words lie in the rows' deleted runs of lines; None if there are no runs."""
+    found = runs.to_pylist()
+    if not any(found):
+        return None
+    doc, _, end, _, _ = _lines(texts, w)
+    n_lines = np.bincount(doc, minlength=texts.rows)
+    return _gone_lines(found, n_lines)[np.searchsorted(end, w.start, side="right")]
+
+
+def _gone_lines(runs: list, n_lines: np.ndarray) -> np.ndarray:
+    base = np.cumsum(n_lines) - n_lines
+    gone = np.zeros(int(n_lines.sum()), bool)
+    for row, windows in enumerate(runs):
+        for x in windows or ():
+            gone[base[row] + x["line"] : base[row] + x["line"] + x["length"]] = True
+    return gone
+
+
+def _word_windows(texts: _text.Texts, least: int, runs: pa.Array):
+    """Windows of ``least`` words that are not all in ``runs``: document, first word in it, key,
     and place and key of the pick."""
     w = _text.words(texts, _text.SPACE_SEPARATED)
     if len(w.key) < least:
         none = np.empty(0, np.int64)
-        return none, none, none.astype(bool), none.view(np.uint64), none, none.view(np.uint64)
+        return none, none, none.view(np.uint64), none, none.view(np.uint64)
+    at = np.arange(len(w.key) - least + 1)
+    one = w.doc[at] == w.doc[at + least - 1]
+    gone = _gone_words(texts, w, runs)
+    if gone is not None:
+        sums = np.r_[0, np.cumsum(gone)]
+        one &= sums[least:] - sums[:-least] < least
     short = (least + 1) // 2
     small = _spans(w.key, short)
-    at = np.arange(len(w.key) - least + 1)
-    around = np.lib.stride_tricks.sliding_window_view(small, least - short + 1)
-    pick = np.concatenate([around[i : i + PICKS].argmin(axis=1) for i in range(0, len(at), PICKS)]) + at
-    at = at[w.doc[at] == w.doc[at + least - 1]]
+    pick = _least(small, least - short + 1)[one]
+    at = at[one]
     counts = np.bincount(w.doc, minlength=texts.rows)
     base = (np.cumsum(counts) - counts)[w.doc[at]]
-    line = np.searchsorted(_text.words(texts, _LINES).end, w.start, side="right")
-    inside = line[at] == line[at + least - 1]
-    return w.doc[at], at - base, inside, _spans(w.key, least)[at], pick[at] - base, small[pick[at]]
+    return w.doc[at], at - base, _spans(w.key, least)[at], pick - base, small[pick]
 
 
 def _pick_rows(least: int):
@@ -132,7 +171,7 @@ def _pick_rows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in _text.steps(batch.column(2)):
-                doc, _, _, _, place, key = _word_windows(texts, least)
+                doc, _, _, place, key = _word_windows(texts, least, batch.column(3).slice(texts.first, texts.rows))
                 own = np.ones(len(doc), bool)
                 own[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
                 ends = np.cumsum(np.bincount(doc[own], minlength=texts.rows))
@@ -145,17 +184,19 @@ def _pick_rows(least: int):
 
 
 def _window_rows(least: int):
-    """Windows whose pick is repeated, whether they may go, and whether an equal one of the
-    document ends before."""
+    """Windows whose pick is repeated, and whether an equal one of the document ends before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in _text.steps(batch.column(2)):
-                doc, start, inside, key, _, pick = _word_windows(texts, least)
-                picks = batch.column(3).slice(texts.first, texts.rows)
+                doc, start, key, _, pick = _word_windows(texts, least, batch.column(3).slice(texts.first, texts.rows))
+                picks = batch.column(4).slice(texts.first, texts.rows)
                 ends = np.cumsum(np.bincount(doc, minlength=texts.rows))
                 for row, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True)):
-                    at = a + np.flatnonzero(np.isin(pick[a:b].view(np.int64), np.array(picks[row].as_py(), np.int64)))
+                    asked = picks[row].values
+                    if asked is None or a == b:
+                        continue
+                    at = a + np.flatnonzero(np.isin(pick[a:b].view(np.int64), asked.to_numpy()))
                     if not len(at):
                         continue
                     _, first, same = np.unique(key[at], return_index=True, return_inverse=True)
@@ -168,10 +209,9 @@ def _window_rows(least: int):
                             pa.array(np.full(len(at), int(digest[:15], 16)), pa.int64()),
                             pa.array(key[at].view(np.int64)),
                             pa.array(start[at], pa.int32()),
-                            pa.array(inside[at]),
                             pa.array(own),
                         ],
-                        ["id", "tag", "window", "start", "inside", "own"],
+                        ["id", "tag", "window", "start", "own"],
                     )
 
     return run
@@ -194,53 +234,87 @@ def _word_runs(least: int):
     return run
 
 
-def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of lines of a document as disjoint runs."""
     for batch in batches:
-        texts_column = batch.column(1).fill_null("")
-        for texts in _text.steps(texts_column):
-            doc, start, end, _, counts = _lines(texts)
-            w = _text.words(texts, _text.SPACE_SEPARATED)
-            line = np.searchsorted(end, w.start, side="right")
-            n_lines = np.bincount(doc, minlength=texts.rows)
-            base = np.cumsum(n_lines) - n_lines
-            n_words = np.bincount(w.doc, minlength=texts.rows)
-            word_base = np.cumsum(n_words) - n_words
-            gone = np.zeros(len(doc), bool)
-            runs, spans = (batch.column(i).slice(texts.first, texts.rows).to_pylist() for i in (2, 3))
-            for row, windows in enumerate(runs):
-                for x in windows or ():
-                    gone[base[row] + x["line"] : base[row] + x["line"] + x["length"]] = True
-            word_gone = gone[line]
-            for row, found in enumerate(spans):
-                for x in found or ():
-                    word_gone[word_base[row] + x["first"] : word_base[row] + x["end"]] = True
-            lost = np.bincount(line[word_gone], minlength=len(doc))
-            gone = lost == counts
-            out = texts_column.slice(texts.first, texts.rows).to_pylist()
-            for row in np.unique(w.doc[word_gone]).tolist():
-                raw, parts, at = out[row].encode(), [], 0
-                offset = texts.offsets[row]
-                for i in (np.flatnonzero(lost[base[row] : base[row] + n_lines[row]]) + base[row]).tolist():
-                    if gone[i]:
-                        parts.append(raw[at : int(start[i] - offset)])
-                        at = int(end[i] - offset) + 1  # with its line break
-                        continue
-                    a, b = np.searchsorted(line, [i, i + 1])
-                    edge = np.diff(np.r_[False, word_gone[a:b], False].astype(np.int8))
-                    for x, y in zip((np.flatnonzero(edge == 1) + a).tolist(), (np.flatnonzero(edge == -1) + a).tolist(), strict=True):
-                        parts.append(raw[at : int(w.start[x] - offset)])  # up to the next word that stays
-                        at = int((w.start[y] if y < b else end[i]) - offset)
-                out[row] = b"".join([*parts, raw[at:]]).decode()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(texts.first, texts.rows),
-                    pa.array(n_lines, pa.int64()),
-                    pa.array(np.bincount(doc[gone], minlength=texts.rows), pa.int64()),
-                    pa.array(np.bincount(doc, lost, minlength=texts.rows).astype(np.int64)),
-                    pa.array(out, pa.string()),
-                ],
-                ["doc_id", "n_lines", "n_deleted", "words_deleted", "text"],
-            )
+        runs = []
+        for windows in batch.column(2).to_pylist():
+            x = np.array(sorted((w["line"], w["line"] + w["length"]) for w in windows), np.int64)
+            ends = np.maximum.accumulate(x[:, 1])
+            cut = np.flatnonzero(x[1:, 0] > ends[:-1]) + 1
+            first, end = x[np.r_[0, cut], 0], ends[np.r_[cut, len(x)] - 1]
+            runs.append([{"line": a, "length": b - a} for a, b in zip(first.tolist(), end.tolist(), strict=True)])
+        kind = pa.list_(pa.struct([("line", pa.int32()), ("length", pa.int32())]))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(runs, kind)], ["id", "digest", "runs"])
+
+
+def _rebuild(least: int):
+    """Texts without the deleted runs of lines and of words; later copies without all lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_column = batch.column(1).fill_null("")
+            for texts in _text.steps(texts_column):
+                w = _text.words(texts, _text.SPACE_SEPARATED)
+                doc, start, end, _, counts = _lines(texts, w)
+                line = np.searchsorted(end, w.start, side="right")
+                n_lines = np.bincount(doc, minlength=texts.rows)
+                base = np.cumsum(n_lines) - n_lines
+                n_words = np.bincount(w.doc, minlength=texts.rows)
+                word_base = np.cumsum(n_words) - n_words
+                copy, runs, spans = (batch.column(i).slice(texts.first, texts.rows) for i in (2, 3, 4))
+                whole = copy.to_numpy(zero_copy_only=False) & (n_words >= least)
+                word_gone = (_gone_lines(runs.to_pylist(), n_lines) | whole[doc])[line]
+                for row, found in enumerate(spans.to_pylist()):
+                    for x in found or ():
+                        word_gone[word_base[row] + x["first"] : word_base[row] + x["end"]] = True
+                lost = np.bincount(line[word_gone], minlength=len(doc))
+                gone = lost == counts
+                out = texts_column.slice(texts.first, texts.rows).to_pylist()
+                for row in np.unique(w.doc[word_gone]).tolist():
+                    raw, parts, at = out[row].encode(), [], 0
+                    offset = texts.offsets[row]
+                    for i in (np.flatnonzero(lost[base[row] : base[row] + n_lines[row]]) + base[row]).tolist():
+                        if gone[i]:
+                            parts.append(raw[at : int(start[i] - offset)])
+                            at = int(end[i] - offset) + 1  # with its line break
+                            continue
+                        a, b = np.searchsorted(line, [i, i + 1])
+                        edge = np.diff(np.r_[False, word_gone[a:b], False].astype(np.int8))
+                        for x, y in zip((np.flatnonzero(edge == 1) + a).tolist(), (np.flatnonzero(edge == -1) + a).tolist(), strict=True):
+                            parts.append(raw[at : int(w.start[x] - offset)])  # up to the next word that stays
+                            at = int((w.start[y] if y < b else end[i]) - offset)
+                    out[row] = b"".join([*parts, raw[at:]]).decode()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(texts.first, texts.rows),
+                        pa.array(n_lines, pa.int64()),
+                        pa.array(np.bincount(doc[gone], minlength=texts.rows), pa.int64()),
+                        pa.array(np.bincount(doc, lost, minlength=texts.rows).astype(np.int64)),
+                        pa.array(out, pa.string()),
+                    ],
+                    ["doc_id", "n_lines", "n_deleted", "words_deleted", "text"],
+                )
+
+    return run
+
+
+def _with_few(rows: DataFrame, table: DataFrame, n: int, on: list[str], how: str) -> DataFrame:
+    """A join with ``table``, whose ``n`` rows are broadcast if there are few."""
+    return rows.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, on, how)
+
+
+def _on_repeated(rows: DataFrame, key: str, *values) -> DataFrame:
+    """``rows`` whose key occurs more than once, with the aggregates ``values`` of the key."""
+    often = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *values).filter("n > 1")
+    often, _ = stage(often, "often")
+    limit = (often.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE
+    hot, n_hot = stage(often.filter(F.col("n") > limit), "hot")
+    found = rows
+    if n_hot:
+        found = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    found = found.join(often.filter(F.col("n") <= limit).drop("n"), key)
+    return found.union(rows.join(F.broadcast(hot.drop("n")), key)) if n_hot else found
 
 
 def suffix_ranks(suffixes: DataFrame, levels: int) -> list[DataFrame]:
@@ -265,7 +339,7 @@ def suffix_ranks(suffixes: DataFrame, levels: int) -> list[DataFrame]:
 
 
 def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(id, digest, runs)``: windows of lines ``(line, length)`` that repeat earlier ones."""
+    """``(id, digest, runs)``: runs of lines ``(line, length)`` that repeat earlier ones."""
     lines, _ = stage(
         docs.select("id", "digest", "text").mapInArrow(
             _line_rows(min_words), "id long, digest string, keys array<long>, forward array<int>, backward array<int>"
@@ -275,8 +349,7 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
     flat = lines.select(
         "id", "digest", F.posexplode(F.arrays_zip("keys", "forward", "backward")).alias("line", "x")
     ).select("id", "digest", "line", F.col("x.keys").alias("key"), F.col("x.forward").alias("forward"), F.col("x.backward").alias("backward"))
-    repeated = flat.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    suffixes, _ = stage(flat.join(repeated, "key", "left_semi").dropDuplicates(["id", "digest", "line"]), "suffixes")
+    suffixes, _ = stage(_on_repeated(flat, "key").dropDuplicates(["id", "digest", "line"]), "suffixes")
     windows = suffixes.select("id", "digest", "line", F.col("forward").alias("length")).union(
         suffixes.select("id", "digest", F.col("line") - F.col("backward") + 1, "backward")
     )
@@ -300,27 +373,26 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
     met = classes.join(first.filter("n > 1").drop("n"), interval)
     apart = (F.col("id") != F.col("first.id")) | (F.col("digest") != F.col("first.digest"))
     met = met.filter(apart | (F.col("line") >= F.col("first.line") + F.col("length")))
-    return met.groupBy("id", "digest").agg(F.collect_set(F.struct("line", "length")).alias("runs"))
+    met = met.groupBy("id", "digest").agg(F.collect_set(F.struct("line", "length")).alias("runs"))
+    return met.mapInArrow(_joined_runs, "id long, digest string, runs array<struct<line: int, length: int>>")
 
 
 def later_words(docs: DataFrame, min_words: int) -> DataFrame:
     """``(id, tag, spans)``: runs of words ``(first, end)`` whose windows repeat earlier ones.
 
-    ``tag`` is the beginning of the digest as a number.
+    ``docs(id, digest, text, runs)``: windows inside the runs of lines are left out. ``tag`` is
+    the beginning of the digest as a number.
     """
-    picks, _ = stage(
-        docs.select("id", "digest", "text").mapInArrow(_pick_rows(min_words), "id long, digest string, picks array<long>"), "picks"
-    )
+    own = docs.select("id", "digest", "text", "runs")
+    picks, _ = stage(own.mapInArrow(_pick_rows(min_words), "id long, digest string, picks array<long>"), "picks")
     flat = picks.select("id", "digest", F.explode("picks").alias("pick"))
-    often = flat.groupBy("pick").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("pick")
-    asked = flat.join(often, "pick", "left_semi").groupBy("id", "digest").agg(F.collect_set("pick").alias("picks"))
-    asked, n = stage(asked, "asked")
-    asked = F.broadcast(asked) if n <= BROADCAST_DOCS else asked
-    windows = docs.select("id", "digest", "text").join(asked, ["id", "digest"]).select("id", "digest", "text", "picks")
-    windows, _ = stage(windows.mapInArrow(_window_rows(min_words), "id long, tag long, window long, start int, inside boolean, own boolean"), "word_windows")
-    first = windows.groupBy("window").agg(F.min(F.struct("id", "tag")).alias("first"), F.count(F.lit(1)).alias("n"))
-    later = windows.filter("inside AND NOT own").join(first.filter("n > 1").drop("n"), "window").filter(F.struct("id", "tag") > F.col("first"))
-    met = windows.filter("inside AND own").select("id", "tag", "start").union(later.select("id", "tag", "start"))
+    asked, _ = stage(_on_repeated(flat, "pick").groupBy("id", "digest").agg(F.collect_set("pick").alias("picks")), "asked")
+    total = asked.agg(F.sum(F.size("picks"))).first()[0] or 0
+    windows = _with_few(own, asked, total, ["id", "digest"], "inner").select("id", "digest", "text", "runs", "picks")
+    windows, _ = stage(windows.mapInArrow(_window_rows(min_words), "id long, tag long, window long, start int, own boolean"), "word_windows")
+    later = _on_repeated(windows.filter("NOT own"), "window", F.min(F.struct("id", "tag")).alias("first"))
+    later = later.filter(F.struct("id", "tag") > F.col("first"))
+    met = windows.filter("own").select("id", "tag", "start").union(later.select("id", "tag", "start"))
     met = met.groupBy("id", "tag").agg(F.collect_list("start").alias("starts"))
     return met.mapInArrow(_word_runs(min_words), "id long, tag long, spans array<struct<first: long, end: long>>")
 
@@ -333,11 +405,15 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
         F.md5(F.coalesce("text", F.lit(""))).alias("digest"),
         "text",
     )
-    runs, n = stage(later_copies(rows, min_words), "runs")
-    runs = F.broadcast(runs) if n <= BROADCAST_DOCS else runs
-    spans, n = stage(later_words(rows, min_words), "spans")
-    spans = F.broadcast(spans) if n <= BROADCAST_DOCS else spans
+    copied = rows.groupBy("digest").agg(F.min("id").alias("original"), F.max("id").alias("last"))
+    copied, n = stage(copied.filter("original < last").drop("last"), "copied")
+    rows = _with_few(rows, copied, n, ["digest"], "left").withColumn("copy", F.coalesce(F.col("id") > F.col("original"), F.lit(False)))
+    originals = rows.filter("NOT copy")
+    runs, _ = stage(later_copies(originals, min_words), "runs")
+    n = runs.agg(F.sum(F.size("runs"))).first()[0] or 0
+    spans, _ = stage(later_words(_with_few(originals, runs, n, ["id", "digest"], "left"), min_words), "spans")
+    n_spans = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
     tag = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
-    out = rows.join(runs, ["id", "digest"], "left").withColumn("tag", tag).join(spans, ["id", "tag"], "left")
-    out = out.select("doc_id", "text", "runs", "spans")
-    return out.mapInArrow(_rebuild, "doc_id long, n_lines long, n_deleted long, words_deleted long, text string")
+    out = _with_few(rows, runs, n, ["id", "digest"], "left").withColumn("tag", tag)
+    out = _with_few(out, spans, n_spans, ["id", "tag"], "left").select("doc_id", "text", "copy", "runs", "spans")
+    return out.mapInArrow(_rebuild(min_words), "doc_id long, n_lines long, n_deleted long, words_deleted long, text string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 
 from tallymart.llm import _text, decontaminate, line_dedup, near_dedup
 from tallymart.llm._graph import components, union_find
-from tests.llm.data import SPACED, WORDS, documents, lower, shingles, texts
+from tests.llm.data import SPACED, WORDS, documents, lower, prose, shingles, texts
 
 
 def expected_components(rows, width, percent):
@@ -92,14 +93,46 @@ def expected_runs(rows, least):
     return seq, gone
 
 
-def test_repeated_line_runs_equal_brute_force(spark):
+def expected_words(rows, least):
+    """Places of the words that go, by document (doc_id and digest): those in windows that repeat an earlier one."""
+    split = {}
+    for i, t in rows:
+        split[-(1 << 63) if i is None else i, hashlib.md5((t or "").encode()).hexdigest()] = SPACED.findall(lower(t or ""))
+    places = collections.defaultdict(list)
+    for key in sorted(split):
+        for a in range(len(split[key]) - least + 1):
+            places[tuple(split[key][a : a + least])].append((key, a))
+    gone = collections.defaultdict(set)
+    for found in places.values():
+        for key, a in found[1:]:
+            if key != found[0][0] or a >= found[0][1] + least:
+                gone[key] |= set(range(a, a + least))
+    return split, gone
+
+
+def run_rows():
     passage = "\n".join(f"line {i} of a passage that stands in several documents and is long" for i in range(6))
-    rows = texts() + [
+    return texts() + [
         (800, f"start\n{passage}\nend"), (801, f"{passage}\n\n  \nother"), (802, "\n".join(passage.split("\n")[:4]) + "\nmore"),
         (803, "short line\nshort line"), (804, "\n".join(["same line again and again here"] * 40)),
         (805, "a\n" + "\n".join(["same line again and again here"] * 3)),
-    ]
-    seq, gone = expected_runs(rows, 50)
+    ]
+
+
+def test_repeated_line_runs_equal_brute_force(spark):
+    rows = run_rows()
+    _, gone = expected_runs(rows, 50)
+    table = [(-(1 << 63) if i is None else i, hashlib.md5((t or "").encode()).hexdigest(), t) for i, t in rows]
+    found = line_dedup.later_copies(spark.createDataFrame(table, "id long, digest string, text string"), 50).collect()
+    got = {(r.id, r.digest): {x for run in r.runs for x in range(run.line, run.line + run.length)} for r in found}
+    assert got == {key: lines for key, lines in gone.items() if lines}
+    assert all(a.line + a.length < b.line for r in found for a, b in zip(r.runs, r.runs[1:], strict=False))
+    assert gone[(801, hashlib.md5(rows[-5][1].encode()).hexdigest())] == set(range(6))
+
+
+def test_repeated_words_equal_brute_force(spark):
+    rows = run_rows()
+    split, gone = expected_words(rows, 50)
     got = line_dedup.drop_repeated_runs(documents(spark, rows)).collect()
     assert len(got) == len(rows)
     by_id = collections.defaultdict(list)
@@ -108,31 +141,39 @@ def test_repeated_line_runs_equal_brute_force(spark):
     for r in got:
         if len(by_id[r.doc_id]) > 1 and r.doc_id is None:
             continue
-        t = by_id[r.doc_id][0]
-        key = (r.doc_id, hashlib.md5((t or "").encode()).hexdigest())
-        lines, lost = seq[key], gone[key]
-        assert (r.n_lines, r.n_deleted, r.words_deleted) == (len(lines), len(lost), sum(lines[i][1] for i in lost)), r.doc_id
-        kept = [x for i, (x, _) in enumerate(lines) if i not in lost]
-        assert [lower(x) for x in r.text.split("\n") if SPACED.search(x)] == kept
-        if not lost:
-            assert r.text == (t or "")
-    assert gone[(801, hashlib.md5(rows[-5][1].encode()).hexdigest())] == set(range(6))
+        t = by_id[r.doc_id][0] or ""
+        key = (r.doc_id, hashlib.md5(t.encode()).hexdigest())
+        kept = [x for n, x in enumerate(split[key]) if n not in gone[key]]
+        assert SPACED.findall(lower(r.text)) == kept and r.words_deleted == len(gone[key]), r.doc_id
+        before, after = ([x for x in v.split("\n") if SPACED.search(x)] for v in (t, r.text))
+        assert (r.n_lines, r.n_deleted) == (len(before), len(before) - len(after))
+        if not gone[key]:
+            assert r.text == t
     assert line_dedup.drop_repeated_runs(documents(spark, [])).count() == 0
 
 
-def expected_words(rows, least):
-    """Words left of documents that are one long line each."""
-    split = {i: t.split(" ") for i, t in rows}
-    places = collections.defaultdict(list)
-    for i in sorted(split):
-        for a in range(len(split[i]) - least + 1):
-            places[tuple(split[i][a : a + least])].append((i, a))
-    gone = collections.defaultdict(set)
-    for found in places.values():
-        for i, a in found[1:]:
-            if i != found[0][0] or a >= found[0][1] + least:
-                gone[i] |= set(range(a, a + least))
-    return {i: [x for n, x in enumerate(v) if n not in gone[i]] for i, v in split.items()}
+def test_later_copies_of_a_text_go_if_they_are_long(spark):
+    rng = random.Random(41)
+    long, short = prose(rng, 50), prose(rng, 49)
+    rows = [(9, long), (3, long), (3, long), (5, short), (4, short), (None, "x"), (8, None), (7, "")]
+    got = collections.Counter((r.doc_id, r.text) for r in line_dedup.drop_repeated_runs(documents(spark, rows)).collect())
+    assert got == collections.Counter([(9, ""), (3, long), (3, long), (5, short), (4, short), (None, "x"), (8, ""), (7, "")])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_cut_into_lines_anew_equal_brute_force(spark, seed):
+    """Few words and shared passages, so that runs begin, end and overlap everywhere."""
+    rng = random.Random(seed)
+    passages = [[f"w{rng.randrange(30)}" for _ in range(rng.randrange(8, 60))] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        words = [x for _ in range(rng.randrange(1, 5)) for x in (rng.choice(passages) if rng.random() < 0.7 else [f"v{rng.randrange(9)}" for _ in range(20)])]
+        rows.append((i, "".join(x + rng.choice([" "] * 8 + ["\n", "\n\n"]) for x in words)))
+    split, gone = expected_words(rows, 20)
+    assert any(gone.values())
+    for r in line_dedup.drop_repeated_runs(documents(spark, rows), 20).collect():
+        key = (r.doc_id, hashlib.md5(rows[r.doc_id][1].encode()).hexdigest())
+        assert r.text.split() == [x for n, x in enumerate(split[key]) if n not in gone[key]], r.doc_id
 
 
 def test_passages_inside_long_lines_equal_brute_force(spark):
@@ -144,7 +185,8 @@ def test_passages_inside_long_lines_equal_brute_force(spark):
         own("m", 50), own("n", 65), own("n", 65), " ".join(["same"] * 180),
     ]
     rows = list(enumerate(bodies))
-    left = expected_words(rows, 50)
+    split, gone = expected_words(rows, 50)
+    left = {i: [x for n, x in enumerate(t.split(" ")) if n not in gone[key]] for (i, t), key in zip(rows, split, strict=True)}
     got = {r.doc_id: r for r in line_dedup.drop_repeated_runs(documents(spark, rows)).collect()}
     for i, text in rows:
         r = got[i]
@@ -155,7 +197,7 @@ def test_passages_inside_long_lines_equal_brute_force(spark):
     assert [got[i].words_deleted for i in (1, 3, 5, 9)] == [50, 0, 100, 65]
 
 
-def test_a_passage_inside_a_long_line_goes_wherever_the_earlier_one_has_its_line_ends(spark):
+def test_a_passage_goes_wherever_it_has_its_line_ends(spark):
     own = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
     first, second = own("p", 30), own("Q", 40)
     rows = [
@@ -166,7 +208,7 @@ def test_a_passage_inside_a_long_line_goes_wherever_the_earlier_one_has_its_line
     assert got[1].text == rows[0][1]
     assert got[2].text == f"é\n\n{own('c', 9)}  {own('d', 9)}\n \nlast é" and (got[2].n_deleted, got[2].words_deleted) == (0, 70)
     assert got[3].text == f"start\n{own('e', 60)} \nlast" and got[3].words_deleted == 70
-    assert got[4].text == rows[3][1]  # short lines go as a whole, in runs of whole lines
+    assert got[4].text == own("f", 10) + " \n" and (got[4].n_deleted, got[4].words_deleted) == (1, 70)
 
 
 ITEMS = [(1, " ".join(f"q{i}" for i in range(20))), (2, "Alpha beta, gamma"), (3, None), (4, "..."), (5, " ".join(f"q{i}" for i in range(5, 18))), (2, "delta"), (None, "omega omega")]
