@@ -40,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ from tallymart.llm import _text
 from tallymart.session import stage
 
 MIN_WORDS = 50
-BROADCAST_ROWS = 400_000  # of a few numbers each
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -56,11 +57,29 @@ _LINES = np.ones(256, dtype=bool)
 _LINES[10] = False
 
 
-def _lines(texts: _text.Texts, w: _text.Words):
+def _word_sums(texts: _text.Texts) -> np.ndarray:
+    """How many words begin before each byte."""
+    inside = _text.SPACE_SEPARATED[texts.data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    bounds = texts.offsets[:-1][texts.offsets[:-1] < len(inside)]
+    first[bounds] = inside[bounds]
+    return np.r_[0, np.cumsum(first)]
+
+
+def _line_counts(texts: _text.Texts) -> np.ndarray:
+    """How many lines of each text hold a word."""
+    sums = _word_sums(texts)
+    ends = np.unique(np.r_[np.flatnonzero(~_LINES[texts.data]), texts.offsets[1:]])
+    some = np.diff(np.r_[0, sums[ends]]) > 0
+    return np.bincount(np.searchsorted(texts.offsets[1:], ends[some] - 1, side="right"), minlength=texts.rows)
+
+
+def _lines(texts: _text.Texts):
     """Lines that hold a word: their document, byte range, key and number of words."""
     lines = _text.words(texts, _LINES)
-    of = np.searchsorted(lines.end, w.start, side="right")
-    counts = np.bincount(of, minlength=len(lines.key))
+    sums = _word_sums(texts)
+    counts = sums[lines.end] - sums[lines.start]
     some = counts > 0
     return lines.doc[some], lines.start[some], lines.end[some], lines.key[some], counts[some]
 
@@ -84,7 +103,7 @@ def _line_rows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in _text.steps(batch.column(2)):
-                doc, _, _, key, counts = _lines(texts, _text.words(texts, _text.SPACE_SEPARATED))
+                doc, _, _, key, counts = _lines(texts)
                 forward, backward = _windows(doc, counts, least)
                 ends = np.cumsum(np.bincount(doc, minlength=texts.rows))
                 bounds = pa.array(np.r_[0, ends].astype(np.int32))
@@ -129,7 +148,7 @@ def _gone_words(texts: _text.Texts, w: _text.Words, runs: pa.Array) -> np.ndarra
     found = runs.to_pylist()
     if not any(found):
         return None
-    doc, _, end, _, _ = _lines(texts, w)
+    doc, _, end, _, _ = _lines(texts)
     n_lines = np.bincount(doc, minlength=texts.rows)
     return _gone_lines(found, n_lines)[np.searchsorted(end, w.start, side="right")]
 
@@ -206,12 +225,12 @@ def _window_rows(least: int):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(at), ids), pa.int64()),
-                            pa.array(np.full(len(at), int(digest[:15], 16)), pa.int64()),
+                            pa.array(np.full(len(at), digest), pa.int64()),
                             pa.array(key[at].view(np.int64)),
                             pa.array(start[at], pa.int32()),
                             pa.array(own),
                         ],
-                        ["id", "tag", "window", "start", "own"],
+                        ["id", "digest", "window", "start", "own"],
                     )
 
     return run
@@ -229,7 +248,7 @@ def _word_runs(least: int):
                 first, last = x[np.r_[0, cut]], x[np.r_[cut, len(x)] - 1] + least
                 runs.append([{"first": a, "end": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)])
             kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(runs, kind)], ["id", "tag", "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(runs, kind)], ["id", "digest", "spans"])
 
     return run
 
@@ -248,60 +267,83 @@ def _joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(runs, kind)], ["id", "digest", "runs"])
 
 
+def _shortened(texts_column: pa.Array, copy: np.ndarray, runs: list, spans: list, least: int):
+    """Texts without what goes, and their numbers of lines and words that went."""
+    out, lines_gone, words_gone = texts_column.to_pylist(), [], []
+    for texts in _text.steps(texts_column):
+        w = _text.words(texts, _text.SPACE_SEPARATED)
+        doc, start, end, _, counts = _lines(texts)
+        line = np.searchsorted(end, w.start, side="right")
+        n_lines = np.bincount(doc, minlength=texts.rows)
+        base = np.cumsum(n_lines) - n_lines
+        n_words = np.bincount(w.doc, minlength=texts.rows)
+        word_base = np.cumsum(n_words) - n_words
+        own = slice(texts.first, texts.first + texts.rows)
+        whole = copy[own] & (n_words >= least)
+        word_gone = (_gone_lines(runs[own], n_lines) | whole[doc])[line]
+        for row, found in enumerate(spans[own]):
+            for x in found or ():
+                word_gone[word_base[row] + x["first"] : word_base[row] + x["end"]] = True
+        lost = np.bincount(line[word_gone], minlength=len(doc))
+        gone = lost == counts
+        for row in np.unique(w.doc[word_gone]).tolist():
+            raw, parts, at = out[texts.first + row].encode(), [], 0
+            offset = texts.offsets[row]
+            for i in (np.flatnonzero(lost[base[row] : base[row] + n_lines[row]]) + base[row]).tolist():
+                if gone[i]:
+                    parts.append(raw[at : int(start[i] - offset)])
+                    at = int(end[i] - offset) + 1  # with its line break
+                    continue
+                a, b = np.searchsorted(line, [i, i + 1])
+                edge = np.diff(np.r_[False, word_gone[a:b], False].astype(np.int8))
+                for x, y in zip((np.flatnonzero(edge == 1) + a).tolist(), (np.flatnonzero(edge == -1) + a).tolist(), strict=True):
+                    parts.append(raw[at : int(w.start[x] - offset)])  # up to the next word that stays
+                    at = int((w.start[y] if y < b else end[i]) - offset)
+            out[texts.first + row] = b"".join([*parts, raw[at:]]).decode()
+        lines_gone.append(np.bincount(doc[gone], minlength=texts.rows))
+        words_gone.append(np.bincount(doc, lost, minlength=texts.rows).astype(np.int64))
+    return out, np.concatenate(lines_gone), np.concatenate(words_gone)
+
+
 def _rebuild(least: int):
     """Texts without the deleted runs of lines and of words; later copies without all lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             texts_column = batch.column(1).fill_null("")
-            for texts in _text.steps(texts_column):
-                w = _text.words(texts, _text.SPACE_SEPARATED)
-                doc, start, end, _, counts = _lines(texts, w)
-                line = np.searchsorted(end, w.start, side="right")
-                n_lines = np.bincount(doc, minlength=texts.rows)
-                base = np.cumsum(n_lines) - n_lines
-                n_words = np.bincount(w.doc, minlength=texts.rows)
-                word_base = np.cumsum(n_words) - n_words
-                copy, runs, spans = (batch.column(i).slice(texts.first, texts.rows) for i in (2, 3, 4))
-                whole = copy.to_numpy(zero_copy_only=False) & (n_words >= least)
-                word_gone = (_gone_lines(runs.to_pylist(), n_lines) | whole[doc])[line]
-                for row, found in enumerate(spans.to_pylist()):
-                    for x in found or ():
-                        word_gone[word_base[row] + x["first"] : word_base[row] + x["end"]] = True
-                lost = np.bincount(line[word_gone], minlength=len(doc))
-                gone = lost == counts
-                out = texts_column.slice(texts.first, texts.rows).to_pylist()
-                for row in np.unique(w.doc[word_gone]).tolist():
-                    raw, parts, at = out[row].encode(), [], 0
-                    offset = texts.offsets[row]
-                    for i in (np.flatnonzero(lost[base[row] : base[row] + n_lines[row]]) + base[row]).tolist():
-                        if gone[i]:
-                            parts.append(raw[at : int(start[i] - offset)])
-                            at = int(end[i] - offset) + 1  # with its line break
-                            continue
-                        a, b = np.searchsorted(line, [i, i + 1])
-                        edge = np.diff(np.r_[False, word_gone[a:b], False].astype(np.int8))
-                        for x, y in zip((np.flatnonzero(edge == 1) + a).tolist(), (np.flatnonzero(edge == -1) + a).tolist(), strict=True):
-                            parts.append(raw[at : int(w.start[x] - offset)])  # up to the next word that stays
-                            at = int((w.start[y] if y < b else end[i]) - offset)
-                    out[row] = b"".join([*parts, raw[at:]]).decode()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(texts.first, texts.rows),
-                        pa.array(n_lines, pa.int64()),
-                        pa.array(np.bincount(doc[gone], minlength=texts.rows), pa.int64()),
-                        pa.array(np.bincount(doc, lost, minlength=texts.rows).astype(np.int64)),
-                        pa.array(out, pa.string()),
-                    ],
-                    ["doc_id", "n_lines", "n_deleted", "words_deleted", "text"],
+            n_lines = np.concatenate([_line_counts(texts) for texts in _text.steps(texts_column)])
+            n_deleted, words_deleted = np.zeros((2, batch.num_rows), np.int64)
+            out = texts_column
+            copy, runs, spans = batch.columns[2:]
+            copy = copy.to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(copy | runs.is_valid().to_numpy(zero_copy_only=False) | spans.is_valid().to_numpy(zero_copy_only=False))
+            if len(at):
+                part = pa.array(at)
+                texts, n_deleted[at], words_deleted[at] = _shortened(
+                    texts_column.take(part), copy[at], runs.take(part).to_pylist(), spans.take(part).to_pylist(), least
                 )
+                mask = np.zeros(batch.num_rows, bool)
+                mask[at] = True
+                out = pc.replace_with_mask(texts_column, pa.array(mask), pa.array(texts, texts_column.type))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_deleted), pa.array(words_deleted), out],
+                ["doc_id", "n_lines", "n_deleted", "words_deleted", "text"],
+            )
 
     return run
 
 
-def _with_few(rows: DataFrame, table: DataFrame, n: int, on: list[str], how: str) -> DataFrame:
-    """A join with ``table``, whose ``n`` rows are broadcast if there are few."""
-    return rows.join(F.broadcast(table) if n <= BROADCAST_ROWS else table, on, how)
+def _with_few(rows: DataFrame, table: DataFrame, size: int, on: list[str], how: str) -> DataFrame:
+    """A join with ``table`` of about ``size`` bytes, which is broadcast if it is small."""
+    return rows.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, on, how)
+
+
+def _size(table: DataFrame, *lists: str) -> int:
+    """Bytes of rows of a few numbers and of the lists of structs or numbers."""
+    entries = sum((F.coalesce(F.size(x), F.lit(0)) for x in lists), F.lit(0))
+    return table.agg(F.sum(entries * 32 + 100)).first()[0] or 0
 
 
 def _on_repeated(rows: DataFrame, key: str, *values) -> DataFrame:
@@ -342,7 +384,7 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
     """``(id, digest, runs)``: runs of lines ``(line, length)`` that repeat earlier ones."""
     lines, _ = stage(
         docs.select("id", "digest", "text").mapInArrow(
-            _line_rows(min_words), "id long, digest string, keys array<long>, forward array<int>, backward array<int>"
+            _line_rows(min_words), "id long, digest long, keys array<long>, forward array<int>, backward array<int>"
         ),
         "lines",
     )
@@ -374,27 +416,25 @@ def later_copies(docs: DataFrame, min_words: int) -> DataFrame:
     apart = (F.col("id") != F.col("first.id")) | (F.col("digest") != F.col("first.digest"))
     met = met.filter(apart | (F.col("line") >= F.col("first.line") + F.col("length")))
     met = met.groupBy("id", "digest").agg(F.collect_set(F.struct("line", "length")).alias("runs"))
-    return met.mapInArrow(_joined_runs, "id long, digest string, runs array<struct<line: int, length: int>>")
+    return met.mapInArrow(_joined_runs, "id long, digest long, runs array<struct<line: int, length: int>>")
 
 
 def later_words(docs: DataFrame, min_words: int) -> DataFrame:
-    """``(id, tag, spans)``: runs of words ``(first, end)`` whose windows repeat earlier ones.
+    """``(id, digest, spans)``: runs of words ``(first, end)`` whose windows repeat earlier ones.
 
-    ``docs(id, digest, text, runs)``: windows inside the runs of lines are left out. ``tag`` is
-    the beginning of the digest as a number.
+    ``docs(id, digest, text, runs)``: windows inside the runs of lines are left out.
     """
     own = docs.select("id", "digest", "text", "runs")
-    picks, _ = stage(own.mapInArrow(_pick_rows(min_words), "id long, digest string, picks array<long>"), "picks")
+    picks, _ = stage(own.mapInArrow(_pick_rows(min_words), "id long, digest long, picks array<long>"), "picks")
     flat = picks.select("id", "digest", F.explode("picks").alias("pick"))
     asked, _ = stage(_on_repeated(flat, "pick").groupBy("id", "digest").agg(F.collect_set("pick").alias("picks")), "asked")
-    total = asked.agg(F.sum(F.size("picks"))).first()[0] or 0
-    windows = _with_few(own, asked, total, ["id", "digest"], "inner").select("id", "digest", "text", "runs", "picks")
-    windows, _ = stage(windows.mapInArrow(_window_rows(min_words), "id long, tag long, window long, start int, own boolean"), "word_windows")
-    later = _on_repeated(windows.filter("NOT own"), "window", F.min(F.struct("id", "tag")).alias("first"))
-    later = later.filter(F.struct("id", "tag") > F.col("first"))
-    met = windows.filter("own").select("id", "tag", "start").union(later.select("id", "tag", "start"))
-    met = met.groupBy("id", "tag").agg(F.collect_list("start").alias("starts"))
-    return met.mapInArrow(_word_runs(min_words), "id long, tag long, spans array<struct<first: long, end: long>>")
+    windows = _with_few(own, asked, _size(asked, "picks") // 4, ["id", "digest"], "inner").select("id", "digest", "text", "runs", "picks")
+    windows, _ = stage(windows.mapInArrow(_window_rows(min_words), "id long, digest long, window long, start int, own boolean"), "word_windows")
+    later = _on_repeated(windows.filter("NOT own"), "window", F.min(F.struct("id", "digest")).alias("first"))
+    later = later.filter(F.struct("id", "digest") > F.col("first"))
+    met = windows.filter("own").select("id", "digest", "start").union(later.select("id", "digest", "start"))
+    met = met.groupBy("id", "digest").agg(F.collect_list("start").alias("starts"))
+    return met.mapInArrow(_word_runs(min_words), "id long, digest long, spans array<struct<first: long, end: long>>")
 
 
 def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -402,18 +442,18 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     rows = docs.select(
         "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
-        F.md5(F.coalesce("text", F.lit(""))).alias("digest"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("md5"),
         "text",
     )
-    copied = rows.groupBy("digest").agg(F.min("id").alias("original"), F.max("id").alias("last"))
+    copied = rows.groupBy("md5").agg(F.min("id").alias("original"), F.max("id").alias("last"))
     copied, n = stage(copied.filter("original < last").drop("last"), "copied")
-    rows = _with_few(rows, copied, n, ["digest"], "left").withColumn("copy", F.coalesce(F.col("id") > F.col("original"), F.lit(False)))
+    digest = F.conv(F.substring("md5", 1, 15), 16, 10).cast("long")
+    rows = _with_few(rows, copied, 100 * n, ["md5"], "left").select(
+        "doc_id", "id", digest.alias("digest"), "text", F.coalesce(F.col("id") > F.col("original"), F.lit(False)).alias("copy")
+    )
     originals = rows.filter("NOT copy")
     runs, _ = stage(later_copies(originals, min_words), "runs")
-    n = runs.agg(F.sum(F.size("runs"))).first()[0] or 0
-    spans, _ = stage(later_words(_with_few(originals, runs, n, ["id", "digest"], "left"), min_words), "spans")
-    n_spans = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    tag = F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")
-    out = _with_few(rows, runs, n, ["id", "digest"], "left").withColumn("tag", tag)
-    out = _with_few(out, spans, n_spans, ["id", "tag"], "left").select("doc_id", "text", "copy", "runs", "spans")
+    spans = later_words(_with_few(originals, runs, _size(runs, "runs"), ["id", "digest"], "left"), min_words)
+    found, _ = stage(runs.join(spans, ["id", "digest"], "full"), "found")
+    out = _with_few(rows, found, _size(found, "runs", "spans"), ["id", "digest"], "left").select("doc_id", "text", "copy", "runs", "spans")
     return out.mapInArrow(_rebuild(min_words), "doc_id long, n_lines long, n_deleted long, words_deleted long, text string")
