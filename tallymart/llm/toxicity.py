@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymart.llm import _text
 
@@ -181,16 +182,18 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> Mo
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns of ``docs`` and ``toxicity``, from 0 to 1, of its ``text``."""
-    kept = [c for c in docs.columns if c != "toxicity"]
+    kept = docs.drop("toxicity")
+    at, names = kept.columns.index("text"), kept.columns
+    kept = kept.toDF(*(f"c{i}" for i in range(len(names))))  # mapInArrow can't name columns with dots
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("text"))
+            column = batch.column(at)
             scores = [np.zeros(t.rows) if model is None else model.scores(t) for t in _text.steps(column)]
             scores = pa.array(np.concatenate(scores) if scores else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "toxicity"])
 
-    fields = docs.select(kept).schema.add("toxicity", "double")
-    return docs.select(kept).mapInArrow(run, fields)
+    fields = StructType(list(kept.schema)).add("toxicity", "double")
+    return kept.mapInArrow(run, fields).toDF(*names, "toxicity")
