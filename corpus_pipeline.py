@@ -11,7 +11,7 @@ are carried along.
 toxicity    documents scored toxic go (model learned from ``labels``)
 near_dedup  one document of each group of near-duplicates stays (five-word
             shingles, similarity 0.8), one whose doc_id is its own before others; of
-            rows left that share a doc_id one stays, told by a hash of its text
+            rows equal in doc_id and text one stays, different texts stay all
 decontam    documents of which a twentieth or more is benchmark text go
 mixture     documents stay as often as their source's target asks: 0 to 2 times
 sharding    ``(doc_id, size, text_crc32, shard, slot)`` of every row
@@ -40,6 +40,10 @@ def _free(docs: DataFrame, name: str) -> str:
     return name
 
 
+def _columns(docs: DataFrame) -> list:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a key column, and its name."""
     key, mark = _free(docs, "_key"), _free(docs, "_shared")
@@ -54,7 +58,7 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
         return docs.withColumn(key, own), key
     of_both = F.xxhash64(F.col("doc_id"), text).bitwiseAND(low) + (low + 1)
     marked = docs.join(_small(shared, n), "doc_id", "left")
-    return marked.select(*docs.columns, F.when(F.col(mark), of_both).otherwise(own).alias(key)), key
+    return marked.select(*_columns(docs), F.when(F.col(mark), of_both).otherwise(own).alias(key)), key
 
 
 def _narrow(keyed: DataFrame, key: str, *columns: str) -> DataFrame:
@@ -72,32 +76,31 @@ def _without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs.withColumn("toxicity", F.lit(None)), model)
-    return scored.filter(F.col("toxicity") < toxicity.THRESHOLD).select(docs.columns)
+    held = _free(docs, "toxicity")  # a column of that name keeps its values
+    scored = toxicity.score(docs.withColumnRenamed("toxicity", held), model)
+    kept = scored.filter(F.col("toxicity") < toxicity.THRESHOLD).drop("toxicity")
+    return kept.withColumnRenamed(held, "toxicity").select(*_columns(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed, key = _keyed(docs)
     found = near_dedup.near_duplicates(_narrow(keyed, key), width=5, percent=80)
     kept = _without(keyed, key, found.filter("NOT kept"))
-    row = F.coalesce(F.col("doc_id").cast("long"), F.col(key))
-    again, n = stage(keyed.groupBy(row.alias("doc_id")).count().filter("count > 1").select(F.col("doc_id").alias(_free(keyed, "_row"))), "again")
+    again, n = stage(keyed.groupBy(key).count().filter("count > 1").select(key), "again")
     if not n:
-        return kept.select(docs.columns)
-    name = again.columns[0]
-    kept = kept.withColumn(name, row)
-    once = kept.join(_small(again, n), name, "left_anti")
-    rest = F.to_json(F.struct(*(c for c in docs.columns if c != "text"), F.lit(0)))
-    first = kept.join(_small(again, n), name, "left_semi").groupBy(name)
-    first = first.agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), rest)).alias(name + "_first"))
-    return once.select(docs.columns).union(first.select(f"{name}_first.*"))
+        return kept.select(*_columns(docs))
+    once = kept.join(_small(again, n), key, "left_anti")
+    rest = F.to_json(F.struct(*(c for c, name in zip(_columns(docs), docs.columns, strict=True) if name != "text"), F.lit(0)))
+    first = kept.join(_small(again, n), key, "left_semi").groupBy(key)
+    first = first.agg(F.min_by(F.struct(*_columns(docs)), F.struct(F.xxhash64("text"), rest)).alias("first"))
+    return once.select(*_columns(docs)).union(first.select("first.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed, key = _keyed(docs)
     index = decontaminate.positional_index(_narrow(keyed, key))
     found = decontaminate.contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(keyed, key, found.filter(decontaminate.is_contaminated())).select(docs.columns)
+    return _without(keyed, key, found.filter(decontaminate.is_contaminated())).select(*_columns(docs))
 
 
 def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -105,9 +108,9 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     mixed = mixture.mix(_narrow(keyed, key, "source")).filter("copies > 0")
     # Equal rows were merged before; should any be left, each gets the most copies.
     copies, n = stage(mixed.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").cast("int").alias("copies")), "copies")
-    copies = _small(copies.select(key, F.col("copies").alias(f"{key}_copies")), n)
-    rows = keyed.join(copies, key)
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), f"{key}_copies"))).select(docs.columns)
+    number = _free(keyed, "_copies")
+    rows = keyed.join(_small(copies.select(key, F.col("copies").alias(number)), n), key)
+    return rows.select(*_columns(docs), F.explode(F.sequence(F.lit(1), number)).alias(_free(docs, "_copy"))).select(*_columns(docs))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
