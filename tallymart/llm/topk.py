@@ -80,10 +80,13 @@ class Best:
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         """Merge ``score[i, j]``, of query ``rows[i]`` and vector ``ids[j]``; -inf is none."""
         if score.shape[1] > self.k:
-            # One number for a score and its place by id, so that ties are cut rightly.
-            place = np.empty(len(ids), np.int64)
-            place[np.argsort(ids, kind="stable")] = np.arange(len(ids))
-            top = np.argpartition(-(score * len(ids) - place), self.k - 1, axis=1)[:, : self.k]
+            # What beats the k-th score stays; ties with it fill up from the smallest id.
+            order = np.argsort(ids, kind="stable")
+            score, ids = score[:, order], ids[order]
+            last = np.partition(score, -self.k, axis=1)[:, -self.k, None]
+            above, tied = score > last, score == last
+            room = self.k - above.sum(axis=1, keepdims=True)
+            top = np.nonzero(above | (tied & (np.cumsum(tied, axis=1) <= room)))[1].reshape(-1, self.k)
             score, ids = np.take_along_axis(score, top, axis=1), ids[top]
         else:
             ids = np.broadcast_to(ids, score.shape)
