@@ -1,7 +1,7 @@
 """Near-duplicate documents by SuperMinHash signatures, banding, verification and union-find.
 
 1. Every whole text becomes its set of word shingles. Each shingle ranks the signature's
-   slots by a permutation of its own; a slot keeps the lowest rank, ties broken by a random
+   slots by a random permutation of its own; a slot keeps the lowest rank, ties broken by a random
    fraction. Ranks are handed out level by level, and a document stops as soon as no deeper
    level can win a slot.
 2. Documents with equal sets are one class, so copies cost one row from here on.
@@ -16,7 +16,8 @@
 Two texts at the threshold miss each other in all bands with a probability below ``MISS``
 (for 0.85 36 bands of 7 slots, for 0.8 42 of 6); more similar texts less often still.
 
-Nulls and empty texts are linked with nothing. Rows that share a doc_id count as one
+Nulls and empty texts are linked with nothing. A very long text is one set of all its
+shingles and a row like others. Rows that share a doc_id count as one
 document. Rows without doc_id take part; if no member of a component has an id, its
 component_id is null. Other columns of the input are not read.
 """
@@ -35,6 +36,7 @@ from tallymart.llm._graph import components, union_find
 from tallymart.session import stage
 
 SLOTS = 256
+PART = 1 << 14  # elements whose permutations are held at once, a byte a slot
 MISS = 1e-5
 BLOCK = 72
 BROADCAST_ROWS = 1_000_000  # of 8 and 40 bytes
@@ -80,28 +82,37 @@ def shingle_sets(texts: _text.Texts, width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def super_minhash(sets: np.ndarray, counts: np.ndarray, slots: int = SLOTS) -> np.ndarray:
-    """One row of slot values per set; ``slots`` is a power of two. Empty sets keep the top value.
+    """One row of slot values per set; ``slots`` is at most 256. Empty sets keep the top value.
 
-    Level ``j`` of element ``x`` goes to slot ``(a + j*b) mod slots`` with ``a`` and odd
-    ``b`` from x, a permutation of the slots; its value is j and a random fraction.
+    Every element draws a permutation of the slots by Fisher-Yates, a place a level; its value
+    at the slot of level ``j`` is j and a random fraction. Elements go in parts of ``PART``, so
+    permutations take bounded memory however long a text is.
     """
     doc = np.repeat(np.arange(len(counts)), counts)
     best = np.full((len(counts), slots), np.uint64(2**64 - 1))
-    flat = best.reshape(-1)
-    seed = _text.mix(sets ^ _C[1])
-    at = (seed >> np.uint64(40)).astype(np.int64)
-    step = ((seed >> np.uint64(20)).astype(np.int64) & (slots - 1)) | 1
+    for a in range(0, len(sets), PART):
+        _rank(best, doc[a : a + PART], _text.mix(sets[a : a + PART] ^ _C[1]))
+    return best
+
+
+def _rank(best: np.ndarray, doc: np.ndarray, seed: np.ndarray) -> None:
+    """Lower the slot values of the documents ``doc`` by the elements of these seeds."""
+    slots, flat = best.shape[1], best.reshape(-1)
+    drawn = np.tile(np.arange(slots, dtype=np.uint8), len(doc))
+    row = np.arange(0, len(drawn), slots)
+    first, last = (doc[0], doc[-1] + 1) if len(doc) else (0, 0)
     for level in range(slots):
         if not len(doc):
             break
-        value = (_text.mix(seed + np.full(1, level, np.uint64) * _C[0]) >> np.uint64(16)) | (np.uint64(level) << np.uint64(48))
-        np.minimum.at(flat, doc * slots + (at & (slots - 1)), value)
-        at += step
-        open_ = best.max(axis=1) >= np.uint64(level + 1) << np.uint64(48)
-        active = open_[doc]
+        word = _text.mix(seed + np.full(1, level, np.uint64) * _C[0])
+        other = row + level + ((word & np.uint64(0xFFFF)).astype(np.int64) * (slots - level) >> 16)
+        slot = drawn[other]
+        drawn[other] = drawn[row + level]
+        np.minimum.at(flat, doc * slots + slot, (word >> np.uint64(16)) | (np.uint64(level) << np.uint64(48)))
+        open_ = best[first:last].max(axis=1) >= np.uint64(level + 1) << np.uint64(48)
+        active = open_[doc - first]
         if not active.all():
-            doc, seed, at, step = doc[active], seed[active], at[active], step[active]
-    return best
+            doc, seed, row = doc[active], seed[active], row[active]
 
 
 def banding(percent: int) -> tuple[int, int]:

@@ -61,6 +61,30 @@ def test_signature_estimates_similarity():
     assert (few[:2] < 2**63).all() and (few[2] == 2**64 - 1).all()
 
 
+def test_short_sets_at_the_threshold_are_missed_as_rarely_as_stated():
+    pairs = 25_000
+    for percent, union, shared in ((80, 5, 4), (85, 7, 6), (80, 10, 8)):
+        bands, rows = near_dedup.banding(percent)
+        x = np.random.default_rng(union).integers(0, 2**63, (pairs, union), dtype=np.uint64)
+        own = (union - shared) // 2
+        sides = (x[:, : shared + own], np.hstack([x[:, :shared], x[:, shared + own :]]))
+        a, b = (
+            near_dedup.super_minhash(np.ascontiguousarray(s).reshape(-1), np.full(pairs, s.shape[1]))[:, : bands * rows] for s in sides
+        )
+        found = (a == b).reshape(pairs, bands, rows).all(axis=2).any(axis=1)
+        assert (~found).sum() <= 2, (percent, union)
+
+
+def test_each_element_draws_a_permutation(monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART", 3)
+    x = np.random.default_rng(4).integers(0, 2**63, 10, dtype=np.uint64)
+    alone = near_dedup.super_minhash(x, np.ones(10, int))
+    ranks = np.sort(alone >> np.uint64(48), axis=1)
+    assert (ranks == np.arange(near_dedup.SLOTS)).all()
+    together = near_dedup.super_minhash(x, np.array([4, 0, 6]))
+    assert (together == [alone[:4].min(axis=0), np.full(near_dedup.SLOTS, 2**64 - 1, np.uint64), alone[4:].min(axis=0)]).all()
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, i) for i in range(1001, 1100)] + [(7, 7), (2000, 2001), (2001, 2000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()}
