@@ -9,13 +9,14 @@ their number.
 A document is pooled to the means of its tokens' word vectors and random vectors, how far
 these differ from place to place, the share of distinct tokens and its length. A network of
 two layers, written in numpy, is trained on at most ``SAMPLE`` labelled documents, the
-first by a hash of doc_id; a fifth of them is kept aside to stop the training and to fit the
+first by a hash of doc_id, one text an id; a fifth of them is kept aside to stop the training and to fit the
 temperature that calibrates its probabilities.
 
 Rows of the held-out fold and rows without doc_id are not learned from. Conflicting labels
 of one document: the lower counts. Without labels of both kinds every score is the share of
 good labels, or 0.5. Null texts are empty and pooled to zeros. Repeated rows are scored
-alike. Other columns of ``docs`` are kept unread.
+alike, very long texts as a whole. Other columns of ``docs`` are kept unread; one named
+``quality_score`` is replaced by the score.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymart.llm import _text
-from tallymart.llm.toxicity import _sigmoid, first_by_hash, held_out
+from tallymart.llm.toxicity import _sigmoid, first_by_hash, held_out, one_text
 
 BUCKETS, WIDTH, NONZERO = 1 << 14, 32, 4
 BLOCKS, ROUND = 64, 64
@@ -208,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> tu
     """The model, or None, and the share of good labels. Word vectors come from all ``docs``."""
     known = labels.filter(~held_out(folds, fold)).groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality IS NOT NULL")
     sample = first_by_hash(known, SAMPLE, 13)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col("quality").cast("double").alias("quality"))
+    sample = sample.select("doc_id", F.col("quality").cast("double").alias("quality"))
+    texts = one_text(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "quality").select("text", "quality")
     vectors = word_vectors(docs)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vectors)
@@ -234,19 +237,21 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> tu
 
 def score(docs: DataFrame, fitted: tuple[Model | None, float]) -> DataFrame:
     """All columns of ``docs`` and ``quality_score``, from 0 to 1, of its ``text``."""
-    kept = [c for c in docs.columns if c != "quality_score"]
+    kept = docs.drop("quality_score")
+    at, names = kept.columns.index("text"), kept.columns
+    kept = kept.toDF(*(f"c{i}" for i in range(len(names))))  # mapInArrow can't name columns with dots
     shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, share = shared.value
         random = _random_vectors()
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("text"))
+            column = batch.column(at)
             scores = [
                 np.full(t.rows, share) if model is None else model.scores(pooled(t, model.vectors, random)) for t in _text.steps(column)
             ]
             scores = pa.array(np.concatenate(scores).astype(np.float64) if scores else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "quality_score"])
 
-    fields = docs.select(kept).schema.add("quality_score", "double")
-    return docs.select(kept).mapInArrow(run, fields)
+    fields = StructType(list(kept.schema)).add("quality_score", "double")
+    return kept.mapInArrow(run, fields).toDF(*names, "quality_score")

@@ -9,11 +9,12 @@ not. Those that P holds more surely than U (by the z-score of the two shares) ar
 The prior is the share of toxic rows among the labels that may be learned from. The last
 step shifts scores so that their mean over U is the prior.
 
-The fit uses at most ``POSITIVES`` and ``UNLABELLED`` texts, the first by a hash of doc_id;
-scores use whole texts only. Rows of a held-out fold are used neither way, nor are rows
+The fit uses at most ``POSITIVES`` and ``UNLABELLED`` texts, the first by a hash of doc_id,
+one text a doc_id (of several the first by hash); scores use whole texts only. Rows of a held-out fold are used neither way, nor are rows
 without doc_id. A document with several labels is toxic if one says so. Without a confirmed
 toxic text every score is 0. Null texts are empty, empty texts get the score of no feature.
-Repeated rows are scored alike. Other columns of ``docs`` are kept unread.
+Repeated rows are scored alike. Other columns of ``docs`` are kept unread; one named
+``toxicity`` is replaced by the score.
 """
 
 from __future__ import annotations
@@ -52,6 +53,11 @@ def first_by_hash(rows: DataFrame, n: int, seed: int) -> DataFrame:
     return rows.orderBy(key, "doc_id").limit(n)
 
 
+def one_text(rows: DataFrame, kind: str) -> DataFrame:
+    """``(kind, text)`` with one text for each ``kind`` and doc_id, however many share the id."""
+    return rows.groupBy(kind, "doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select(kind, "text")
+
+
 def _features(w: _text.Words) -> np.ndarray:
     """32-bit features, one row per kind and one column per word."""
     return (np.stack([w.key, *w.prefixes]) >> np.uint64(32)).astype(np.uint32)
@@ -172,10 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> Mo
         return None
     prior = min(prior, 0.95)
     sample = first_by_hash(known.filter("toxic = 1"), POSITIVES, 11).select("doc_id", F.lit(True).alias("positive"))
-    rest = first_by_hash(docs.select("doc_id").filter(~held_out(folds, fold)), UNLABELLED, 11)
+    rest = first_by_hash(docs.select("doc_id").filter(~held_out(folds, fold)).distinct(), UNLABELLED, 11)
     sample = sample.union(rest.select("doc_id", F.lit(False)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("positive", "text")
+    rows = one_text(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "positive")
     rows = rows.mapInArrow(_of_texts, "positive boolean, features binary").collect()
+    rows.sort(key=lambda r: r.features)  # whatever order the rows came in
     p, u = ([np.frombuffer(r.features, np.uint32) for r in rows if r.positive == side] for side in (True, False))
     return train(p, u, prior) if p else None
 

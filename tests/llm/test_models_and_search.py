@@ -165,6 +165,72 @@ def test_top_k_of_few(spark):
     assert list(map(tuple, got)) == [(0, 1, 1, 64 * 64 - 128 * 64)]
 
 
+@pytest.mark.parametrize("power", [10, 46, 50, 53])
+def test_ties_of_any_size_go_to_the_smaller_id(power):
+    rng = np.random.default_rng(power)
+    ids = rng.permutation(2048)
+    score = np.full((3, 2048), float(2**power))
+    score[1, rng.integers(0, 2048, 9)] -= 1
+    score[2, :] = -np.inf
+    score[2, :5] = 2.0**power
+    best = topk.Best(3, 20)
+    for part in (slice(0, 700), slice(700, 2048)):
+        best.add(np.arange(3), score[:, part], ids[part])
+    for i in range(3):
+        want = sorted((-s, j) for s, j in zip(score[i], ids, strict=True) if np.isfinite(s))[:20]
+        got = [(-s, j) for s, j in zip(best.score[i], best.id[i], strict=True) if np.isfinite(s)]
+        assert got == want
+
+
+def test_a_hot_id_gives_the_fit_one_text(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, None), (2, None), (3, "x")]
+    table = documents(spark, rows).select("doc_id", "text", (F.col("doc_id") > 1).alias("positive"))
+    got = toxicity.one_text(table, "positive")
+    assert got.columns == ["positive", "text"]
+    got = sorted(map(tuple, got.collect()), key=str)
+    assert len(got) == 3 and {t for p, t in got if p} == {None, "x"}
+    assert got == sorted(map(tuple, toxicity.one_text(table.repartition(7), "positive").collect()), key=str)
+
+
+def test_training_follows_the_gradient_of_the_risk(monkeypatch):
+    """One step of training against differences of the risk, written out row by row."""
+    rng = np.random.default_rng(1)
+    p = [np.unique(np.r_[rng.integers(1, 9, 3), [100]]).astype(np.uint32) for _ in range(40)]
+    u = [np.unique(rng.integers(1, 9, 3)).astype(np.uint32) for _ in range(50)] + p[:8]
+    prior, features = 0.2, toxicity._select(p, u)
+
+    def risk(w, bias):
+        z = lambda rows: np.array([sum(w[features == f].sum() for f in r) + bias for r in rows])
+        plus, minus = (lambda z: np.log1p(np.exp(-z)).mean()), (lambda z: np.log1p(np.exp(z)).mean())
+        rest = minus(z(u)) - prior * minus(z(p))
+        return prior * plus(z(p)) + rest if rest >= 0 else -rest
+
+    start = np.zeros(len(features)), float(np.log(prior / (1 - prior)))
+    slope = np.array([(risk(start[0] + d, start[1]) - risk(start[0] - d, start[1])) / 2e-5 for d in np.eye(len(features)) * 1e-5])
+    # Adam's first step is the rate against the sign of each derivative.
+    model = toxicity.train(p, u, prior, rounds=1, rate=0.01, decay=0)
+    assert len(features) and np.allclose(model.weights, -0.01 * slope / (np.abs(slope) + 1e-8), atol=1e-4)
+
+
+def test_the_network_s_probabilities_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, quality.POOLED))
+    y = (x[:, 0] + 0.3 * rng.normal(size=2000) > 0).astype(float)
+    model = quality.train(x, y, np.zeros((quality.BUCKETS, quality.WIDTH), np.float32))
+    w1, b1, w2, b2 = model[3:7]
+    margins = [sum(w2 * np.tanh(np.clip((r - model.center) / model.scale, -8, 8) @ w1 + b1)) + b2 for r in x]
+    assert np.allclose(model.margins(x), margins)
+    assert ((np.array(margins) > 0) == (y > 0)).mean() > 0.9
+    assert 0.25 <= model.temperature <= 8
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    docs = documents(spark, [(1, "a b"), (2, None)]).withColumn("a.b", F.lit(3))
+    got = quality.score(docs, (None, 0.5))
+    assert got.columns == [*docs.columns, "quality_score"]
+    assert {(r["a.b"], r.quality_score) for r in got.collect()} == {(3, 0.5)}
+
+
 def test_first_by_hash_is_the_same_with_and_without_the_cut(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"))
     key = F.xxhash64("doc_id", F.lit(4))
