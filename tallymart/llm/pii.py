@@ -38,6 +38,7 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 TERM = r"\p{L}{4,}"
 WINDOW = 80
+HITS, PIECE, REACH = 256, 1024, 4096  # matches added up at once; code points of a piece of text, and of one to look for overlaps in
 MIN_JOINT = 2
 REMOVE_BITS, GENERALISE_BITS = 0.5, 1.5
 BROADCAST_TERMS = 1_000_000
@@ -78,19 +79,54 @@ def _is_valid(kind: str):
     return lambda span: _valid(kind, span.value)
 
 
+def _with(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often a lambda in it refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _placed(text: Column, pattern: Column, hits: Column, kind: int) -> Column:
-    """Spans of ``hits``, all matches of ``pattern`` in ``text``, from the lengths between."""
+    """Spans of ``hits``, all matches of ``pattern`` in ``text``, from the lengths between.
+
+    Lengths are added up in blocks of ``HITS``, then over the blocks, so that no array grows
+    hit by hit: the work is linear in the text.
+    """
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(hits))
+    pairs = F.transform(
+        F.arrays_zip(gaps.alias("gap"), hits.alias("hit")),
+        lambda x: F.struct(F.length(x.gap).alias("gap"), F.length(x.hit).alias("length"), x.hit.alias("hit")),
+    )
+
+    def running(items: Column, zero: Column, add) -> Column:
+        """The fold's state after each item."""
+        state = F.struct(zero.alias("last"), F.array().cast("array<int>").alias("all"))
+        step = lambda acc, x: _with(add(acc.last, x), lambda y: F.struct(y.alias("last"), F.concat(acc.all, F.array(y)).alias("all")))
+        return F.aggregate(items, state, step, lambda acc: acc.all)
+
+    def within(block: Column) -> Column:
+        return running(block, F.lit(0), lambda at, x: at + x.gap + x.length)
+
+    def placed(block: Column, ends: Column, before: Column) -> Column:
+        return F.zip_with(
+            block,
+            ends,
+            lambda x, end: F.struct(
+                (before + end - x.length).alias("start"), F.lit(kind).alias("kind"), (before + end).alias("end"), x.hit.alias("value")
+            ),
+        )
+
+    def whole(pairs: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / HITS).cast("int"))
+        blocks = F.transform(starts, lambda i: F.slice(pairs, i * HITS + 1, F.lit(HITS)))
+        blocks = F.transform(blocks, lambda b: F.struct(b.alias("pairs"), within(b).alias("ends")))
+        return _with(blocks, over)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc.at + F.length(x.gap)
-        end = start + F.length(x.hit)
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x.hit.alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc.spans, F.array(span)).alias("spans"))
+    def over(blocks: Column) -> Column:
+        totals = running(blocks, F.lit(0), lambda at, b: at + F.element_at(b.ends, -1))
+        before = F.concat(F.array(F.lit(0)), totals)
+        parts = F.zip_with(blocks, before, lambda b, at: F.when(b.isNotNull(), placed(b.pairs, b.ends, at)).otherwise(_none()))
+        return F.flatten(parts)
 
-    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    zero = F.struct(F.lit(0).alias("at"), _none().alias("spans"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc.spans)
+    return F.when(F.size(hits) > 0, _with(pairs, whole)).otherwise(_none())
 
 
 def _entities(docs: DataFrame) -> DataFrame:
@@ -116,10 +152,15 @@ def _entities(docs: DataFrame) -> DataFrame:
 def _surroundings() -> Column:
     """For each base span: its entity, its surroundings' hash and their terms."""
 
-    def near(s: Column) -> Column:
+    def near(s: Column, pieces: Column) -> Column:
+        # Cut from the pieces around the span, as a substring of the text is found from its start.
+        def cut(a: Column, b: Column) -> Column:
+            first = F.floor(a / PIECE).cast("int")
+            own = F.slice(pieces, first + 1, F.floor(b / PIECE).cast("int") - first + 1)
+            return F.substring(F.array_join(own, ""), a - first * PIECE + 1, b - a)
+
         start = F.greatest(s.start - WINDOW, F.lit(0))
-        left = F.substring("body", start + 1, s.start - start)
-        right = F.substring("body", s.end + 1, F.lit(WINDOW))
+        left, right = cut(start, s.start), cut(s.end, s.end + WINDOW)
         # A word cut by the window's edge is none.
         left = F.when(start > 0, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
         right = F.when(F.length(right) == WINDOW, F.regexp_replace(right, r"\p{L}+$", "")).otherwise(right)
@@ -130,7 +171,8 @@ def _surroundings() -> Column:
             F.array_distinct(F.regexp_extract_all(both, F.lit(TERM), F.lit(0))).alias("terms"),
         )
 
-    return F.transform("base", near)
+    pieces = F.regexp_extract_all("body", F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return _with(pieces, lambda p: F.transform("base", lambda s: near(s, p)))
 
 
 def disclosing_terms(near: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -188,11 +230,26 @@ def spans(docs: DataFrame) -> DataFrame:
     extra = texts.select("digest", placed.alias("more")).groupBy("digest").agg(F.flatten(F.collect_list("more")).alias("more"))
     extra, n = stage(extra, "term-spans")
     extra = F.broadcast(extra) if n <= BROADCAST_TERMS // 10 else extra
-    clear = F.filter("more", lambda m: ~F.exists("base", lambda b: (m.start < b.end) & (b.start < m.end)))
+    clear = _with(_by_reach(), lambda reach: F.filter("more", lambda m: ~_touched(m, reach)))
     both = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", clear)))
     return found.select("doc_id", "digest", "base").join(extra, "digest", "left").select("doc_id", "digest", "base", both.alias("spans"))
 
 
+def _by_reach() -> Column:
+    """For every ``REACH`` code points up to the last base span, the base spans that touch them."""
+    last = F.floor(F.coalesce(F.array_max(F.transform("base", lambda b: b.end)), F.lit(0)) / REACH).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.filter("base", lambda b: (b.start < (i + 1) * REACH) & (b.end > i * REACH))
+    )
+
+
+def _touched(m: Column, reach: Column) -> Column:
+    """Whether a base span out of ``reach`` overlaps ``m``."""
+    first, last = (F.floor(x / REACH).cast("int") for x in (m.start, m.end - 1))
+    near = F.flatten(F.slice(reach, first + 1, last - first + 1))
+    return F.exists(near, lambda b: (m.start < b.end) & (b.start < m.end))
+
+
 def listed(column: str) -> Column:
     """Spans as text, ``kind:start:end`` by commas."""
     names = F.array(*map(F.lit, (*KINDS, "term", "term")))
@@ -205,10 +262,20 @@ def counted(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s.kind == KINDS.index(kind))).cast("long")
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that is no column of ``docs``."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def sanitise(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with ``clean_text``: entities and generalised terms are named
-    by their class in brackets, removed terms are gone. Of overlapping spans the first counts."""
-    marked = spans(docs).dropDuplicates(["digest"]).select("digest", F.col("spans").alias("_spans"))
+    by their class in brackets, removed terms are gone. Of overlapping spans the first counts. A column ``clean_text`` of
+    ``docs`` is replaced, other names do not matter."""
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c != "clean_text"]
+    digest, found = (_free(docs, c) for c in ("_digest", "_spans"))
+    marked = spans(docs).dropDuplicates(["digest"]).select(F.col("digest").alias(digest), F.col("spans").alias(found))
     body = F.coalesce("text", F.lit(""))
     labels = F.array(*(F.lit(f"[{k.upper()}]") for k in (*KINDS, "term")), F.lit(""))
 
@@ -217,10 +284,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
         return F.when(s.start < acc.at, acc).otherwise(F.struct(s.end.alias("at"), done.alias("out")))
 
     clean = F.aggregate(
-        "_spans",
+        found,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         step,
         lambda acc: F.concat(acc.out, F.substring(body, acc.at + 1, F.length(body))),
     )
-    rows = docs.withColumn("digest_", F.md5(body)).join(marked.withColumnRenamed("digest", "digest_"), "digest_")
-    return rows.withColumn("clean_text", clean).select(*[F.col(f"`{c}`") for c in docs.columns], "clean_text")
+    rows = docs.withColumn(digest, F.md5(body)).join(marked, digest)
+    return rows.select(*named, clean.alias("clean_text"))

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -81,6 +82,30 @@ def test_disclosing_terms_are_marked_and_cleaned(spark):
     assert pii.sanitise(docs).columns == [*docs.columns, "clean_text"]
 
 
+def test_a_text_of_many_entities_equals_the_plain_patterns(spark):
+    long = " ".join(f"Zebulon{i % 7} wrote é{'𝒳' * (i % 3)} user{i}@mail{i % 900}.org or 10.0.{i % 300}.{i % 250}" for i in range(20_000))
+    rows = [(1, long), (2, " ".join(["a@b.c"] * 255)), (3, " ".join(["a@b.c"] * 256)), (4, " ".join(["a@b.c"] * 513))]
+    start = time.monotonic()
+    got = {r.doc_id: r for r in pii.spans(documents(spark, rows)).collect()}
+    assert time.monotonic() - start < 60
+    for i, t in rows:
+        assert [(s.start, s.kind, s.end) for s in got[i].base] == plain_spans(t)
+    assert all(s.value == long[s.start : s.end] for s in got[1].base)
+
+
+def test_clean_text_beside_columns_of_any_name(spark):
+    docs = documents(spark, [(1, "mail to a@b.c now"), (2, None)])
+    for name in ("digest_", "_digest", "_spans", "spans", "a.b"):
+        docs = docs.withColumn(name, F.lit("own"))
+    got = pii.sanitise(docs)
+    assert got.columns == [*docs.columns, "clean_text"]
+    got = {r.doc_id: r for r in got.collect()}
+    assert got[1].clean_text == "mail to [EMAIL] now" and got[2].clean_text == ""
+    assert all(r[c] == "own" for r in got.values() for c in ("digest_", "_digest", "_spans", "spans", "a.b"))
+    again = pii.sanitise(docs.withColumn("clean_text", F.lit("old")))
+    assert again.columns.count("clean_text") == 1
+
+
 def test_mixture_targets_and_words(spark):
     rng = random.Random(9)
     rows = [(i, "w " * rng.randrange(1, 60), f"src{min(i % 9, 4)}") for i in range(3000)] + [(5000, None, "src1"), (5001, "", None), (5002, "w " * 9000, "src2")]
